@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from jobmarket.llm import bsi_topk, cdc_dedup, mixing, pseudo_likelihood, warc
+from jobmarket.llm import bsi_topk, cdc_dedup, cgk_decontam, mixing, pseudo_likelihood, warc
 
 QUERIES = {
     "op1_warc_derivatives": warc.op1,
     "op5_bit_sliced_topk": bsi_topk.op5,
     "op7_chunk_dedup": cdc_dedup.op7,
+    "op8_cgk_decontamination": cgk_decontam.op8,
     "op9_entropy_balancing": mixing.op9,
     "op10_pseudo_likelihood": pseudo_likelihood.op10,
 }
