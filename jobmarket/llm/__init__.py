@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from jobmarket.llm import bsi_topk, cdc_dedup, cgk_decontam, mixing, pseudo_likelihood, warc
+from jobmarket.llm import bsi_topk, cdc_dedup, cgk_decontam, mixing, ngram_join, pseudo_likelihood, toxicity, warc
 
 QUERIES = {
     "op1_warc_derivatives": warc.op1,
+    "op4_weak_supervision_toxicity": toxicity.op4,
     "op5_bit_sliced_topk": bsi_topk.op5,
+    "op6_grouped_prefix_join": ngram_join.op6,
     "op7_chunk_dedup": cdc_dedup.op7,
     "op8_cgk_decontamination": cgk_decontam.op8,
     "op9_entropy_balancing": mixing.op9,
@@ -16,4 +18,5 @@ QUERIES = {
 ORACLES = {
     "op1_warc_derivatives": warc.OP1_SQL,
     "op5_bit_sliced_topk": bsi_topk.OP5_SQL,
+    "op6_grouped_prefix_join": ngram_join.OP6_SQL,
 }
