@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from jobmarket.llm import bsi_topk, cdc_dedup, cgk_decontam, mixing, ngram_join, pii, pseudo_likelihood, toxicity, warc
+from jobmarket.llm import bsi_topk, bwt_dedup, cdc_dedup, cgk_decontam, mixing, ngram_join, pii, pseudo_likelihood, toxicity, warc
 
 QUERIES = {
     "op1_warc_derivatives": warc.op1,
     "op2_candidate_boosting_pii": pii.op2,
+    "op3_bwt_merge_dedup": bwt_dedup.op3,
     "op4_weak_supervision_toxicity": toxicity.op4,
     "op5_bit_sliced_topk": bsi_topk.op5,
     "op6_grouped_prefix_join": ngram_join.op6,
