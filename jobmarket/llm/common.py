@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII white space, the only separators between words.
 SPACE = r"\x20\x09-\x0D"
@@ -39,6 +40,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of keys (a few longs each) that are small enough to send to every executor.
+BROADCAST_ROWS = 500_000
+
+
+def keys_of(keys: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of keys, marked for broadcast if its counted rows stay within the bound; else joined by shuffle."""
+    return F.broadcast(keys) if keys.count() <= bound else keys
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys are equal; the keys of the left side stay."""
     right = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})

@@ -31,9 +31,9 @@ STEPS = 64
 BUCKETS = 256
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size)"""
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"))
+def sized(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size) and the kept columns"""
+    return docs.select("doc_id", "source", *keep, F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"))
 
 
 def targets(sources: DataFrame, share: float = SHARE, cap: int = CAP, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -105,9 +105,9 @@ def rates(bins: DataFrame, goal: DataFrame, cap: int = CAP, steps: int = STEPS)
     return solved.select("source", F.inline(rounded))
 
 
-def mix(docs: DataFrame, share: float = SHARE, cap: int = CAP) -> DataFrame:
+def mix(docs: DataFrame, share: float = SHARE, cap: int = CAP, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, size, source_size, target, taken, rate, copies) for every document."""
-    d = written(sized(docs).withColumn("bin", _bin(F.col("size"))).withColumn("h", F.xxhash64("doc_id", "size")).withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int")), "sized")
+    d = written(sized(docs, keep).withColumn("bin", _bin(F.col("size"))).withColumn("h", F.xxhash64("doc_id", "size")).withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int")), "sized")
     counts = written(d.groupBy("source", "bin", "bucket").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "bins")
     goal = targets(counts.groupBy("source").agg(F.sum("words").alias("source_size")), share, cap)
     goal = written(goal, "targets")
@@ -118,7 +118,20 @@ def mix(docs: DataFrame, share: float = SHARE, cap: int = CAP) -> DataFrame:
     ranked = d.withColumn("place", F.row_number().over(Window.partitionBy("source", "bin", "bucket").orderBy("h", "doc_id", "size")))
     out = null_safe_join(ranked, cells, ["source", "bin", "bucket"])
     copies = (F.col("base") + (F.col("before") + F.col("place") <= F.col("extra")).cast("long")).alias("copies")
-    return out.select("doc_id", "size", "source_size", "target", copies, "rate", "source").withColumn("taken", F.col("size") * F.col("copies"))
+    return out.select("doc_id", "size", "source_size", "target", copies, "rate", "source", *keep).withColumn("taken", F.col("size") * F.col("copies"))
+
+
+def mixture(docs: DataFrame, share: float = SHARE, cap: int = CAP) -> DataFrame:
+    """The mix itself: rows of docs, each as often as it is taken, with copy_no, mix_size and mix_target.
+
+    Rows that repeat a doc_id and text are told apart by nothing; they share the larger number of copies."""
+    docs = docs.drop("copy_no", "mix_size", "mix_target")
+    key = F.xxhash64("source", "text")
+    d = docs.withColumn("_key", key)
+    planned = mix(docs.withColumn("_key", key), share, cap, keep=("_key",)).filter("copies > 0")
+    planned = planned.groupBy("doc_id", "_key").agg(F.max("copies").alias("_copies"), F.max("size").alias("mix_size"), F.max("target").alias("mix_target"))
+    out = null_safe_join(d, planned, ["doc_id", "_key"])
+    return out.withColumn("copy_no", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*docs.columns, "copy_no", "mix_size", "mix_target")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
