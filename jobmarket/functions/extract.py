@@ -7,6 +7,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf, udtf
 
 _RANGE = re.compile(r"(\d{1,2}(?:\.\d)?)\s*(?:-|–|to)\s*(\d{1,2}(?:\.\d)?)\s*\+?\s*(years?|yrs?|months?)", re.I)
@@ -15,7 +16,7 @@ _LABELLED = re.compile(r"experience\s*(?:required|level)?\s*[:\-]\s*(\d{1,2}(?:\
 _NOT_OURS = re.compile(r"(founded|for over|for more than|we have|our company|history of|celebrating)[^.]{0,40}$", re.I)
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def years_of_experience(text: pd.Series) -> pd.Series:
     """The largest of the minimum years that a text asks for; months count as twelfths; over 30 and company histories
     (in the 60 characters before) do not count; null if none."""
@@ -44,7 +45,7 @@ def _amount(digits: str, k: str | None) -> float:
     return float(clean) * (1000 if k else 1)
 
 
-@pandas_udf("struct<min:double,max:double,currency:string,unit:string>")
+@pandas_udf(T.StructType().add("min", "double").add("max", "double").add("currency", "string").add("unit", "string"))
 def pay_in_text(text: pd.Series) -> pd.DataFrame:
     """First plausible amount of a text, ranges before single amounts, currencies in the order dollar, euro, pound,
     franc; amounts after words of company finance do not count."""
@@ -79,7 +80,7 @@ def occupation_matcher(aliases: list[tuple[str, str]]):
     by_length = sorted(exact, key=lambda a: -len(a))
     sets = [(set(a.split()), exact[a]) for a in exact if len(a.split()) >= 4]
 
-    @pandas_udf("string")
+    @pandas_udf(T.StringType())
     def match(title: pd.Series) -> pd.Series:
         def one(t: str | None) -> str | None:
             t = re.sub(r"\s+", " ", (t or "").lower()).strip()
@@ -102,7 +103,7 @@ def place_resolver(cities: dict[str, tuple[str, int]], countries: dict[str, str]
     ', XX' state or country codes, then city names by population. Tables are of bounded size and given by the caller."""
     regions = ("emea", "apac", "latam", "europe", "worldwide")
 
-    @pandas_udf("struct<country:string,city:string,region:string,mode:string>")
+    @pandas_udf(T.StructType().add("country", "string").add("city", "string").add("region", "string").add("mode", "string"))
     def resolve(raw: pd.Series) -> pd.DataFrame:
         def one(t: str | None):
             low = (t or "").lower()
@@ -169,12 +170,12 @@ def _blocks(html: str | None) -> list[tuple[str, str]]:
     return p.found
 
 
-@pandas_udf("array<struct<tag:string,text:string>>")
+@pandas_udf(T.ArrayType(T.StructType().add("tag", "string").add("text", "string")))
 def page_blocks(html: pd.Series) -> pd.Series:
     return html.map(lambda h: [{"tag": t, "text": x} for t, x in _blocks(h)])
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def normal_html(html: pd.Series) -> pd.Series:
     """Headings as h2, paragraphs and list items without attributes, all else unwrapped."""
     shape = lambda t: "h2" if re.fullmatch("h[1-6]", t) else "li" if t == "li" else "p"
@@ -183,7 +184,7 @@ def normal_html(html: pd.Series) -> pd.Series:
     return html.map(lambda h: "".join(f"<{shape(t)}>{escape(x, quote=False)}</{shape(t)}>" for t, x in _blocks(h)))
 
 
-@udtf(returnType="block_no int, tag string, text string")
+@udtf(returnType=T.StructType().add("block_no", "integer").add("tag", "string").add("text", "string"))
 class BlocksOf:
     """Table function: LATERAL blocks_of(html)."""
 
