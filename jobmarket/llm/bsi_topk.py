@@ -189,9 +189,7 @@ def top_k(index: DataFrame, queries: DataFrame, k: int = K, query_rows: int = QU
             for row in range(batch.num_rows):
                 x = {name: batch.column(i)[row] for i, name in enumerate(batch.schema.names)}
                 ids, bits = np.frombuffer(x["ids"].as_py(), np.int64), x["bits"].as_py()
-                planes = np.frombuffer(x["planes"].as_py(), np.uint64).reshape(sum(bits), -1)
-                if not planes.size:  # all components of the block are equal
-                    planes = np.zeros((0, (len(ids) + 63) // 64), np.uint64)
+                planes = np.frombuffer(x["planes"].as_py(), np.uint64).reshape(sum(bits), (len(ids) + 63) // 64)
                 wanted = [(a["vec_id"], np.array(a["q"], np.int64)) for a in x["asked"].as_py()]
                 got = search_block(ids, planes, bits, np.array(x["low"].as_py(), np.int64), wanted, k)
                 yield pa.RecordBatch.from_pandas(pd.DataFrame(got, columns=["query_id", "vec_id", "score"]).astype("int64"), preserve_index=False)
