@@ -180,12 +180,12 @@ def locales(primary: Column, others: Column, detected: Column) -> Column:
 
 
 def technologies(text: Column, patterns: list[tuple[str, str, bool]]) -> Column:
-    """Slugs whose literal stands in the text with no letter or digit next to it; a cheap substring test comes first.
+    """Slugs whose literal stands in the text with no letter, digit or (after it) + or # next to it; a cheap substring test comes first.
     patterns: (slug, literal, case_sensitive)."""
     low, found = F.lower(text), []
     for slug, literal, exact in patterns:
         escaped = "".join("\\" + c if not c.isalnum() and c != " " else c for c in literal)
-        hit = (text.contains(literal) if exact else low.contains(literal.lower())) & text.rlike(("" if exact else "(?i)") + rf"(?<![A-Za-z0-9]){escaped}(?![A-Za-z0-9])")
+        hit = (text.contains(literal) if exact else low.contains(literal.lower())) & text.rlike(("" if exact else "(?i)") + rf"(?<![A-Za-z0-9]){escaped}(?![A-Za-z0-9+#])")
         found.append(F.when(hit, slug))
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
