@@ -321,7 +321,8 @@ def dedup(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     # Rows that repeat a doc_id and text are copies of each other; their text goes whole, whatever its segments say.
     texts = written(null_safe_join(keyed, cands, KEY), "candidates")
     segs = written(segments(texts), "segments")
-    found = merged(segs)
+    # A table of its own, so that the join shuffles both sides and Spark can split a segment that many texts hold.
+    found = written(merged(segs), "found")
     runs = segs.select(*KEY, "a", "g1", "g2").join(found, ["g1", "g2"]).groupBy(*KEY).agg(F.collect_set(F.struct("a", "runs")).alias("runs"))
     cut = _removed(null_safe_join(texts, runs, KEY))
     cut = cut if keep_text else cut.drop("kept")
