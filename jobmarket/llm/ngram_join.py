@@ -9,11 +9,12 @@ A document is the set of its distinct word shingles; two link when their Jaccard
    with equal sets are collapsed to one member, and members with equal prefixes and size to one group (key).
    Shingles that stand in one prefix only are dropped in the tasks that gather them.
 3. Stars. Per shared shingle, the most typical member (fewest rare shingles) is the pivot; every member is compared
-   with the pivots that it shares most shingles with. Large families of near copies become connected after one or two
-   such rounds, with as many comparisons as members.
+   with the pivot that it shares most shingles with: as many comparisons as members.
 4. The rest. Members that share a prefix shingle but are not yet connected are all compared: filtered by size and by
    the number of shared prefix shingles, then verified exactly on whole sets. Pairs inside a component are left
-   out, since they cannot change it; all others are verified, so components are exact.
+   out, since they cannot change it; all others are verified, so components are exact. A few rounds compare each
+   member with one partner first, so that large families connect with few comparisons. Before sets are shipped, small
+   and then larger profiles (tokens per cell of a hash) rule out the pairs whose intersection cannot be large enough.
 
 Frequent shingles are salted by their class where a task gathers posting lists; pivots are minima, combined per task,
 and joins on tokens leave it to Spark to split a frequent one. Components come from label
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmarket.llm.common import Rolling, table, text_blocks, written
+from jobmarket.llm.common import Rolling, keys_of, table, text_blocks, written
 from jobmarket.llm.words import shingle_sets
 
 SHINGLE = 5
@@ -43,11 +44,15 @@ SKETCH_BITS = 18
 SKETCH_SLICES = 16
 #: Bits of a shingle's class in its 64-bit token; the rest is hash.
 CLASS_BITS = 5
-STAR_ROUNDS = 2
+#: Rounds that compare each node with one partner before all pairs that are left are compared.
+PIVOT_ROUNDS = 2
 #: Posting lists of a class are split in 2**max(0, class - FIRST_SALTED) parts.
 FIRST_SALTED = 8
 
-SETS = "doc_id long, n int, d1 long, d2 long, rare int, prefix array<long>"
+#: Cells of the profiles that bound an intersection from above: of all documents, and of those in candidate pairs.
+PROFILE, FINE = 256, 4096
+
+SETS = "doc_id long, n int, d1 long, d2 long, rare int, prefix array<long>, profile binary"
 
 
 def sketch(docs: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
@@ -98,8 +103,8 @@ def _tokens(sets: list[np.ndarray], classes: np.ndarray) -> list[np.ndarray]:
 
 
 def described(docs: DataFrame, classes: np.ndarray, shingle: int = SHINGLE, whole: bool = False) -> DataFrame:
-    """(doc_id, n, d1, d2, rare, prefix): set size, digest of the set, shingles of class 0, and the set's first tokens
-    (all of them if whole)."""
+    """(doc_id, n, d1, d2, rare, prefix, profile): set size, digest of the set, shingles of class 0, the set's first
+    tokens (all of them if whole), and the number of its tokens per cell of a hash."""
     rolling = Rolling()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +119,9 @@ def described(docs: DataFrame, classes: np.ndarray, shingle: int = SHINGLE, whol
                 rare = [int(np.searchsorted(s, 1 << (63 - CLASS_BITS))) for s in sets]
                 kept = sets if whole else [s[: prefix_length(len(s))] if len(s) else s for s in sets]
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(k) for k in kept])]), pa.int32()), pa.array(np.concatenate(kept)))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[span], pa.array(n), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(rare, pa.int32()), lists], names=["doc_id", "n", "d1", "d2", "rare", "prefix"])
+                cells = FINE if whole else PROFILE
+                profiles = pa.array([np.minimum(np.bincount(s & (cells - 1), minlength=cells), 255).astype(np.uint8).tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0)[span], pa.array(n), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(rare, pa.int32()), lists, profiles], names=["doc_id", "n", "d1", "d2", "rare", "prefix", "profile"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS)
 
@@ -127,28 +134,55 @@ def salt(token: Column, other: Column) -> Column:
 
 
 def postings(members: DataFrame) -> DataFrame:
-    """(token, part, node, n, rare, place) of the prefix tokens that more than one member of a part holds."""
+    """(token, node, n, rare, place) of the prefix tokens that more than one member holds. Sizes are below 2**21."""
+    # Size, rare shingles and place share one column, so that a row is three numbers.
     rows = members.select(F.col("doc_id").alias("node"), "n", "rare", F.posexplode("prefix").alias("place", "token"))
-    rows = rows.withColumn("part", salt(F.col("token"), F.col("node")))
+    packed = F.col("n").cast("long") * (1 << 42) + F.col("rare").cast("long") * (1 << 21) + F.col("place")
+    rows = rows.select("token", "node", packed.alias("about"))
     partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = ["token", "part", "node", "n", "rare", "place"]
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = list(batches)
         if not got:
             return
         held = pa.Table.from_batches(got)
-        token, part = held.column("token").to_numpy(), held.column("part").to_numpy()
-        order = np.lexsort((part, token))
-        token, part = token[order], part[order]
-        same = (token[1:] == token[:-1]) & (part[1:] == part[:-1])
+        token, about = held.column("token").to_numpy(), held.column("about").to_numpy()
+        order = np.argsort(token, kind="stable")
+        token = token[order]
+        same = token[1:] == token[:-1]
         keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
         # Frequent tokens are split: a member alone in its part may have company in another.
         keep |= (token >> np.int64(63 - CLASS_BITS)) > FIRST_SALTED
-        if len(token):
-            yield from held.take(pa.array(order[keep])).to_batches(max_chunksize=100_000)
+        token, order = token[keep], order[keep]
+        node, about = held.column("node").to_numpy()[order], about[order]
+        low = (1 << 21) - 1
+        for i in range(0, len(token), 100_000):
+            a = about[i : i + 100_000]
+            cols = [token[i : i + 100_000], node[i : i + 100_000], (a >> 42).astype(np.int32), ((a >> 21) & low).astype(np.int32), (a & low).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "node", "n", "rare", "place"])
+
+    return rows.repartition(partitions, "token", salt(F.col("token"), F.col("node"))).mapInArrow(shared, "token long, node long, n int, rare int, place int")
+
 
-    return rows.select(*names).repartition(partitions, "token", "part").mapInArrow(shared, "token long, part int, node long, n int, rare int, place int")
+def possible(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose profiles allow the threshold: an intersection is at most the sum over cells of the smaller
+    number (cells that are full count as unbounded). profiles: (node, n, profile)."""
+    left = profiles.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("profile").alias("x"))
+    right = profiles.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("profile").alias("y"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
+            most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+            n = batch.column(4).to_numpy().astype(np.int64) + batch.column(5).to_numpy()
+            full = (x == 255).any(axis=1) & (y == 255).any(axis=1)
+            fits = full | ((DENOMINATOR + NUMERATOR) * most >= NUMERATOR * n)
+            yield batch.select([0, 1]).filter(pa.array(fits))
+
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "na", "nb")
+    return both.mapInArrow(keep, "a long, b long").distinct()
 
 
 def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -202,28 +236,52 @@ def unconnected_pairs(post: DataFrame, comp: DataFrame) -> DataFrame:
     return pairs.filter("enough").select("a", "b")
 
 
+def apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs of different components."""
+    side = lambda c: comp.select(F.col("node").alias(c), F.col("comp").alias(f"_{c}"))
+    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return both.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row."""
     docs = docs.select("doc_id", "text")
     classes = classes_of(sketch(docs, shingle))
     d = written(described(docs, classes, shingle), "sets")
     sound = d.filter("doc_id is not null and n > 0")
-    groups = sound.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("first"))
-    member = sound.join(groups, ["n", "d1", "d2"]).select("doc_id", "first", "n", "rare", "prefix")
-    same = member.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).filter("a <> b")
-    firsts = member.filter("doc_id = first").dropDuplicates(["doc_id", "n", "prefix"])
-    post = written(postings(firsts), "postings")
-
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        return written(described(docs.join(nodes, "doc_id", "left_semi"), classes, shingle, whole=True).filter("n > 0").select(F.col("doc_id").alias("node"), F.col("prefix").alias("tokens")), "whole")
+    equal = ["n", "d1", "d2"]
+    first = sound.groupBy(*equal).agg(F.min("doc_id").alias("b"), F.count("*").alias("copies")).filter("copies > 1")
+    same = sound.select(F.col("doc_id").alias("a"), *equal).join(first, equal).select("a", "b").filter("a <> b")
+    members = sound.groupBy(*equal).agg(F.min(F.struct("doc_id", "rare", "prefix")).alias("m"))
+    post = written(postings(members.select("m.doc_id", "n", "m.rare", "m.prefix")), "postings")
+    nodes_of = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    def profiles_of(nodes: DataFrame) -> DataFrame:
+        own = keys_of(written(nodes, "nodes"))
+        return sound.select(F.col("doc_id").alias("node"), "n", "profile").join(own, "node", "left_semi")
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """Whole sets and fine profiles (node, n, tokens, profile) of some documents, read again from their texts."""
+        own = keys_of(written(nodes.select(F.col("node").alias("doc_id")), "nodes"))
+        return written(described(docs.join(own, "doc_id", "left_semi"), classes, shingle, whole=True).filter("n > 0").select(F.col("doc_id").alias("node"), "n", F.col("prefix").alias("tokens"), "profile"), "whole")
 
     pairs = written(star_pairs(post), "stars")
-    star = written(similar(pairs, sets_of(pairs)), "star-links")
+    pairs = written(possible(pairs, profiles_of(nodes_of(pairs))), "star-candidates")
+    sets = sets_of(nodes_of(pairs))
+    star = written(similar(possible(pairs, sets), sets), "star-links")
     comp = components(star)
-    rest = written(unconnected_pairs(post, comp), "candidates")
-    links = written(similar(rest, sets_of(rest)), "rest-links")
-    comp = components(star.unionByName(links).unionByName(same))
+    rest = written(unconnected_pairs(post, comp), "pairs")
+    rest = written(possible(rest, profiles_of(nodes_of(rest))), "candidates")
+    sets = sets.unionByName(sets_of(nodes_of(rest).join(sets.select("node"), "node", "left_anti")))
+    rest = written(possible(rest, sets), "candidates")
+    links = star
+    for _ in range(PIVOT_ROUNDS):
+        # Each node with one partner; what becomes connected need not be compared any more.
+        some = written(rest.groupBy("a").agg(F.min("b").alias("b")), "some")
+        links = links.unionByName(written(similar(some, sets), "links"))
+        rest = written(apart(rest.join(some, ["a", "b"], "left_anti"), components(links)), "candidates")
+    links = links.unionByName(written(similar(rest, sets), "links"))
+    comp = components(links.unionByName(same))
     out = d.select("doc_id", F.col("n").cast("long").alias("n_shingles")).join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"))
 
