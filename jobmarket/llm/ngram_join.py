@@ -231,9 +231,11 @@ def unconnected_pairs(post: DataFrame, comp: DataFrame) -> DataFrame:
     a, b = p.alias("a"), p.alias("b")
     left = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
     enough = (DENOMINATOR + NUMERATOR) * left >= NUMERATOR * (F.col("a.n") + F.col("b.n"))
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp")) & _near_size(F.col("a.n"), F.col("b.n")))
-    pairs = pairs.groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b")).agg(F.max(enough).alias("enough"), F.max(F.col("a.n") + F.col("b.n")).alias("_"))
-    return pairs.filter("enough").select("a", "b")
+    # At the first token that a pair shares, its intersection is at most what is left of either set from there on; so a
+    # pair that can reach the threshold passes at that token, and tokens further on need not bring it again.
+    near = (F.col("a.comp") != F.col("b.comp")) & _near_size(F.col("a.n"), F.col("b.n")) & enough
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & near)
+    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
 
 def apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
