@@ -7,9 +7,11 @@ The CGK random walk copies a string's bytes and steps on by a random bit that de
 a small edit distance stay in step for most places: edit distance becomes Hamming distance. Each of REPETITIONS walks
 keeps SAMPLED random places of the embedding as a bucket key. Item-sized windows of the documents are embedded the
 same way; a window that falls into a bucket of an item in any repetition is verified exactly (Myers' bit-vector
-algorithm over the window and its surroundings). Windows are taken where a document has SEED_WORDS words in a row in
-common with the items: the window starts where the item would start. The number of repetitions is chosen so that a
-window at the largest distance is found with probability 0.9 or more (measured in the tests).
+algorithm over the window and its surroundings). Windows are taken at every byte where an item can start: k edits leave
+two of k + 2 pieces of an item whole (one of k + 1 where the item is short), moved against each other by k bytes at
+most, so every place without such pieces is beyond the distance and nothing is lost before the embedding, whatever
+the item's length and with or without spaces. The number of repetitions is chosen so that a window at the largest
+distance is found with probability 0.9 or more (measured in the tests).
 
 The benchmark is the stated query set: it goes to the tasks in blocks of at most BLOCK_BYTES, whatever its size.
 
@@ -27,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmarket.llm.common import Rolling, mix, table, text_blocks
-from jobmarket.llm.words import LOWER, joined, word_spans
+from jobmarket.llm.common import mix, table, text_blocks
 
 MAX_EDITS = 0.1
-SEED_WORDS = 3
+PIECE_BYTES = 9
+LEAST_PAIRED = 6
+FILTER_BITS = 20
 REPETITIONS = 64
 SAMPLED = 5
 REACH = 1.6
@@ -104,36 +107,52 @@ def edit_search(pattern: bytes, text: bytes) -> tuple[int, int]:
     return best, end
 
 
-def seed_hashes(data: np.ndarray, off: np.ndarray, rolling: Rolling, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all runs of n words inside a text, their rows, and the starts of their first words."""
-    if not len(data):
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    starts, ends, rows = word_spans(data, off)
-    if len(starts) < n:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    h = joined(mix(rolling.spans(rolling.prefix(LOWER[data]), starts, ends)), n)
-    inside = np.flatnonzero(rows[: len(h)] == rows[n - 1 :])
-    return h[inside], rows[inside], starts[inside]
+def pieces_of(size: int) -> tuple[int, int, int]:
+    """(pieces, their bytes, how many of them stay whole) of an item: k edits touch k pieces at most, so of k + 2
+    pieces two stay whole, and of k + 1 one does where k + 2 would be too short to tell anything."""
+    k = int(MAX_EDITS * size)
+    if size // (k + 2) >= LEAST_PAIRED:
+        return k + 2, min(size // (k + 2), PIECE_BYTES), 2
+    return k + 1, min(size // (k + 1), PIECE_BYTES), 1
+
+
+def piece_hashes(data: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the n bytes (PIECE_BYTES at most) from each byte on."""
+    if len(data) < n:
+        return np.empty(0, np.uint64)
+    full = np.concatenate([data, np.zeros(8, np.uint8)])
+    h = np.ndarray(len(data) - n + 1, "<u8", full, strides=(1,)).astype(np.uint64)
+    if n < 8:
+        h &= np.uint64((1 << (8 * n)) - 1)
+    elif n > 8:
+        h = h * np.uint64(0x9E3779B97F4A7C15) + full[8 : 8 + len(h)]
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h
 
 
 class Items:
-    """A block of benchmark items: seeds to find windows by, and buckets of their embeddings."""
+    """A block of benchmark items: pieces to find windows by, and buckets of their embeddings."""
 
     def __init__(self, items: list[tuple[int, bytes]]) -> None:
         self.items = [(i, normal(t)) for i, t in items]
         self.items = [(i, t) for i, t in self.items if t]
         self.cgk = Cgk()
-        rolling = Rolling()
-        self.by_words: dict[int, tuple[np.ndarray, list[list[tuple[int, int]]]]] = {}
-        seeds: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        self.slack = np.array([int(MAX_EDITS * len(t)) for _, t in self.items], np.int64)
+        self.paired = np.array([pieces_of(len(t))[2] == 2 for _, t in self.items], bool)
+        found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         for k, (_, t) in enumerate(self.items):
-            data, n = np.frombuffer(t, np.uint8), min(SEED_WORDS, t.count(b" ") + 1)
-            h, _, starts = seed_hashes(data, np.array([0, len(data)]), rolling, n)
-            for x, s in zip(h.tolist(), starts.tolist(), strict=True):
-                seeds[n][x].append((len(t), s))
-        for n, found in seeds.items():
-            hashes = np.array(sorted(found), np.uint64)
-            self.by_words[n] = (hashes, [sorted(set(found[x])) for x in hashes.tolist()])
+            n, size, _ = pieces_of(len(t))
+            starts = np.arange(n) * (len(t) // n)
+            h = piece_hashes(np.frombuffer(t, np.uint8), size)[starts]
+            found[size] += [(x, k, s) for x, s in zip(h.tolist(), starts.tolist(), strict=True)]
+        self.pieces: dict[int, tuple[np.ndarray, ...]] = {}
+        for size, rows in found.items():
+            rows.sort()
+            h, first, count = np.unique(np.array([r[0] for r in rows], np.uint64), return_index=True, return_counts=True)
+            known = np.zeros(1 << FILTER_BITS, bool)
+            known[h >> np.uint64(64 - FILTER_BITS)] = True
+            self.pieces[size] = known, h, first, count, np.array([r[1:] for r in rows], np.int64)
         self.buckets: dict[int, set[int]] = defaultdict(set)
         for part in range(0, len(self.items), WALKS_AT_ONCE):
             some = [t for _, t in self.items[part : part + WALKS_AT_ONCE]]
@@ -142,32 +161,44 @@ class Items:
                 for k, x in enumerate(keys[r].tolist(), part):
                     self.buckets[x ^ r].add(k)
 
-    def windows(self, data: np.ndarray, off: np.ndarray, rolling: Rolling) -> dict[int, set[tuple[int, int, int]]]:
-        """Per row its windows, where seeds place an item: start of the seed in the raw text, item length, seed's start in the item."""
-        out: dict[int, set[tuple[int, int, int]]] = defaultdict(set)
-        for n, (hashes, places) in self.by_words.items():
-            h, rows, starts = seed_hashes(data, off, rolling, n)
-            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            for i in np.flatnonzero(hashes[at] == h).tolist():
-                r = int(rows[i])
-                for length, s in places[at[i]]:
-                    out[r].add((int(starts[i] - off[r]), length, s))
-        return out
-
-    def verified(self, texts: list[tuple[int, bytes, set[tuple[int, int, int]]]]) -> list[tuple[int, int, int, int, int]]:
+    def windows(self, norms: list[bytes]) -> list[tuple[int, int, int]]:
+        """(text, start, item length) of all windows where an item's pieces stand in normal texts: one piece, or two
+        different ones of the item that edits can have moved against each other by no more than its slack."""
+        if not norms or not self.items:
+            return []
+        data = np.frombuffer(b"".join(norms), np.uint8)
+        off = np.cumsum([0] + [len(x) for x in norms])
+        hits = []
+        for size, (known, hashes, first, count, where) in self.pieces.items():
+            h = piece_hashes(data, size)
+            at = np.flatnonzero(known[h >> np.uint64(64 - FILTER_BITS)])
+            h = h[at]
+            i = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            same = hashes[i] == h
+            at, i = at[same], i[same]
+            text = np.searchsorted(off, at, "right") - 1
+            inside = at + size <= off[text + 1]
+            at, i, text = at[inside], i[inside], text[inside]
+            n = count[i]
+            each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[i], n)
+            item, start = where[each].T
+            hits.append(np.stack([np.repeat(text, n), item, np.repeat(at - off[text], n) - start, start]))
+        text, item, place, piece = np.concatenate(hits, axis=1)
+        order = np.lexsort((piece, place, item, text))
+        text, item, place, piece = text[order], item[order], place[order], piece[order]
+        near = (text[1:] == text[:-1]) & (item[1:] == item[:-1]) & (piece[1:] != piece[:-1]) & (place[1:] - place[:-1] <= self.slack[item[1:]])
+        keep = ~self.paired[item]
+        keep[1:] |= near
+        keep[:-1] |= near
+        size = np.array([len(t) for _, t in self.items], np.int64)
+        found = np.unique(np.stack([text, np.maximum(place, 0), size[item]])[:, keep], axis=1)
+        return list(zip(*found.tolist(), strict=True))
+
+    def verified(self, texts: list[tuple[int, bytes]]) -> list[tuple[int, int, int, int, int]]:
         """(doc_id, item_id, edits, item_bytes, start) of the windows that share a bucket and pass the exact check."""
-        asked: dict[tuple[int, int, int], None] = {}
-        norms = []
-        for t, (_, raw, wanted) in enumerate(texts):
-            norms.append(normal(raw))
-            before: dict[int, int] = {}
-            for start, length, s in sorted(wanted):
-                if start not in before:
-                    head = normal(raw[:start])
-                    before[start] = len(head) + (1 if head else 0)
-                asked[t, max(0, before[start] - s), length] = None
+        norms = [normal(raw) for _, raw in texts]
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        places = list(asked)
+        places = self.windows(norms)
         for part in range(0, len(places), WALKS_AT_ONCE):
             some = places[part : part + WALKS_AT_ONCE]
             keys = self.cgk.keys([norms[t][w : w + n] for t, w, n in some], [n for _, _, n in some])
@@ -200,14 +231,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
 
 def _matcher(block: Items):
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = Rolling()
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            texts = []
             for span, data, off in text_blocks(batch, "text"):
-                for r, wanted in block.windows(data, off, rolling).items():
-                    texts.append((int(ids[span][r]), data[off[r] : off[r + 1]].tobytes(), wanted))
-            if rows := block.verified(texts):
+                rows = block.verified([(int(i), data[off[r] : off[r + 1]].tobytes()) for r, i in enumerate(ids[span])])
+                if not rows:
+                    continue
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], names=["doc_id", "item_id", "edits", "item_bytes", "start"])
 
     return match

@@ -306,6 +306,33 @@ def test_decontamination_recall_and_precision(spark):
     assert {(r["doc_id"], r["item_id"]) for r in blocks.collect()} == set(got)
 
 
+def test_decontamination_needs_no_whole_words(spark):
+    rng = random.Random(5)
+    items = [(i, " ".join("".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(12))) for i in range(20)]
+    items += [(20 + i, "".join(rng.choice("abcdefghij") for _ in range(90))) for i in range(20)]
+    items += [(40 + i, "".join(rng.choice("abcdefghij") for _ in range(12)) + " " + "".join(rng.choice("abcdefghij") for _ in range(12))) for i in range(20)]
+    texts = []
+    for i, t in items:
+        # One edit in every third word or so, the last tenth of the text left as it is: within a tenth of the bytes.
+        places = range(4, len(t) - 4, 20 if i < 20 else 15)
+        copy = "".join("z" if j in places else c for j, c in enumerate(t))
+        texts.append((i, prose(rng, 60) + " " + copy + " " + prose(rng, 60)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"] for r in cgk_decontam.contaminated(docs_of(spark, texts), bench).collect() if r["doc_id"] == r["item_id"]}
+    assert all(sum(i in got for i in range(a, a + 20)) >= 17 for a in (0, 20, 40))
+
+
+def test_windows_are_taken_wherever_an_item_is_within_the_edits():
+    rng = random.Random(6)
+    for n in (5, 12, 25, 60, 150, 400):
+        t = "".join(rng.choice("abcdefghij") for _ in range(n))
+        block = cgk_decontam.Items([(1, t.encode())])
+        for _ in range(40):
+            head, copy = prose(rng, 20), edited(rng, t, n // 10)
+            found = block.windows([cgk_decontam.normal((head + " " + copy + " " + prose(rng, 20)).encode())])
+            assert any(abs(start - len(head) - 1) <= n // 10 for _, start, _ in found)
+
+
 def test_edit_search_against_dynamic_programming():
     rng = random.Random(0)
     for _ in range(60):
