@@ -3,13 +3,16 @@
 Each word of a text is predicted from the two words before and the two after it by a small network; the sum of these
 conditional log-probabilities over all words is the text's score. Three passes over the whole corpus:
 
-1. word counts: words (ASCII lower case) are hashed into 2**16 types, counted over all documents;
-2. training in numpy: every task trains a copy of one initial network on 15 % of the positions of all its documents
-   (masked by a hash of the position), and the copies are averaged by their number of examples (a tree of sums in Spark);
+1. word counts: a table of all words (ASCII lower case, by 64-bit hash) with their counts, as long as the corpus has words;
+2. training in numpy: every task trains a copy of one initial network on every position of all its documents, in FOLDS
+   folds of masked positions, and the copies are averaged by their number of examples (a tree of sums in Spark);
 3. scoring of every position of every document.
 
-Output classes: the types, by falling count, are cut into 64 classes of about equal mass; P(word | context) = P(class |
-context) * P(word | class), the second factor from the corpus counts with one added.
+The words that are frequent enough to be among HEAD go to every task; the counts of the others stay in the table and are
+joined to the documents that hold them. Inputs grow with the number of words up to MOST_INPUTS; words without an input
+of their own share one of several by hash. Output classes: the frequent words, by falling count, are cut into classes of
+about equal mass, the others are dealt by hash to as many classes as their mass asks for, CLASSES in all; P(word |
+context) = P(class | context) * P(word | class), the second factor from the word's own count with one added.
 
 Defined results: a null or blank text has no words and scores 0 with a null mean; rows are scored one by one, so null
 and repeated ids are kept as they are; other columns are ignored; an empty table gives no row.
@@ -24,40 +27,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmarket.llm.common import Rolling, mix, table, text_blocks
+from jobmarket.llm.common import Rolling, mix, table, text_blocks, written
 from jobmarket.llm.words import words_of
 
-TYPES = 1 << 16
-INPUTS = 1 << 12
+HEAD = 1 << 18
+LEAST_INPUTS, MOST_INPUTS = 1 << 12, 1 << 15
+WORDS_PER_INPUT = 8
+COUNTED_AT_ONCE = 1 << 20
 CLASSES = 64
 WIDTH = 16
 HIDDEN = 32
 SIDE = 2
-MASKED = 0.15
+FOLDS = 7
 RATE = 0.1
 MINIBATCH = 128
 SLICES = 16
 SEED = 7
 
 
-def type_ids(data: np.ndarray, off: np.ndarray, rolling: Rolling) -> tuple[np.ndarray, np.ndarray]:
-    """The words' types and their rows."""
-    hashes, rows = words_of(data, off, rolling)
-    return (hashes & np.uint64(TYPES - 1)).astype(np.int64), rows
-
-
-def type_counts(docs: DataFrame) -> np.ndarray:
-    """Counts of all types over all documents. Tasks send their counts in SLICES rows, summed in two rounds."""
+def type_counts(docs: DataFrame) -> DataFrame:
+    """(word, n) of all words of all documents, written once; word: the hash as a long."""
     rolling = Rolling()
 
+    def tally(words: list[np.ndarray]) -> pa.RecordBatch:
+        word, n = np.unique(np.concatenate(words), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(TYPES, np.int64)
+        words: list[np.ndarray] = []
         for batch in batches:
             for _, data, off in text_blocks(batch, "text"):
-                total += np.bincount(type_ids(data, off, rolling)[0], minlength=TYPES)
-        yield _as_slices(total.astype(np.float64), 1.0)
+                words.append(words_of(data, off, rolling)[0])
+                if sum(map(len, words)) >= COUNTED_AT_ONCE:
+                    yield tally(words)
+                    words = []
+        if words:
+            yield tally(words)
 
-    return summed(docs.select("text").mapInArrow(count, SLICE_SCHEMA))[0].astype(np.int64)
+    return written(docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
 SLICE_SCHEMA = "slice int, part int, weight double, vector binary"
@@ -80,44 +87,92 @@ def summed(slices: DataFrame) -> tuple[np.ndarray, float]:
         slices = slices.groupBy(*keys).applyInArrow(add, SLICE_SCHEMA)
     rows = sorted(slices.collect(), key=lambda r: r["slice"])
     if not rows:
-        return np.zeros(TYPES), 0.0
+        return np.zeros(0), 0.0
     return np.concatenate([np.frombuffer(bytes(r["vector"]), np.float64) for r in rows]), rows[0]["weight"]
 
 
-class Vocabulary:
-    """Inputs, output classes and class-conditional probabilities of the types, from their counts."""
-
-    def __init__(self, counts: np.ndarray) -> None:
-        order = np.argsort(-counts, kind="stable")
-        self.inputs = np.full(TYPES, INPUTS - 1, np.int32)
-        self.inputs[order[: INPUTS - 2]] = np.arange(1, INPUTS - 1)  # 0 stands beyond a text's ends
-        smooth = counts + 1.0
-        mass = np.cumsum(smooth[order]) - smooth[order]
-        cls = np.minimum((mass / smooth.sum() * CLASSES).astype(np.int64), CLASSES - 1)
-        self.classes = np.empty(TYPES, np.int32)
-        self.classes[order] = cls
-        self.class_mass = np.bincount(self.classes, weights=smooth, minlength=CLASSES)
-        self.inside = np.log(smooth / self.class_mass[self.classes]).astype(np.float32)
+class Types:
+    """What tasks know of the words: inputs, classes and P(word | class) of the frequent ones, the rules for the others."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, distinct: int, rare_mass: float) -> None:
+        order = np.lexsort((words, -counts))
+        smooth = counts[order] + 1.0
+        total = smooth.sum() + rare_mass
+        self.rare_classes = int(np.clip(round(CLASSES * rare_mass / total) if total else 1, 1, CLASSES - 1))
+        own = CLASSES - self.rare_classes
+        cls = np.minimum(((np.cumsum(smooth) - smooth) / max(smooth.sum(), 1.0) * own).astype(np.int32), own - 1)
+        wanted = 1 << max(0, distinct // WORDS_PER_INPUT).bit_length()
+        self.n_inputs = int(np.clip(wanted, LEAST_INPUTS, MOST_INPUTS))
+        self.shared_from = self.n_inputs - self.n_inputs // 8
+        inputs = np.arange(1, len(order) + 1, dtype=np.int32)  # 0 stands beyond a text's ends
+        inputs = np.where(inputs < self.shared_from, inputs, self._shared(words[order])).astype(np.int32)
+        self.class_mass = np.bincount(cls, weights=smooth, minlength=CLASSES)
+        by_word = np.argsort(words[order])
+        self.words, self.inputs, self.classes = words[order][by_word], inputs[by_word], cls[by_word]
+        self.inside = np.log(smooth / self.class_mass[cls])[by_word].astype(np.float32)
+
+    def _shared(self, words: np.ndarray) -> np.ndarray:
+        return (self.shared_from + words % (self.n_inputs - self.shared_from)).astype(np.int32)
+
+    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs, classes, log P(word | class) and whether a word is rare; a rare word's log P lacks log(n + 1)."""
+        words = hashes.view(np.int64)
+        rare_class = (CLASSES - self.rare_classes + words % self.rare_classes).astype(np.int32)
+        if not len(self.words):
+            return self._shared(words), rare_class, -np.log(self.class_mass[rare_class]), np.ones(len(words), bool)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        rare = self.words[at] != words
+        inputs, classes, inside = self.inputs[at], self.classes[at], self.inside[at]
+        inputs[rare], classes[rare] = self._shared(words[rare]), rare_class[rare]
+        inside[rare] = -np.log(self.class_mass[rare_class[rare]])
+        return inputs, classes, inside, rare
 
 
-SHAPES = {"E": (INPUTS, WIDTH), "W": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "U": (HIDDEN, CLASSES), "c": (CLASSES,)}
+class Vocabulary:
+    """The words of the corpus: Types for the tasks and the table of the counts of all rare words.
+
+    What reaches the driver: the number of words by count (at most the square root of twice the corpus' words), the
+    frequent words (HEAD at most), the mass of the rare classes."""
+
+    def __init__(self, counts: DataFrame, head: int = HEAD) -> None:
+        by_count = sorted(((r["n"], r["words"]) for r in counts.groupBy("n").agg(F.count("*").alias("words")).collect()), reverse=True)
+        kept, least = 0, None
+        for n, words in by_count:
+            if kept + words > head:
+                break
+            kept, least = kept + words, n
+        frequent = F.lit(False) if least is None else F.col("n") >= least
+        top = counts.filter(frequent).toArrow()
+        self.rare = counts.filter(~frequent)
+        self.n_rare = sum(words for _, words in by_count) - kept
+        rare_mass = float(sum((n + 1) * words for n, words in by_count if least is None or n < least))
+        self.types = t = Types(top["word"].to_numpy(), top["n"].to_numpy(), kept + self.n_rare, rare_mass)
+        own = CLASSES - t.rare_classes
+        t.class_mass[own:] = 1.0  # room for words that the corpus lacks
+        if self.n_rare:
+            for r in self.rare.groupBy(F.pmod("word", F.lit(t.rare_classes)).alias("c")).agg(F.sum(F.col("n") + 1).alias("mass")).collect():
+                t.class_mass[own + int(r["c"])] += r["mass"]
+
+
+def shapes(n_inputs: int) -> dict[str, tuple[int, ...]]:
+    return {"E": (n_inputs, WIDTH), "W": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "U": (HIDDEN, CLASSES), "c": (CLASSES,)}
 
 
 def initial(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    rng = np.random.default_rng(SEED)
-    p = {k: (rng.standard_normal(s) * 0.3 / np.sqrt(s[0] if k in "WU" else 1)).astype(np.float32) for k, s in SHAPES.items()}
+    rng, mass = np.random.default_rng(SEED), vocabulary.types.class_mass
+    p = {k: (rng.standard_normal(s) * 0.3 / np.sqrt(s[0] if k in "WU" else 1)).astype(np.float32) for k, s in shapes(vocabulary.types.n_inputs).items()}
     p["b"][:] = 0
-    p["c"] = np.log(np.maximum(vocabulary.class_mass, 1e-9) / vocabulary.class_mass.sum()).astype(np.float32)
+    p["c"] = np.log(np.maximum(mass, 1e-9) / mass.sum()).astype(np.float32)
     return p
 
 
 def flat(p: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([p[k].ravel() for k in SHAPES])
+    return np.concatenate([x.ravel() for x in p.values()])
 
 
-def unflat(v: np.ndarray) -> dict[str, np.ndarray]:
+def unflat(v: np.ndarray, n_inputs: int) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for k, s in SHAPES.items():
+    for k, s in shapes(n_inputs).items():
         n = int(np.prod(s))
         out[k] = v[at : at + n].reshape(s).astype(np.float32)
         at += n
@@ -171,55 +226,68 @@ class Trainer:
         for k, g in (("U", h.T @ z), ("c", z.sum(axis=0)), ("W", x.T @ dh), ("b", dh.sum(axis=0))):
             self.g2[k] += g * g
             p[k] -= RATE * g / np.sqrt(self.g2[k])
-        ids, back = np.unique(context.ravel(), return_inverse=True)
-        g = np.zeros((len(ids), WIDTH), np.float32)
-        np.add.at(g, back, dx)
+        order = np.argsort(context.ravel(), kind="stable")
+        ids = context.ravel()[order]
+        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        ids, g = ids[first], np.add.reduceat(dx[order], first, axis=0)
         self.g2["E"][ids] += g * g
         p["E"][ids] -= RATE * g / np.sqrt(self.g2["E"][ids])
         self.seen += n
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    """The average of the tasks' networks, each trained on the masked positions of all its documents."""
-    rolling, start = Rolling(), initial(vocabulary)
+    """The average of the tasks' networks, each trained on every position of all its documents, a fold of masked positions at a time."""
+    rolling, start, types = Rolling(), initial(vocabulary), vocabulary.types
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = Trainer(start)
         for batch in batches:
             for _, data, off in text_blocks(batch, "text"):
-                types, rows = type_ids(data, off, rolling)
-                if not len(types):
+                words, rows = words_of(data, off, rolling)
+                if not len(words):
                     continue
-                place = np.arange(len(types), dtype=np.uint64) + types.astype(np.uint64) * np.uint64(0x9E3779B9)
-                chosen = np.flatnonzero((mix(place) >> np.uint64(40)) < int(MASKED * (1 << 24)))
-                context, target = contexts(vocabulary.inputs[types], rows)[chosen], vocabulary.classes[types[chosen]]
-                for i in range(0, len(chosen), MINIBATCH):
-                    t.step(context[i : i + MINIBATCH], target[i : i + MINIBATCH])
+                inputs, classes, _, _ = types.look_up(words)
+                context = contexts(inputs, rows)
+                fold = mix(np.arange(len(words), dtype=np.uint64) + words) % np.uint64(FOLDS)
+                for f in range(FOLDS):
+                    chosen = np.flatnonzero(fold == f)
+                    for i in range(0, len(chosen), MINIBATCH):
+                        t.step(context[chosen[i : i + MINIBATCH]], classes[chosen[i : i + MINIBATCH]])
         if t.seen:
             yield _as_slices(flat(t.p).astype(np.float64) * t.seen, float(t.seen))
 
     total, weight = summed(docs.select("text").mapInArrow(fit, SLICE_SCHEMA))
-    return unflat(total / weight) if weight else start
+    return unflat(total / weight, types.n_inputs) if weight else start
 
 
 def score(docs: DataFrame, vocabulary: Vocabulary, p: dict[str, np.ndarray]) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_prob) of every row."""
-    rolling = Rolling()
+    rolling, types = Rolling(), vocabulary.types
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, n_rows = batch.column(0), batch.num_rows
             n, total = np.zeros(n_rows, np.int64), np.zeros(n_rows)
+            n_rare, rares = np.zeros(n_rows, np.int64), [np.empty(0, np.int64)]
             for span, data, off in text_blocks(batch, "text", 1 << 19):
-                types, rows = type_ids(data, off, rolling)
-                if len(types):
-                    lp = log_probabilities(p, contexts(vocabulary.inputs[types], rows), vocabulary.classes[types]) + vocabulary.inside[types]
+                words, rows = words_of(data, off, rolling)
+                if len(words):
+                    inputs, classes, inside, rare = types.look_up(words)
+                    lp = log_probabilities(p, contexts(inputs, rows), classes) + inside
                     n[span] = np.bincount(rows, minlength=len(off) - 1)
                     total[span] = np.bincount(rows, weights=lp, minlength=len(off) - 1)
-            mean = pa.array(np.where(n > 0, total / np.maximum(n, 1), 0), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(total), mean], names=["doc_id", "n_tokens", "log_likelihood", "mean_log_prob"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, mean_log_prob double")
+                    n_rare[span] = np.bincount(rows[rare], minlength=len(off) - 1)
+                    rares.append(words[rare].view(np.int64))
+            ends = pa.array(np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(total), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(rares)))], names=["doc_id", "n_tokens", "log_likelihood", "rare"])
+
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, rare array<long>")
+    if vocabulary.n_rare:
+        out = written(out.withColumn("row", F.monotonically_increasing_id()), "scores")
+        held = out.select("row", F.explode("rare").alias("word")).join(vocabulary.rare, "word")
+        more = held.groupBy("row").agg(F.sum(F.log(F.col("n") + 1.0)).alias("more"))
+        out = out.drop("rare").join(more, "row", "left").withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce("more", F.lit(0.0)))
+    return out.select("doc_id", "n_tokens", "log_likelihood", F.expr("case when n_tokens > 0 then log_likelihood / n_tokens end").alias("mean_log_prob"))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 empty tables, extra columns with clashing names."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -417,6 +418,41 @@ def test_pseudo_likelihood_prefers_order(spark):
     assert mean(texts[:50], p) > mean(texts[:50], pseudo_likelihood.initial(voc)) + 0.3
 
 
+def test_pseudo_likelihood_counts_every_word_as_itself(spark):
+    # 90,000 words, more than the cells that words were once hashed into: unseen words must not take others' counts.
+    texts = [(i, " ".join(f"word{j}" for j in range(90 * i, 90 * i + 90)) + " often" * 10) for i in range(1000)]
+    docs = docs_of(spark, texts)
+    counts = pseudo_likelihood.type_counts(docs)
+    assert counts.count() == 90_001 and counts.agg(F.sum("n"), F.max("n")).first()[:] == (100_000, 10_000)
+    asked = docs_of(spark, [(1, " ".join(f"word{j}" for j in range(50))), (2, " ".join(f"junk{j}" for j in range(50))), (3, "often word1 junk1")])
+    whole = pseudo_likelihood.Vocabulary(counts)
+    assert whole.n_rare == 0
+    means = {r["doc_id"]: r["mean_log_prob"] for r in pseudo_likelihood.score(asked, whole, pseudo_likelihood.initial(whole)).collect()}
+    assert means[1] > means[2]
+    # With a short head the same counts come from the join: P over all words of the corpus stays one.
+    short = pseudo_likelihood.Vocabulary(counts, head=10)
+    assert short.n_rare == 90_000
+    t = short.types
+    assert abs(t.class_mass.sum() - (190_001 + t.rare_classes)) < 1e-6
+    p = pseudo_likelihood.initial(short)
+    for k in ("E", "W", "U"):
+        p[k][:] = 0
+    got = {r["doc_id"]: r["log_likelihood"] for r in pseudo_likelihood.score(asked, short, p).collect()}
+    expected = sum(math.log(n / (190_001 + t.rare_classes)) for n in (10_001, 2, 1))
+    assert abs(got[3] - expected) < 1e-3
+    assert abs(got[1] - got[2] - 50 * math.log(2)) < 1e-2
+
+
+def test_pseudo_likelihood_trains_on_every_position(spark, monkeypatch):
+    docs = docs_of(spark, [(i, " ".join(f"w{(i + j) % 50}" for j in range(40))) for i in range(50)])
+    voc = pseudo_likelihood.Vocabulary(pseudo_likelihood.type_counts(docs))
+    seen = []
+    summed = pseudo_likelihood.summed
+    monkeypatch.setattr(pseudo_likelihood, "summed", lambda s: seen.append(summed(s)) or seen[-1])
+    pseudo_likelihood.train(docs, voc)
+    assert seen[-1][1] == 2000
+
+
 def test_pseudo_likelihood_edges(spark):
     docs = docs_of(spark, edge_texts(random.Random(1)))
     voc = pseudo_likelihood.Vocabulary(pseudo_likelihood.type_counts(docs))
