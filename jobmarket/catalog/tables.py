@@ -351,9 +351,9 @@ def spend(spark, d):
 
 @query("a36_language_shares", None)
 def language_shares(spark, d):
-    """Languages of a document's chunks of 80 characters or more that hold 15 % of them or more."""
+    """Languages of a document's chunks (of about 500 characters, those of 80 or more) that hold 15 % of them or more."""
     docs = read(spark, d, "documents")
-    chunks = docs.select("doc_id", F.explode(F.filter(F.split("text", "\n"), lambda x: F.length(x) >= 80)).alias("chunk"))
+    chunks = docs.select("doc_id", F.explode(F.filter(T.chunks(F.col("text")), lambda x: F.length(x) >= 80)).alias("chunk"))
     n = chunks.select("doc_id", T.language(F.lit(None).cast("string"), F.col("chunk")).alias("found")).groupBy("doc_id", "found").agg(F.count("*").alias("n"))
     share = F.col("n") / F.sum("n").over(Window.partitionBy("doc_id"))
     return n.withColumn("share", F.round(share, 4)).filter("share >= 0.15")

@@ -191,15 +191,20 @@ def technologies(text: Column, patterns: list[tuple[str, str, bool]]) -> Column:
 
 
 def language(given: Column, text: Column) -> Column:
-    """The given language's first two letters, else the one with most stop words in the first 400 characters (ties in
-    the order en, de, fr, es), else unknown; unknown under 20 characters."""
-    words = F.split(F.lower(F.substring(text, 1, 400)), r"[^\p{L}]+")
+    """The given language's first two letters, else the one with most stop words in the whole text (ties in the order
+    en, de, fr, es), else unknown; unknown under 20 characters."""
+    words = F.split(F.lower(text), r"[^\p{L}]+")
     hits = [F.struct(F.size(F.filter(words, _among(ws))).alias("n"), F.lit(-i).alias("o"), F.lit(lang).alias("lang")) for i, (lang, ws) in enumerate(STOP_WORDS.items())]
     best = F.greatest(*hits)
     found = F.when((F.length(text) >= 20) & (best["n"] > 0), best["lang"]).otherwise("unknown")
     return F.coalesce(F.lower(F.substring(given, 1, 2)), found)
 
 
+def chunks(text: Column) -> Column:
+    """The whole text in pieces of 500 characters at most, cut at the last white space; longer words are cut hard."""
+    return F.transform(F.regexp_extract_all(text, F.lit(r"(?s).{1,500}\z|.{1,499}\s|.{500}"), F.lit(0)), lambda x: F.regexp_replace(x, r"^\s+|\s+\z", ""))
+
+
 def _among(words: tuple[str, ...]):
     return lambda x: x.isin(*words)
 

@@ -104,3 +104,22 @@ def test_blocks_table_function(spark):
     spark.udtf.register("blocks_of", E.BlocksOf)
     rows = spark.sql("select b.tag, b.text from values ('<h1>A</h1><script>x</script><p>b <b>c</b></p>') v(html), lateral blocks_of(html) b").collect()
     assert [(r["tag"], r["text"]) for r in rows] == [("h1", "A"), ("p", "b c")]
+
+
+def test_language_takes_the_whole_text(spark):
+    english, german = "the work of a team and the plan for it is with us ", "der Plan und die Arbeit mit dem Team ist nicht weit "
+    df = spark.createDataFrame([(1, "Xyz " * 150 + german * 20), (2, english * 3 + german * 40)], "id int, text string")
+    got = {r[0]: r[1] for r in df.select("id", T.language(F.lit(None).cast("string"), F.col("text"))).collect()}
+    assert got == {1: "de", 2: "de"}
+
+
+def test_language_shares_of_one_long_line(spark, tmp_path):
+    from jobmarket.catalog.tables import language_shares
+
+    english, german = "the work of a team and the plan for it is with us ", "der Plan und die Arbeit mit dem Team ist nicht weit "
+    text = english * 100 + german * 100
+    spark.createDataFrame([(1, text), (2, "x" * 1200)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["doc_id"], r["found"]): r["share"] for r in language_shares(spark, str(tmp_path)).collect()}
+    assert set(got) == {(1, "en"), (1, "de"), (2, "unknown")} and abs(got[1, "en"] - 0.5) < 0.1
+    pieces = spark.createDataFrame([(text,)], "t string").select(T.chunks(F.col("t"))).first()[0]
+    assert max(map(len, pieces)) <= 500 and " ".join(pieces) == text.strip()
