@@ -214,7 +214,7 @@ def fingerprint(spark, d):
 def dataset_digest(spark, d):
     """Digest of every partition over its sorted row hashes."""
     h = read(spark, d, "customer").select(F.col("c_nationkey").alias("part"), F.sha2("c_name", 256).alias("h"))
-    return h.groupBy("part").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("digest"), F.count("*").alias("n"))
+    return M.ordered_digest(h)
 
 
 @query("c33_normalised_url", """with p as (select page_id, url, lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]+)', 1)) as host, regexp_replace(regexp_extract(url, '^[A-Za-z]+://[^/?#]+([^?#]*)', 1), '/+$', '') as path, regexp_extract(url, '\\?([^#]*)', 1) as q from pages),

@@ -5,6 +5,10 @@ A mutation returns the new table; writing it is a write of a new version (see so
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -232,3 +236,29 @@ def cursor_page(df: DataFrame, ts: str, ident: str, after: tuple | None, cutoff,
     if after:
         out = out.filter((F.col(ts) > F.lit(after[0])) | ((F.col(ts) == F.lit(after[0])) & (F.col(ident) > F.lit(after[1]))))
     return out.orderBy(ts, ident).limit(size)
+
+
+def ordered_digest(hashes: DataFrame) -> DataFrame:
+    """(part, digest, n) of rows (part, h): SHA-256 of a part's hashes in order, one after the other; null hashes count
+    as rows only. Spark sorts, the digest is fed row by row, so no part has to fit into memory."""
+    def feed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, digest, n, kind = None, None, 0, None
+        for batch in batches:
+            done, kind = [], batch.schema.field("part").type
+            for p, h in zip(batch.column("part").to_pylist(), batch.column("h").to_pylist(), strict=True):
+                if digest is None or p != part:
+                    if digest is not None:
+                        done.append((part, digest.hexdigest(), n))
+                    part, digest, n = p, hashlib.sha256(), 0
+                digest.update((h or "").encode())
+                n += 1
+            if done:
+                yield rows(done, kind)
+        if digest is not None:
+            yield rows([(part, digest.hexdigest(), n)], kind)
+
+    def rows(done: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), (kind, pa.string(), pa.int64()), strict=True)], names=["part", "digest", "n"])
+
+    schema = f"part {hashes.schema['part'].dataType.simpleString()}, digest string, n long"
+    return hashes.select("part", "h").repartition("part").sortWithinPartitions("part", "h").mapInArrow(feed, schema)

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -79,13 +80,33 @@ def _fold(b: Board, rows: pd.DataFrame) -> Board:
     return b
 
 
-def health_batch(events: DataFrame) -> DataFrame:
-    """Final state of every board."""
+#: Microseconds that stand for a null ts, as in the stream.
+NO_TIME = -(1 << 63)
+OUT_ARROW = pa.schema([("board", pa.string()), ("status", pa.string()), *[(k, pa.int32()) for k in ("failures", "empties", "recoveries")], ("last_success", pa.float64()), ("gone_count", pa.int32()), ("gone_last", pa.float64()), ("ever_full", pa.bool_()), ("n_events", pa.int64()), ("next_check_minutes", pa.int32()), ("should_delist", pa.bool_())])
 
-    def fold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([_fold(Board(), rows).row(key[0])])
 
-    return events.groupBy("board").applyInPandas(fold, OUT)
+def health_batch(events: DataFrame) -> DataFrame:
+    """Final state of every board. Boards are sorted by Spark, which spills, and folded event by event: a task holds one
+    state and one batch, however many events a board has."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        board, state = None, None
+        for batch in batches:
+            done = []
+            at = batch.column("ts").cast(pa.timestamp("us")).cast(pa.int64()).to_pylist()
+            for name, outcome, t in zip(batch.column("board").to_pylist(), batch.column("outcome").to_pylist(), at, strict=True):
+                if state is None or name != board:
+                    if state is not None:
+                        done.append(state.row(board))
+                    board, state = name, Board()
+                state.apply(outcome, (NO_TIME if t is None else t) / 1e6)
+            if done:
+                yield pa.RecordBatch.from_pylist(done, OUT_ARROW)
+        if state is not None:
+            yield pa.RecordBatch.from_pylist([state.row(board)], OUT_ARROW)
+
+    wall = events.select("board", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "outcome")
+    return wall.repartition("board").sortWithinPartitions("board", F.asc_nulls_last("ts"), F.asc_nulls_last("event_id")).select("board", "ts", "outcome").mapInArrow(fold, OUT)
 
 
 def health_stream(events: DataFrame) -> DataFrame:

@@ -135,3 +135,25 @@ def test_ingest_splits_bad_rows(spark, tmp_path):
     q = B.ingest(spark.readStream.schema("id int, v double").parquet(path), lambda df, _: good.extend(r["id"] for r in df.collect()), F.col("v") >= 0, lambda df, _: bad.extend(r["id"] for r in df.collect()), str(tmp_path / "c"))
     q.awaitTermination(60)
     assert (good, sorted(bad)) == ([1], [2, 3])
+
+
+def test_boards_and_digests_are_fed_in_batches(spark):
+    # A key is never one group in memory: the plans sort and stream, and keys cross the borders of batches.
+    import hashlib
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        events = spark.range(300).selectExpr("concat('b', if(id % 3 = 0, 0, id % 5)) as board", "(id * 7919) % 300 as event_id", "timestamp_seconds(((id * 7919) % 300) * 3600) as ts", "element_at(array('success', 'empty', 'failure', 'gone'), cast((id * 31) % 4 as int) + 1) as outcome")
+        got = B.health_batch(events)
+        assert "FlatMapGroups" not in got._jdf.queryExecution().toString()
+        pdf = events.toPandas()
+        expected = {b: B._fold(B.Board(), g).row(b) for b, g in pdf.groupby("board")}
+        assert {r["board"]: r.asDict() for r in got.collect()} == expected
+        h = spark.range(500).selectExpr("id % 3 as part", "if(id = 4, null, sha2(cast(id as string), 256)) as h")
+        digests = M.ordered_digest(h)
+        assert "collect_list" not in digests._jdf.queryExecution().toString()
+        for r in digests.collect():
+            hs = sorted(hashlib.sha256(str(i).encode()).hexdigest() for i in range(500) if i % 3 == r["part"] and i != 4)
+            assert (r["digest"], r["n"]) == (hashlib.sha256("".join(hs).encode()).hexdigest(), sum(i % 3 == r["part"] for i in range(500)))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
