@@ -219,6 +219,13 @@ def blocking(spark, d):
     return A.token_pairs(read(spark, d, "pages").select("page_id", toks.alias("tokens")), "page_id", "tokens", 40)
 
 
+@query("j22_related_names")
+def related(spark, d):
+    """J22 as the reference has it: pairs that share a token of at most 200 rows, then containment or strict token subset."""
+    host = F.regexp_extract("url", "://([^/?#]+)", 1)
+    return A.related_names(read(spark, d, "pages").select("page_id", host.alias("name"), F.split(host, r"\.").alias("tokens")), "page_id", "name", "tokens")
+
+
 SNAP = "l as (select o_orderkey as id, o_orderstatus = 'O' as active, cast(round(o_totalprice) as bigint) as p from orders where o_orderkey % 10 <> 1), r as (select o_orderkey as id, case when o_orderkey % 7 = 0 then o_orderstatus <> 'O' else o_orderstatus = 'O' end as active, cast(round(o_totalprice) as bigint) + case when o_orderkey % 11 = 0 then 1 else 0 end as p from orders where o_orderkey % 10 <> 2)"
 
 

@@ -87,6 +87,20 @@ def token_pairs(rows: DataFrame, ident: str, tokens: str, most: int) -> DataFram
     return a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.id") < F.col("b.id"))).groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b")).agg(F.count("*").alias("shared"))
 
 
+def related_names(rows: DataFrame, ident: str, name: str, tokens: str, most: int = 200) -> DataFrame:
+    """(a, b, shared) of token_pairs whose names of 4 characters or more contain one another, or whose token sets are
+    strict subsets; names compare in lower case with single spaces. Only the candidate pairs are checked."""
+    rows = rows.withColumn(tokens, F.filter(F.array_distinct(tokens), lambda x: x != ""))
+    side = rows.select(F.col(ident).alias("_id"), F.lower(F.trim(F.regexp_replace(name, r"\s+", " "))).alias("_name"), F.col(tokens).alias("_tokens"))
+    pairs = token_pairs(rows, ident, tokens, most)
+    for x in ("a", "b"):
+        pairs = pairs.join(side.select(F.col("_id").alias(x), F.col("_name").alias(f"_n{x}"), F.col("_tokens").alias(f"_t{x}")), x)
+    subset = lambda x, y: (F.size(F.array_except(x, y)) == 0) & (F.size(x) < F.size(y))
+    na, nb, ta, tb = (F.col(c) for c in ("_na", "_nb", "_ta", "_tb"))
+    ok = (F.least(F.length(na), F.length(nb)) >= 4) & (na.contains(nb) | nb.contains(na) | subset(ta, tb) | subset(tb, ta))
+    return pairs.filter(ok).select("a", "b", "shared")
+
+
 def board_health(events: DataFrame) -> DataFrame:
     """Events as board outcomes: counts of failures and successes and the last sight of every board."""
     e = events.selectExpr("concat('b', user_id % 40) as board", "concat('c', user_id % 12) as company", "event_type", "ts")

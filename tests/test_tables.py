@@ -157,3 +157,13 @@ def test_boards_and_digests_are_fed_in_batches(spark):
             assert (r["digest"], r["n"]) == (hashlib.sha256("".join(hs).encode()).hexdigest(), sum(i % 3 == r["part"] for i in range(500)))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_related_names_contain_one_another(spark):
+    names = ["acme", "acme labs", "labs of acme", "acme tools", "Zeta  One", "zeta one", "zeta two"] + [f"common{i} corp" for i in range(201)] + [f"held{i} kept" for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(names)), "id int, name string").withColumn("tokens", F.split(F.lower("name"), r"\s+"))
+    got = {(r["a"], r["b"]) for r in A.related_names(df, "id", "name", "tokens").collect()}
+    assert got == {(0, 1), (0, 2), (0, 3), (1, 2), (4, 5)}
+    # A token of 200 rows is evidence, one of 201 is not.
+    short = spark.createDataFrame([(i, f"kept x{i:03d}") for i in range(199)] + [(999, "kept")], "id int, name string").withColumn("tokens", F.split("name", " "))
+    assert A.related_names(short, "id", "name", "tokens").count() == 199
