@@ -13,7 +13,8 @@ most, so every place without such pieces is beyond the distance and nothing is l
 the item's length and with or without spaces. The number of repetitions is chosen so that a window at the largest
 distance is found with probability 0.9 or more (measured in the tests).
 
-The benchmark is the stated query set: it goes to the tasks in blocks of at most BLOCK_BYTES, whatever its size.
+The benchmark is the stated query set: it goes to the tasks in blocks of about BLOCK_BYTES, whatever its size. A block's
+matches are written before the next one is collected, so the driver holds one block; each is a pass over the documents.
 
 Defined results: null or blank texts and items match nothing; rows with a null doc_id or item_id take no part; rows
 that repeat give one row per (doc_id, item_id), the best; ties go to the first place; other columns are ignored.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmarket.llm.common import mix, table, text_blocks
+from jobmarket.llm.common import mix, table, text_blocks, written
 
 MAX_EDITS = 0.1
 PIECE_BYTES = 9
@@ -224,6 +225,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
     for b in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         found = docs.mapInArrow(_matcher(Items(sorted((r["item_id"], r["text"].encode()) for r in rows))), MATCHES)
+        if blocks > 1:
+            found = written(found, "matches")
         out = found if out is None else out.unionByName(found)
     best = F.min(F.struct("edits", "start", "item_bytes")).alias("m")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "m.edits", "m.item_bytes", "m.start")

@@ -323,6 +323,16 @@ def test_decontamination_needs_no_whole_words(spark):
     assert all(sum(i in got for i in range(a, a + 20)) >= 17 for a in (0, 20, 40))
 
 
+def test_decontamination_holds_one_block_at_a_time(spark, monkeypatch):
+    rng, steps = random.Random(8), []
+    bench = spark.createDataFrame([(i, prose(rng, 30)) for i in range(20)], "item_id long, text string")
+    made, kept = cgk_decontam.Items, cgk_decontam.written
+    monkeypatch.setattr(cgk_decontam, "Items", lambda rows: steps.append("collected") or made(rows))
+    monkeypatch.setattr(cgk_decontam, "written", lambda df, label: steps.append("written") or kept(df, label))
+    cgk_decontam.contaminated(docs_of(spark, [(1, prose(rng, 50))]), bench, block_bytes=4000)
+    assert len(steps) >= 4 and steps == ["collected", "written"] * (len(steps) // 2)
+
+
 def test_windows_are_taken_wherever_an_item_is_within_the_edits():
     rng = random.Random(6)
     for n in (5, 12, 25, 60, 150, 400):
