@@ -6,7 +6,7 @@ A document is the set of its distinct word shingles; two link when their Jaccard
    well above the background hold frequent shingles; the order of shingles is by this class, then by hash, so that
    frequent shingles come last and prefixes hold rare ones.
 2. Prefixes. Two sets that reach the threshold share a shingle among the first n - ceil(t n) + 1 of each. Documents
-   with equal sets are collapsed to one member, and members with equal prefixes and size to one group (key).
+   with equal sets are collapsed to one member; members with equal prefixes and size are not grouped further (README).
    Shingles that stand in one prefix only are dropped in the tasks that gather them.
 3. Stars. Per shared shingle, the most typical member (fewest rare shingles) is the pivot; every member is compared
    with the pivot that it shares most shingles with: as many comparisons as members.
