@@ -80,7 +80,7 @@ def _fold(b: Board, rows: pd.DataFrame) -> Board:
     return b
 
 
-#: Microseconds that stand for a null ts, as in the stream.
+#: Nanoseconds that stand for a null ts; seconds are taken from nanoseconds, as in the stream.
 NO_TIME = -(1 << 63)
 OUT_ARROW = pa.schema([("board", pa.string()), ("status", pa.string()), *[(k, pa.int32()) for k in ("failures", "empties", "recoveries")], ("last_success", pa.float64()), ("gone_count", pa.int32()), ("gone_last", pa.float64()), ("ever_full", pa.bool_()), ("n_events", pa.int64()), ("next_check_minutes", pa.int32()), ("should_delist", pa.bool_())])
 
@@ -99,7 +99,7 @@ def health_batch(events: DataFrame) -> DataFrame:
                     if state is not None:
                         done.append(state.row(board))
                     board, state = name, Board()
-                state.apply(outcome, (NO_TIME if t is None else t) / 1e6)
+                state.apply(outcome, (NO_TIME if t is None else t * 1000) / 1e9)
             if done:
                 yield pa.RecordBatch.from_pylist(done, OUT_ARROW)
         if state is not None:
