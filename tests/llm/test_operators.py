@@ -1,6 +1,7 @@
 """The ten operators against brute force, round trips and edge cases: nulls, empty and long texts, ties, repeated rows,
 empty tables, extra columns with clashing names."""
 
+import gzip
 import hashlib
 import math
 import random
@@ -52,6 +53,45 @@ def test_warc_round_trip_and_links(spark, tmp_path):
     assert all("Content-Type: text/html" in r["headers"]["WARC-Source-Header"] for r in back.collect())
 
 
+def test_warc_reads_response_records_of_files(spark, tmp_path):
+    body = "<html><head><title>T</title></head><body><p>Olá <b>you</b></p>\r\n\r\n<a href='u'>z</a></body></html>".encode() + b"\xff"
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nX-A: 1\r\n\r\n" + body
+
+    def record(kind, block, *more):
+        head = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:{kind}>", "WARC-Target-URI: http://a", "WARC-Date: 2024-01-02T03:04:05Z", *more, f"Content-Length: {len(block)}"]
+        return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    parts = [record("warcinfo", b"software: x\r\n"), record("response", http), record("response", http, "WARC-Payload-Digest: sha1:ABC"), record("response", b"HTTP/1.1 204 No Content")]
+    (tmp_path / "a.warc").write_bytes(b"".join(parts))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(gzip.compress(p) for p in parts))
+    for name in ("a.warc", "b.warc.gz"):
+        resp = warc.responses_of(warc.read_warc(spark, str(tmp_path / name)))
+        rows = sorted(resp.collect(), key=lambda r: r["payload_digest"])
+        assert [r["payload_digest"] for r in rows] == sorted(["sha1:ABC", "sha256:" + hashlib.sha256(body).hexdigest(), "sha256:" + hashlib.sha256(b"").hexdigest()])
+        d = [r for r in warc.derive(resp).collect() if r["source_payload_digest"] == "sha1:ABC"]
+        assert {r["record_type"] for r in d} == {"metadata", "conversion"} and {r["refers_to"] for r in d} == {"<urn:response>"}
+        assert all(r["source_headers"] == ["Content-Type: text/html", "X-A: 1"] and r["warc_date"] == "2024-01-02T03:04:05Z" for r in d)
+        assert next(r["block"] for r in d if r["record_type"] == "conversion").startswith("Olá you\nz")
+
+
+def test_warc_visible_text_of_long_and_odd_pages(spark):
+    def plain(html):
+        t = re.sub(warc.HIDDEN, " ", html)
+        t = re.sub(warc.TAG, "", re.sub(warc.BREAKING, "\n", t))
+        for entity, char in warc.ENTITIES:
+            t = t.replace(entity, char)
+        return re.sub(r"^[ \n]+|[ \n]+$", "", re.sub(r" ?\n[ \n]*", "\n", re.sub(r"[ \t\r\f]+", " ", t)))
+
+    rng = random.Random(2)
+    odd = ["<head>", "</head >", "<script>", "</script>", "<!-- ", "-->", "<p>", "<b>", "</div>", "&amp;lt;", " ", "  ", "\t", "\n", "x", "é", "<", ">"]
+    pages = [(i, "".join(rng.choice(odd) for _ in range(60))) for i in range(200)]
+    pages += [(900, "<script>" + "< a " * 2_000), (901, "<p>a \t b</p>" * 20_000), (902, "<" * 2_000), (903, "")]
+    got = {r[0]: r[1] for r in spark.createDataFrame(pages, "i int, html string").select("i", warc.visible_text(F.col("html"))).collect()}
+    assert all(got[i] == plain(h) for i, h in pages)
+    long = spark.createDataFrame([(1, "<p>x</p>" + "< a " * 500_000)], "i int, html string").select(warc.visible_text(F.col("html"))).first()[0]
+    assert long == "x\n" + ("< a " * 500_000).strip()
+
+
 # --- 2 personal data --------------------------------------------------------------------------------------------------
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
