@@ -1,13 +1,14 @@
 """Substring deduplication by content-defined chunking.
 
 A gear hash, h = (h << 1) + gear[byte], runs over the UTF-8 bytes of every whole text; a position where the chosen bits
-of h are zero ends a chunk. The bits depend on the last 32 bytes only, so an insertion moves no cut beyond its
-neighbourhood. Chunks between MIN_CHUNK and MAX_CHUNK bytes are compared by a 128-bit digest over the whole corpus; of
-equal chunks, the first by (doc_id, start) stays and the others are removed.
+of h are zero ends a chunk. The bits depend on the last WINDOW bytes only, so an insertion moves no cut beyond its
+neighbourhood. All chunks are compared by a 128-bit digest over the whole corpus. Repeated chunks that follow each other
+form a passage; passages of LEAST_PASSAGE bytes count (shorter ones are lines and phrases that recur by themselves). Of
+equal chunks, the first by (doc_id, text, start) stays and the others are removed.
 
 Defined results: a null text is empty (no chunk, nothing removed); rows with a null doc_id take no part; rows that
-repeat a doc_id and text count as one, since they cannot be told apart; chunks under SHORT bytes (ends of texts, and
-texts that short) always stay; other columns are ignored.
+share a doc_id are told apart by their texts; rows that repeat both count as one, since nothing tells them apart; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,20 +18,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobmarket.llm.common import binary_column, table, text_blocks, written
 
 #: Shortest and longest chunk in bytes, and the number of zero bits at a cut (a cut each 2**CUT_BITS bytes).
-MIN_CHUNK = 32
+MIN_CHUNK = 24
 MAX_CHUNK = 1024
-CUT_BITS = 6
-#: Chunks shorter than this are kept even if they repeat: they hold a few words that recur by chance.
-SHORT = 32
+CUT_BITS = 5
+#: Bytes that the highest bits of the hash depend on.
+WINDOW = 32
+#: Fewest bytes of repeated chunks in a row that are a passage.
+LEAST_PASSAGE = 96
 GEAR_SEED = 611
-
-CHUNKS = "doc_id long, start int, length int, d1 long, d2 long"
+#: t, a hash of the text, tells texts of one doc_id apart.
+KEY = ["doc_id", "t"]
+CHUNKS = "doc_id long, t long, start int, length int, d1 long, d2 long"
 
 
 def gear_table() -> np.ndarray:
@@ -55,12 +59,12 @@ def cuts(data: np.ndarray, off: np.ndarray, gear: np.ndarray) -> list[tuple[int,
     for r in range(len(off) - 1):
         a, b = int(off[r]), int(off[r + 1])
         start = a
-        # A hash near the text's start saw bytes of the text before; those cuts fall under MIN_CHUNK and are skipped.
+        # A hash within WINDOW bytes of the text's start saw bytes of the text before: no cut there.
         for e in ends[first[r] : first[r + 1]]:
             while e - start > MAX_CHUNK:
                 out.append((r, start, start + MAX_CHUNK))
                 start += MAX_CHUNK
-            if e - start >= MIN_CHUNK:
+            if e - start >= MIN_CHUNK and e - a >= WINDOW:
                 out.append((r, start, e))
                 start = e
         while b - start > MAX_CHUNK:
@@ -71,54 +75,69 @@ def cuts(data: np.ndarray, off: np.ndarray, gear: np.ndarray) -> list[tuple[int,
     return out
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, length, d1, d2) of every chunk of every text; one pass, no shuffle."""
+    """(doc_id, t, start, length, d1, d2) of every chunk of every text; one pass, no shuffle."""
     gear = gear_table()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, t = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for rows, data, off in text_blocks(batch, "text"):
                 found = cuts(data, off, gear)
                 if not found:
                     continue
-                raw, own = data.tobytes(), ids[rows]
+                raw = data.tobytes()
                 at = np.array(found, np.int64)
                 d = np.frombuffer(b"".join([hashlib.blake2b(raw[a:b], digest_size=16).digest() for _, a, b in found]), np.int64).reshape(-1, 2)
-                cols = [own[at[:, 0]], (at[:, 1] - off[at[:, 0]]).astype(np.int32), (at[:, 2] - at[:, 1]).astype(np.int32), d[:, 0], d[:, 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc_id", "start", "length", "d1", "d2"])
+                cols = [ids[rows][at[:, 0]], t[rows][at[:, 0]], (at[:, 1] - off[at[:, 0]]).astype(np.int32), (at[:, 2] - at[:, 1]).astype(np.int32), d[:, 0], d[:, 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc_id", "t", "start", "length", "d1", "d2"])
 
-    return docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, CHUNKS)
+    return _keyed(docs).select(*KEY, "text").mapInArrow(cut, CHUNKS)
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, length, keeps) of every chunk that stands at more than one place; keeps: the first place.
+    """(doc_id, t, start, length, keeps) of every chunk that stands at more than one place; keeps: the first place.
 
     Chunks are written once; counting combines per task before the shuffle, and the join with the repeated digests
     lets Spark split a digest that holds a large share of all rows."""
     c = written(chunks(docs), "chunks")
-    c = c.filter(F.col("length") >= SHORT)
-    place = F.struct("doc_id", "start")
+    place = F.struct(*KEY, "start")
     seen = c.groupBy("d1", "d2", "length").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter(F.col("first") != F.col("last"))
-    return c.join(seen, ["d1", "d2", "length"]).select("doc_id", "start", "length", (place == F.col("first")).alias("keeps")).distinct()
+    return c.join(seen, ["d1", "d2", "length"]).select(*KEY, "start", "length", (place == F.col("first")).alias("keeps")).distinct()
+
+
+def passages(repeated: DataFrame) -> DataFrame:
+    """The repeated chunks that stand in passages, with end and, where they go, the number of the run that goes."""
+    by_place = Window.partitionBy(*KEY).orderBy("start")
+    before = F.lag(F.struct("end", "keeps")).over(by_place)
+    r = repeated.withColumn("end", F.col("start") + F.col("length")).withColumn("before", before)
+    apart = F.coalesce(F.col("before.end") != F.col("start"), F.lit(True))
+    r = r.withColumns({"passage": F.count_if(apart).over(by_place), "gone": F.count_if(~F.col("keeps") & (apart | F.col("before.keeps"))).over(by_place)})
+    r = r.withColumn("bytes", F.sum("length").over(Window.partitionBy(*KEY, "passage")))
+    return r.filter(F.col("bytes") >= LEAST_PASSAGE).select(*KEY, "start", "end", "length", F.when(~F.col("keeps"), F.col("gone")).alias("gone"))
 
 
 def spans(repeated: DataFrame) -> DataFrame:
-    """Per document: repeated chunks and bytes, and what goes, as maximal runs (start, end)."""
-    gone = F.filter("all", lambda x: ~x["keeps"])
-    per = repeated.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "length", "keeps"))).alias("all"))
-    merged = F.aggregate(
-        gone, F.expr("cast(array() as array<struct<s:int,e:int>>)"),
-        lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["e"] == x["start"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["s"].alias("s"), (x["start"] + x["length"]).alias("e")))))
-        .otherwise(F.concat(acc, F.array(F.struct(x["start"].alias("s"), (x["start"] + x["length"]).alias("e"))))),
+    """Per text: repeated chunks and bytes, and what goes, as maximal runs (s, e). All steps share one partitioning."""
+    runs = passages(repeated).groupBy(*KEY, "gone").agg(F.count("*").alias("n"), F.sum("length").alias("bytes"), F.min("start").alias("s"), F.max("end").alias("e"))
+    goes = F.col("gone").isNotNull()
+    return runs.groupBy(*KEY).agg(
+        F.sum("n").alias("n_repeated"), F.sum("bytes").alias("repeated_bytes"), F.coalesce(F.sum(F.when(goes, F.col("bytes"))), F.lit(0)).alias("n_removed"),
+        F.sort_array(F.collect_list(F.when(goes, F.struct("s", "e")))).alias("removed"),
     )
-    total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x["length"])
-    return per.select("doc_id", F.size("all").cast("long").alias("n_repeated"), total(F.col("all")).alias("repeated_bytes"), total(gone).alias("n_removed"), merged.alias("removed"))
+
+
+def with_spans(docs: DataFrame) -> DataFrame:
+    """(doc_id, t, text) and the columns of spans, for every row with an id; rows without repeats have nulls."""
+    return _keyed(docs).join(spans(repeated_chunks(docs)), KEY, "left")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """The documents with their repeated chunks taken out of the text (as bytes: a cut can part a character)."""
-    s = spans(repeated_chunks(docs)).withColumnRenamed("doc_id", "_id").select("_id", "removed")
+    """(doc_id, kept): the texts with their repeated chunks taken out (as bytes: a cut can part a character)."""
 
     def take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,15 +150,14 @@ def dedup(docs: DataFrame) -> DataFrame:
                 kept.append(b"".join([*parts, text[at:]]))
             yield batch.append_column("kept", pa.array(kept, pa.binary())).select(["doc_id", "kept"])
 
-    joined = docs.select("doc_id", "text").join(s, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "removed")
-    return joined.mapInArrow(take_out, "doc_id long, kept binary")
+    return with_spans(docs).select("doc_id", "text", "removed").mapInArrow(take_out, "doc_id long, kept binary")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's repeated chunks: how many, how many bytes, and the byte spans that go."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    s = spans(repeated_chunks(docs))
     text = F.array_join(F.transform("removed", lambda x: F.concat_ws(":", x["s"].cast("string"), x["e"].cast("string"))), ",")
-    own = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")).filter("doc_id is not null")
-    out = own.join(s, "doc_id", "left")
-    return out.select("doc_id", "n_bytes", F.coalesce("n_repeated", F.lit(0)).alias("n_repeated"), F.coalesce("repeated_bytes", F.lit(0)).alias("repeated_bytes"), F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_spans"), F.coalesce(text, F.lit("")).alias("spans"))
+    own = _keyed(docs).select(*KEY, F.octet_length("text").cast("long").alias("n_bytes"))
+    out = own.join(spans(repeated_chunks(docs)), KEY, "left")
+    number = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return out.select("doc_id", "n_bytes", *[number(c).alias(c) for c in ("n_repeated", "repeated_bytes", "n_removed")], number(F.size("removed")).alias("n_spans"), F.coalesce(text, F.lit("")).alias("spans"))

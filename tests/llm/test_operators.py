@@ -304,6 +304,55 @@ def test_chunks_resist_insertions_and_dedup(spark):
     assert kept[2] == cut and kept[4] == b""
 
 
+def brute_chunks(text):
+    """Chunks one byte at a time: h over the last 32 bytes, a cut where its top bits are zero."""
+    gear, out, start = cdc_dedup.gear_table().tolist(), [], 0
+    for e in range(1, len(text) + 1):
+        h = 0
+        for c in text[max(0, e - 32) : e]:
+            h = (h << 1) + gear[c] & 0xFFFFFFFF
+        zero = h >> 32 - cdc_dedup.CUT_BITS == 0 and e >= cdc_dedup.WINDOW and e - start >= cdc_dedup.MIN_CHUNK
+        if zero or e - start == cdc_dedup.MAX_CHUNK or e == len(text):
+            out.append((start, e))
+            start = e
+    return out
+
+
+def test_chunk_dedup_against_brute_force(spark):
+    rng = random.Random(17)
+    passage, line = prose(rng, 90), prose(rng, 9)
+    texts = [(i, prose(rng, rng.randrange(60)) + passage[rng.randrange(200) :] + prose(rng, rng.randrange(60))) for i in range(12)]
+    texts += [(20 + i, prose(rng, 20) + " " + line + " " + prose(rng, 20)) for i in range(6)] + [(30, passage * 3), (31, ""), (32, None), (33, "x" * 5000)]
+    # One id with several texts, of which one is a copy: the others keep every byte.
+    texts += [(1, texts[5][1]), (40, passage), (40, prose(rng, 80)), (40, "short")]
+    rows = [(i, (t or "").encode()) for i, t in texts]
+    places = {}
+    for k, (_, t) in enumerate(rows):
+        for a, b in brute_chunks(t):
+            places.setdefault(t[a:b], []).append((k, a))
+    hashes = {r["text"]: r["t"] for r in cdc_dedup._keyed(docs_of(spark, texts)).select("text", "t").distinct().collect()}
+    want = []
+    for k, (i, t) in enumerate(rows):
+        found, passages = [(a, b) for a, b in brute_chunks(t) if len(places[t[a:b]]) > 1], []
+        for a, b in found:
+            if passages and passages[-1][-1][1] == a:
+                passages[-1].append((a, b))
+            else:
+                passages.append([(a, b)])
+        kept, at, n = b"", 0, 0
+        for a, b in [x for p in passages if p[-1][1] - p[0][0] >= cdc_dedup.LEAST_PASSAGE for x in p]:
+            first = min((rows[j][0], hashes[texts[j][1] or ""], c) for j, c in places[t[a:b]])
+            n += 1
+            if first != (i, hashes[texts[k][1] or ""], a):
+                kept, at = kept + t[at:a], b
+        want.append((i, n, kept + t[at:]))
+    docs = docs_of(spark, texts)
+    got = {(r["doc_id"], r["text"]): r["n_repeated"] or 0 for r in cdc_dedup.with_spans(docs).collect()}
+    assert all(got[i, texts[k][1] or ""] == n for k, (i, n, _) in enumerate(want))
+    assert sorted((r["doc_id"], bytes(r["kept"])) for r in cdc_dedup.dedup(docs).collect()) == sorted((i, x) for i, _, x in want)
+    assert cdc_dedup.dedup(docs.limit(0)).count() == 0
+
+
 def test_chunks_rebuild_the_text(spark):
     texts = [(i, t) for i, t in edge_texts(random.Random(1)) if i not in (7, None)]
     got = Counter()
