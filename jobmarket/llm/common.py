@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,21 +24,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a folder under the temp directory only where the session names none."""
+    """The folder that all executors share, from spark.checkpoint.dir. A session in one local process that names none
+    (tests) gets a folder of its own; on a cluster there is no folder to guess."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = os.path.join(tempfile.gettempdir(), "jobmarket-shared")
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="jobmarket-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+#: Paths of the tables that each open scratch() will remove, the innermost last.
+_OPEN: list[list[str]] = []
+
+
+def _write(df: DataFrame, label: str, owner: int) -> DataFrame:
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if len(_OPEN) >= owner:
+        _OPEN[-owner].append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Writes df as a Parquet table in the shared folder and reads it back: lineage ends there and a lost executor
-    costs no recomputation. The tables stay until the folder is emptied."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    costs no recomputation. The table stays until the scratch() around it ends, else until the folder is emptied."""
+    return _write(df, label, 1)
+
+
+def result(df: DataFrame, label: str) -> DataFrame:
+    """As written, for what leaves the scratch() around it."""
+    return _write(df, label, 2)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables written inside, once what was made of them is a result()."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 #: Rows of keys (a few longs each) that are small enough to send to every executor.

@@ -486,6 +486,44 @@ def test_mixing_targets_and_rounding(spark):
     assert len(out) == len(texts) and mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixing_rates_solve_the_dual(spark):
+    rng = random.Random(13)
+    texts = [(i, prose(rng, 1 + int(rng.paretovariate(1.2) * 4) % 500)) for i in range(900)] + [(5000, None)]
+    docs = docs_of(spark, texts, {i: rng.choice("abbccccc") for i, _ in texts})
+    rows = mixing.mix(docs).collect()
+    for source in "abc":
+        own = [r for r in rows if r["source"] == source and r["size"]]
+        by_bin = {}
+        for r in own:
+            by_bin.setdefault(math.floor(math.log2(r["size"]) * mixing.BINS), []).append(r)
+        if own[0]["target"] >= 2 * own[0]["source_size"] - 1e-6:
+            assert all(r["copies"] == 2 for r in own)
+            continue
+        scale = sum(r["size"] for r in own) / len(own)
+        x = {b: sum(r["size"] for r in rs) / len(rs) / scale for b, rs in by_bin.items()}
+        rate = lambda t, b: min(2.0, math.exp(t * x[b]))
+        low, high = -100.0 / min(x.values()), 1.0 / min(x.values())
+        for _ in range(200):
+            t = (low + high) / 2
+            over = sum(rate(t, b) * sum(r["size"] for r in rs) for b, rs in by_bin.items()) > own[0]["target"]
+            low, high = (low, t) if over else (t, high)
+        for b, rs in by_bin.items():
+            assert all(r["rate"] == pytest.approx(rate(t, b), rel=1e-6) and math.floor(r["rate"]) <= r["copies"] <= math.floor(r["rate"]) + 1 for r in rs)
+
+
+def test_mixture_takes_repeated_rows_as_planned_and_keeps_their_columns(spark):
+    rng = random.Random(4)
+    same = prose(rng, 40)
+    docs = docs_of(spark, [(1, same)] * 9 + [(2, prose(rng, 30)), (3, prose(rng, 35)), (4, None)] + [(10 + i, prose(rng, 50)) for i in range(20)], {1: "a", 2: "b", 3: "b"})
+    docs = docs.withColumns({"copy_no": F.lit("own"), "_key": F.lit("k"), "bin": F.lit("b"), "row": F.lit("r"), "h": F.lit("h"), "tie": F.lit("t"), "copies": F.lit("c")})
+    m = mixing.mixture(docs).collect()
+    assert {(r["copy_no"], r["_key"], r["bin"], r["row"], r["h"], r["tie"], r["copies"], r["score"], r["size"]) for r in m} == {("own", "k", "b", "r", "h", "t", "c", 9.0, 3)}
+    plan = Counter()
+    for r in mixing.mix(docs).collect():
+        plan[r["doc_id"]] += r["copies"]
+    assert Counter(r["doc_id"] for r in m) == +plan and {r["copy_no_"] for r in m} <= {1, 2}
+
+
 def test_mixture_repeats_documents(spark):
     rng = random.Random(1)
     docs = docs_of(spark, [(i, prose(rng, 20)) for i in range(50)] + [(7, "same id other text"), (None, "no id at all here")], {i: "ab"[i % 2] for i in range(50)})
