@@ -1,15 +1,19 @@
 """Personal data by candidate gradient boosting, with DataFrame functions only.
 
 1. Generators of high recall propose spans, which may overlap: the four base patterns, bare runs of 12 to 19 digits,
-   written-out e-mail addresses, and phone numbers without a country code.
-2. Every candidate is described by format (kind, number of digits, check digit, octets, separators, shape) and context
-   (characters on both sides, words before it), each in a few bins. All candidates of all documents are counted by
-   these bins; the table of counts has at most as many rows as there are combinations of bins.
-3. Boosted trees of depth 2 (Newton steps of the logistic loss) are grown on the counts; the label of a base candidate
-   is whether it passes its check. A fifth of the documents is left out and sets, per kind, the lowest threshold at
-   which PRECISION of the left-out candidates are right.
-4. The trees become one column expression. Base candidates that pass their check are always redacted; all others when
-   their score reaches their kind's threshold and no base span covers them.
+   written-out e-mail addresses, phone numbers without a country code, and groups of hexadecimal digits between colons.
+2. Every candidate has a check of its kind (the last label of a domain has letters only; octets; Luhn; number and first
+   digits of a phone number; eight groups), and is described by format (kind, generator, groups, separators, size of
+   bare numbers) and context (characters on both sides, words before it, the line around it) in a few bins each. The
+   check's outcome is no feature. All candidates of all documents are counted by these bins; the table of counts has at
+   most as many rows as there are combinations of bins.
+3. Boosted trees of depth 3 (Newton steps of the logistic loss) are grown on the counts; the label is the check's
+   outcome, so that they learn which formats and contexts hold real data. A fifth of the documents is left out and
+   calibrates two thresholds per kind: the highest score that RECALL of the left-out candidates that pass their check
+   reach (or twice the share of numbers that pass a check by luck, where that is lower), and the lowest from which
+   PRECISION of all left-out candidates pass it.
+4. The trees become one column expression. Base candidates that pass their check are always redacted. Others are when
+   no base span covers them and they pass their check and reach the first threshold, or reach the second one.
 
 Positions are code points, the end exclusive. Texts are read whole. Everything stays inside a row: no shuffle but the
 counts'.
@@ -38,18 +42,24 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+_AT, _DOT = r"\x20?(?:\(at\)|\[at\]|@)\x20?", r"\x20?(?:\(dot\)|\[dot\]|\.)\x20?"
 EXTRA = (
     ("card", r"(?<![0-9])[0-9]{12,19}(?![0-9])"),
-    ("email", rf"(?<!{_LOCAL}){_LOCAL}++\x20?(?:\(at\)|\[at\]|@)\x20?[A-Za-z0-9-]++(?:\x20?(?:\(dot\)|\[dot\]|\.)\x20?[A-Za-z0-9-]++)++"),
+    ("email", rf"(?<!{_LOCAL}){_LOCAL}++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++"),
     ("phone", r"(?<![0-9])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9])"),
+    ("ip", r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){3,7}(?![0-9A-Za-z:])"),
 )
 #: Words before a candidate that speak for personal data, and for other numbers.
 NEAR = r"(?i)(?:card|visa|konto|account|tel|phone|call|fax|mail|contact|ip|host|server|address)\W*$"
 FAR = r"(?i)(?:token|key|secret|hash|order|id|isbn|version|ref)\W*$"
 PRECISION = 0.97
+RECALL = 0.97
+#: The share of random numbers that pass a check digit.
+LUCK = 0.1
 ROUNDS = 24
+DEPTH = 3
 SHRINK = 0.3
-FEATURES = ("kind", "digits", "luhn", "octets", "separators", "before", "after", "words", "shape")
+FEATURES = ("kind", "generator", "size", "groups", "separators", "before", "after", "words", "line")
 
 CANDIDATES = "array<struct<kind:int,s:int,e:int,m:string,left:string,right:string,base:boolean>>"
 
@@ -59,6 +69,8 @@ def _gate(kind: str, base: bool, text: Column) -> Column:
         return text.contains("@") if base else text.contains("@") | text.contains("(at)") | text.contains("[at]")
     if kind == "phone" and base:
         return text.contains("+")
+    if kind == "ip":
+        return text.contains("." if base else ":") & text.rlike("[0-9]")
     return text.rlike("[0-9]")
 
 
@@ -79,24 +91,27 @@ def _placing(kind: int, base: bool):
     return place
 
 
-def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with _cands: every generator's matches, left to right, with 16 characters of context."""
-    docs = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+def _texts(docs: DataFrame) -> DataFrame:
+    """(row, text): all columns of docs in a struct, and the text without null."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.coalesce(docs["text"], F.lit("")).alias("text"))
+
+
+def candidates(texts: DataFrame) -> DataFrame:
+    """(row, text, cands) of texts (row, text): every generator's matches, left to right, with 16 characters of context."""
     sources = [(k, p, True) for k, p in BASE.items()] + [(k, p, False) for k, p in EXTRA]
     cols = {}
     for i, (kind, pattern, base) in enumerate(sources):
-        gate = _gate(kind, base, F.col("_text"))
-        cols[f"_p{i}"] = F.when(gate, F.split("_text", pattern, -1))
-        cols[f"_m{i}"] = F.when(gate, F.regexp_extract_all("_text", F.lit(pattern), F.lit(0)))
-    docs = docs.withColumns(cols)
+        gate = _gate(kind, base, F.col("text"))
+        cols[f"p{i}"] = F.when(gate, F.split("text", pattern, -1))
+        cols[f"m{i}"] = F.when(gate, F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
+    texts = texts.withColumns(cols)
     none = F.expr(f"cast(array() as {CANDIDATES})")
     lists = []
     for i, (kind, _, base) in enumerate(sources):
-        around = F.transform(f"_m{i}", _with_parts(F.col(f"_p{i}")))
+        around = F.transform(f"m{i}", _with_parts(F.col(f"p{i}")))
         start = F.struct(F.lit(0).alias("pos"), none.alias("out"))
         lists.append(F.coalesce(F.aggregate(around, start, _placing(KINDS.index(kind), base), lambda acc: acc["out"]), none))
-    docs = docs.withColumn("_cands", F.concat(*lists))
-    return docs.drop("_text", *cols)
+    return texts.select("row", "text", F.concat(*lists).alias("cands"))
 
 
 def _digits(m: Column) -> Column:
@@ -119,23 +134,27 @@ def _side(c: Column) -> Column:
     return F.when(F.coalesce(c, F.lit("")).isin("", " ", "\n", "\t"), 0).when(c.rlike("[0-9]"), 3).when(c.rlike(r"\p{L}"), 2).otherwise(1)
 
 
-def described(cands: str = "_cands") -> Column:
+def described(cands: str = "cands") -> Column:
     """The candidates with their binned features and ok: whether the check of their kind passes."""
 
     def one(c: Column) -> Column:
         d = _digits(c["m"])
         n = F.length(d)
         luhn = F.when((n >= 12) & (n <= 19), _luhn(d)).otherwise(F.lit(False))
-        octets = F.when(c["kind"] == 1, _octets(c["m"])).otherwise(F.lit(False))
-        ok = F.when(c["kind"] == 0, F.lit(True)).when(c["kind"] == 1, octets).when(c["kind"] == 2, luhn).otherwise((n >= 9) & (n <= 15))
+        mail = F.regexp_replace(F.regexp_replace(c["m"], _AT, "@"), _DOT, ".").rlike(r"^[^@]*[A-Za-z][^@]*@.*\.[A-Za-z]{2,}$")
+        ip = F.when(c["base"], _octets(c["m"])).otherwise(F.size(F.split(c["m"], ":")) == 8)
+        phone = (n >= 9) & (n <= 15) & (c["base"] | d.rlike("^[2-9][0-9]{2}[2-9]"))
+        ok = F.when(c["kind"] == 0, mail).when(c["kind"] == 1, ip).when(c["kind"] == 2, luhn).otherwise(phone)
+        # A base span needs no more than the base patterns say; they have no check of addresses.
+        sure = c["base"] & F.when(c["kind"] == 0, F.lit(True)).when(c["kind"] == 1, _octets(c["m"])).when(c["kind"] == 2, luhn).otherwise((n >= 9) & (n <= 15))
         spaces = c["m"].contains(" ").cast("int") + c["m"].contains("-").cast("int") + c["m"].contains("(").cast("int")
-        shape = F.when(c["kind"] == 0, c["m"].rlike(r"@.*\.[A-Za-z]{2,}$").cast("int")).when(c["kind"] == 3, c["m"].startswith("+").cast("int")).otherwise(0)
+        groups = F.size(F.split(c["m"], "[^0-9A-Za-z]+"))
         return F.struct(
-            c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e"), c["base"].alias("base"), ok.alias("ok"),
-            F.when(n < 9, 0).when(n < 12, 1).when(n < 16, 2).when(n == 16, 3).when(n <= 19, 4).otherwise(5).alias("digits"),
-            luhn.cast("int").alias("luhn"), octets.cast("int").alias("octets"), F.least(spaces, F.lit(2)).alias("separators"),
+            c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e"), ok.alias("ok"), sure.alias("sure"), c["base"].cast("int").alias("generator"),
+            F.when(c["kind"] != 2, 0).when(n < 12, 1).when(n < 16, 2).when(n == 16, 3).when(n <= 19, 4).otherwise(5).alias("size"),
+            F.least(groups, F.lit(6)).alias("groups"), F.least(spaces, F.lit(2)).alias("separators"),
             _side(F.right(c["left"], F.lit(1))).alias("before"), _side(c["right"]).alias("after"),
-            F.when(c["left"].rlike(FAR), 2).when(c["left"].rlike(NEAR), 1).otherwise(0).alias("words"), shape.alias("shape"),
+            F.when(c["left"].rlike(FAR), 2).when(c["left"].rlike(NEAR), 1).otherwise(0).alias("words"), c["left"].rlike(r"[|,;\t=]\s*$").cast("int").alias("line"),
         )
 
     return F.transform(cands, one)
@@ -174,7 +193,7 @@ def grow(cells: list[tuple[tuple[int, ...], float, float]], rounds: int = ROUNDS
         p = [1 / (1 + math.exp(-m)) for m in margin]
         g = [n * q - y for (_, n, y), q in zip(cells, p, strict=True)]
         h = [n * q * (1 - q) for (_, n, _), q in zip(cells, p, strict=True)]
-        tree = split(list(range(len(cells))), g, h, 2)
+        tree = split(list(range(len(cells))), g, h, DEPTH)
         trees.append(tree)
         margin = [m + value(tree, x) for m, (x, _, _) in zip(margin, cells, strict=True)]
     return first, trees
@@ -193,7 +212,9 @@ def _expression(tree, c: Column) -> Column:
 
 
 class Model:
-    def __init__(self, first: float, trees: list[tuple], thresholds: list[float]) -> None:
+    """thresholds: per kind, for candidates that pass their check and for others."""
+
+    def __init__(self, first: float, trees: list[tuple], thresholds: list[tuple[float, float]]) -> None:
         self.first, self.trees, self.thresholds = first, trees, thresholds
 
     def margin(self, c: Column) -> Column:
@@ -203,38 +224,56 @@ class Model:
         return out
 
     def selects(self, c: Column) -> Column:
-        limit = F.element_at(F.array(*[F.lit(float(t)) for t in self.thresholds]), c["kind"] + 1)
-        return self.margin(c) >= limit
+        limit = lambda i: F.element_at(F.array(*[F.lit(float(t[i])) for t in self.thresholds]), c["kind"] + 1)
+        return self.margin(c) >= F.when(c["ok"], F.least(limit(0), limit(1))).otherwise(limit(1))
+
+
+def calibrated(cells: list[tuple[float, float, float]]) -> tuple[float, float]:
+    """Thresholds from (margin, candidates, right ones): the highest that RECALL of the right ones reach, and the lowest
+    from which PRECISION of all are right (infinite where no margin is)."""
+    recalled = precise = math.inf
+    n_all = y_all = 0.0
+    total = sum(y for _, _, y in cells)
+    cells = sorted(cells, reverse=True)
+    for i, (m, n, y) in enumerate(cells):
+        n_all, y_all = n_all + n, y_all + y
+        if i + 1 == len(cells) or cells[i + 1][0] < m:
+            if recalled == math.inf and total and y_all >= RECALL * total:
+                recalled = m - 1e-9
+            if y_all >= PRECISION * n_all:
+                precise = m - 1e-9
+    return min(recalled, math.log(2 * LUCK / (1 - 2 * LUCK))), precise
 
 
 def fit(docs: DataFrame) -> Model:
-    """Counts all base candidates by their features, over all documents, and grows the trees on the counts."""
-    c = candidates(docs.select("text")).select((F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("out"), F.explode(described()).alias("c")).filter("c.base")
+    """Counts all candidates by their features, over all documents, and grows the trees on the counts."""
+    texts = _texts(docs.select("text"))
+    c = candidates(texts).select((F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("out"), F.explode(described()).alias("c"))
     rows = c.groupBy("out", *[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(F.count("*").alias("n"), F.count_if("c.ok").alias("y")).collect()
-    cells = sorted((tuple(r[f] for f in FEATURES), float(r["n"]), float(r["y"])) for r in rows if not r["out"])
-    first, trees = grow(cells)
+    cells = sorted((r["out"], tuple(r[f] for f in FEATURES), float(r["n"]), float(r["y"])) for r in rows)
+    first, trees = grow([c[1:] for c in cells if not c[0]])
     thresholds = []
     # Where nothing was left out (small tables), the counts that grew the trees set the thresholds.
-    left_out = [(tuple(r[f] for f in FEATURES), float(r["n"]), float(r["y"])) for r in rows if r["out"]]
     for k in range(len(KINDS)):
-        own = [x for x in left_out if x[0][0] == k] or [x for x in cells if x[0][0] == k]
-        scored = sorted(((first + sum(value(t, x) for t in trees), n, y) for x, n, y in own), reverse=True)
-        limit, n_all, y_all = math.inf, 0.0, 0.0
-        for i, (m, n, y) in enumerate(scored):
-            n_all, y_all = n_all + n, y_all + y
-            if (i + 1 == len(scored) or scored[i + 1][0] < m) and y_all >= PRECISION * n_all:
-                limit = m
-        thresholds.append(limit - 1e-9)
+        own = [c for c in cells if c[1][0] == k]
+        own = [c for c in own if c[0] and any(x[0] and x[3] for x in own)] or own
+        thresholds.append(calibrated([(first + sum(value(t, x) for t in trees), n, y) for _, x, n, y in own]))
     return Model(first, trees, thresholds)
 
 
-def detect(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with _base and _all: arrays of (s, kind, e), sorted; _all holds the base spans too."""
-    d = candidates(docs).withColumn("_cands", described())
+def detect_rows(docs: DataFrame, model: Model) -> DataFrame:
+    """(row, text, base, all): row is a struct of all columns of docs; base and all are arrays of (s, kind, e), sorted;
+    all holds the base spans too."""
+    d = candidates(_texts(docs)).withColumn("cands", described())
     span = lambda c: F.struct(c["s"].alias("s"), c["kind"].alias("kind"), c["e"].alias("e"))
-    d = d.withColumn("_base", F.array_sort(F.transform(F.filter("_cands", lambda c: c["base"] & c["ok"]), span)))
-    more = F.filter("_cands", lambda c: ~(c["base"] & c["ok"]) & model.selects(c) & ~F.exists("_base", lambda b: (b["s"] <= c["s"]) & (b["e"] >= c["e"])))
-    return d.withColumn("_all", F.array_sort(F.array_distinct(F.concat("_base", F.transform(more, span))))).drop("_cands")
+    d = d.withColumn("base", F.array_sort(F.transform(F.filter("cands", lambda c: c["sure"]), span)))
+    more = F.filter("cands", lambda c: ~c["sure"] & model.selects(c) & ~F.exists("base", lambda b: (b["s"] <= c["s"]) & (b["e"] >= c["e"])))
+    return d.withColumn("all", F.array_sort(F.array_distinct(F.concat("base", F.transform(more, span))))).drop("cands")
+
+
+def detect(docs: DataFrame, model: Model) -> DataFrame:
+    """docs with _base and _all of detect_rows, in place of columns of these names."""
+    return detect_rows(docs, model).select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in ("_base", "_all")], F.col("base").alias("_base"), F.col("all").alias("_all"))
 
 
 def listed(spans: str) -> Column:
@@ -243,9 +282,9 @@ def listed(spans: str) -> Column:
 
 
 def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """docs with every span in the text replaced by its kind in brackets; spans that overlap become one."""
-    columns = docs.columns
-    d = detect(docs, model or fit(docs))
+    """docs with every span in the text replaced by its kind in brackets; spans that overlap become one; all other
+    columns stay, whatever their names."""
+    d = detect_rows(docs, model or fit(docs))
     names = F.array(*[F.lit(k.upper()) for k in KINDS])
 
     def cut(acc: Column, x: Column) -> Column:
@@ -254,14 +293,14 @@ def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
         piece = F.concat(F.substring("text", acc["pos"] + 1, F.greatest(x["s"] - acc["pos"], F.lit(0))), F.lit("["), F.element_at(names, x["kind"] + 1), F.lit("]"))
         return F.struct(F.greatest(acc["pos"], x["e"]).alias("pos"), F.when(fresh, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
 
-    cleaned = F.aggregate("_all", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), cut, lambda acc: F.concat(acc["out"], F.substring("text", acc["pos"] + 1, F.length("text"))))
-    d = d.withColumn("text", F.when(F.size("_all") > 0, cleaned).otherwise(F.col("text")))
-    return d.select(*columns)
+    cleaned = F.aggregate("all", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), cut, lambda acc: F.concat(acc["out"], F.substring("text", acc["pos"] + 1, F.length("text"))))
+    text = F.when(F.size("all") > 0, cleaned).otherwise(F.col("row.text"))
+    return d.withColumn("text", text).select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: base counts, a digest of the base spans, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    d = detect(docs, fit(docs))
-    count = lambda k: F.size(F.filter("_base", lambda x: x["kind"] == k)).cast("long")
-    return d.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)], F.sha2(listed("_base"), 256).alias("base_sha256"), listed("_all").alias("spans"))
+    d = detect_rows(docs, fit(docs))
+    count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
+    return d.select(F.col("row.doc_id").alias("doc_id"), *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)], F.sha2(listed("base"), 256).alias("base_sha256"), listed("all").alias("spans"), F.size("all").cast("long").alias("n_spans"))
