@@ -9,6 +9,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +144,29 @@ def test_pii_finds_a_card_beside_another_number(spark):
     assert r["_base"] == [] and [(x["s"], x["e"]) for x in r["_all"]] == [(26, 42)]
 
 
+def test_pii_adds_spans_of_each_kind_by_context(spark):
+    rng = random.Random(21)
+    card = next(c for c in ("4" + "".join(str(rng.randrange(10)) for _ in range(15)) for _ in range(999)) if luhn(c))
+    texts = [(i, f"mail to ann{i}@mail{i}.org or call +1 415 555 {1000 + i} now, host 10.0.{i}.7 up, card {card} ok") for i in range(120)]
+    texts += [(200 + i, f"order {rng.randrange(10**15, 10**16)} shipped at {i}.{i}.{999}.1 version {i}@v{i}.{i}") for i in range(120)]
+    texts += [(700 + i, f"mail to eve{i} (at) site{i} (dot) com or phone 212-555-{1000 + i}, host fe80:{i}:0:0:1:2:3:4 up") for i in range(40)]
+    added = {
+        500: ("email", "mail to ann (at) mail (dot) org now"), 501: ("phone", "please call 415-555-2671 now"), 502: ("ip", "host fe80:0:0:0:1:2:3:4 up"),
+        503: ("card", f"card 9999 {card} ok"),
+    }
+    # Card 9999 makes one base run of both numbers, which fails its check; the bare run inside is another candidate.
+    docs = docs_of(spark, texts + [(i, t) for i, (_, t) in added.items()] + [(600, "version bob (at) 12 (dot) 34 then")])
+    docs = docs.withColumns({c: F.lit("own") for c in ("row", "base", "all", "cands", "_all", "p0", "m0")})
+    model = pii.fit(docs)
+    got = {r["row"]["doc_id"]: r for r in pii.detect_rows(docs, model).collect()}
+    for i, (kind, t) in added.items():
+        assert [pii.KINDS[x["kind"]] for x in got[i]["all"]] == [kind] and got[i]["base"] == [], (i, t)
+    assert got[600]["all"] == [] and all(not got[200 + i]["all"] or got[200 + i]["base"] for i in range(120))
+    clean = {r["doc_id"]: r for r in pii.redact(docs, model).collect()}
+    assert clean[500]["text"] == "mail to [EMAIL] now" and clean[503]["text"] == "card 9999 [CARD] ok"
+    assert all(clean[500][c] == "own" for c in ("row", "base", "all", "cands", "_all", "p0", "m0")) and clean[500]["score"] == 9.0
+
+
 # --- 3 repeated substrings --------------------------------------------------------------------------------------------
 
 
@@ -210,6 +234,49 @@ def test_toxicity_held_out_accuracy(spark):
     assert (held.predicted == held.toxic).mean() > 0.95 and out.score.between(0, 1).all()
 
 
+def test_label_model_finds_latent_labels_and_discounts_copies():
+    rng = np.random.default_rng(5)
+    y = (rng.random(3000) < 0.2).astype(float)
+    hit, false = np.array([0.5, 0.4, 0.6, 0.3, 0.5]), np.array([0.02, 0.05, 0.03, 0.01, 0.08])
+    votes = (rng.random((3000, 5)) < np.where(y[:, None] == 1, hit, false)).astype(float)
+    noise = (rng.random((3000, 1)) < 0.15).astype(float)
+    # A voter without knowledge that stands there ten times.
+    votes = np.concatenate([votes, np.repeat(noise, 10, axis=1)], axis=1)
+    observed = np.arange(3000) % 10 == 0
+    wrong = np.where(observed, y, 1 - y)  # labels that are not observed must not matter
+    q = toxicity.label_model(votes, wrong, observed, 0.2)
+    assert (q == toxicity.label_model(votes, y, observed, 0.2)).all()
+    assert ((q >= 0.5) == y)[~observed].mean() > max(1 - y.mean(), 0.85) and q[y == 1].mean() > 4 * q[y == 0].mean()
+    # Votes of the ten copies move a row that has no other vote little.
+    alone = q[(votes[:, :5].sum(axis=1) == 0) & (noise[:, 0] == 1)]
+    assert alone.max() < 0.5
+
+
+def test_toxicity_voters_against_plain_counting(spark):
+    texts = ["You IDIOT!! STOP DOING THAT NOW you no no no", "", None, "idiots étranger idiota!", "x" * 100_000 + " SHUT DOWN THIS HERE THING moron moron", "a!!b! c!!! SHOUTING WORDS only"] + ["no", "no no"]
+    voters = toxicity.Voters([int(toxicity.Reader().of("étranger").view(np.int64))])
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    (_, parts), = voters.described([batch])
+    got = {}
+    for span, row, voter, times, words in parts:
+        for r, v, t in zip(row.tolist(), voter.tolist(), times.tolist(), strict=True):
+            got[span.start + r, v] = t
+    base = len(voters.terms)
+    names = {int(voters.reader.of(w)): w for w in (*toxicity.SEEDS, "étranger")}
+    want = {}
+    for i, t in enumerate(texts):
+        words = re.findall(r"[A-Za-z\x80-\U0010ffff]+", t or "")
+        for j, h in enumerate(voters.terms.tolist()):
+            if n := sum(w.lower() == names[h] for w in words):
+                want[i, j] = n
+        low = [w.lower() for w in words]
+        loud = [len(w.encode()) >= 4 and w.isascii() and w.isupper() for w in words]
+        runs = len(re.findall("1{4,}", "".join("1" if x else "0" for x in loud)))
+        counts = {"address": sum(w in toxicity.ADDRESS for w in low), "exclaiming": len(re.findall("!!+", t or "")), "repeating": sum(low[k] == low[k + 1] == low[k + 2] for k in range(len(low) - 2)), "shouting": runs}
+        want |= {(i, base + toxicity.PATTERNS.index(k)): n for k, n in counts.items() if n}
+    assert got == want
+
+
 def test_toxicity_edges(spark):
     docs, labels = toxic_corpus(spark, 60)
     model = toxicity.fit(docs, labels.limit(0))
