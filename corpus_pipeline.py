@@ -3,38 +3,51 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. A
 stage's result is written as Parquet and read again as the next stage's docs.
 
-Defined results: documents with a null doc_id pass the stages that decide by id (they have no duplicates and no
-recorded passage); extra columns pass through all stages; empty tables give empty tables.
+Defined results: stages decide row by row, whatever the ids: rows that share a doc_id, or have none, are documents of
+their own; extra columns pass through all stages with their values, whatever their names; empty tables give empty tables.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmarket.llm import cgk_decontam, mixing, ngram_join, pii, toxicity
-from jobmarket.llm.common import table, written
+from jobmarket.llm.common import result, scratch, table, written
+
+
+def _whole(docs: DataFrame) -> Column:
+    """All columns of docs as one struct, so that no name that a stage uses can clash."""
+    return F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model predicts as toxic go."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model).filter("predicted = 0").select(*docs.columns)
+    return toxicity.scored_rows(docs, model).filter("predicted = 0").select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest doc_id."""
-    found = ngram_join.near_duplicates(docs)
-    gone = written(found.filter("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near duplicates stays: the one with the smallest doc_id (null last).
+
+    Rows get numbers of their own, written with them, and the join runs on these."""
+    rows = written(docs.select(F.monotonically_increasing_id().alias("doc_id"), docs["text"], _whole(docs)), "rows")
+    with scratch(spark):
+        found = written(ngram_join.near_duplicates(rows.select("doc_id", "text")), "components")
+        grouped = found.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").select("component_id")
+        members = found.join(grouped, "component_id").join(rows.select("doc_id", F.col("row.doc_id").alias("own")), "doc_id")
+        stays = members.groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull().alias("none"), "own", "doc_id")).alias("first"))
+        gone = result(members.join(stays, "component_id").filter("doc_id <> first.doc_id").select("doc_id"), "near-duplicates")
+    return rows.join(gone, "doc_id", "left_anti").select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    gone = written(cgk_decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "contaminated")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold a benchmark item go. Rows are known by a hash of id and text, on which alone this depends."""
+    rows = docs.select(F.xxhash64(docs["doc_id"], docs["text"]).alias("doc_id"), docs["text"], _whole(docs))
+    gone = written(cgk_decontam.contaminated(rows.select("doc_id", "text"), table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "contaminated")
+    return rows.join(gone, "doc_id", "left_anti").select("row.*")
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
