@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from jobmarket.operators import compare as C
 from jobmarket.operators import rollup as R
 from jobmarket.plans import frame as P
+from jobmarket.sources.tables import staged
 
 QUERIES, SQL = {}, {}
 
@@ -26,6 +27,12 @@ def enriched(spark, d, is_new: bool = True):
     return df.withColumn("is_new", F.col("job_key") % 10 == 3) if is_new else df
 
 
+def rolled(spark, d):
+    """The enriched frame, as far as rollups read it, and its measures; each is written once and read by what follows."""
+    df = staged(enriched(spark, d).select(*R.INPUTS))
+    return df, staged(R.one_way(df))
+
+
 FRAME = f"with {P.SQL}, f as (select *, job_key % 10 = 3 as is_new from frame)"
 BUCKETS = {"_all": "_all", "title": "title_clean", "city": "city_key", "company": "company_slug", "equity": "equity_flag", "clearance": "clearance_flag", "salary_currency": "sal_currency", "salary_source": "sal_source"}
 
@@ -70,8 +77,7 @@ hist as (select dim, bucket, hist, bin, count(*) as cnt from h semi join m using
 @query("a6_log_histograms", f"{FRAME}, {EXPLODED}, {MEASURED}, {HIST} select * from hist")
 def hists(spark, d):
     """Mergeable histograms of the kept buckets."""
-    df = enriched(spark, d)
-    return R.histograms(df, R.one_way(df))
+    return R.histograms(*rolled(spark, d))
 
 
 def pair_sql(a: str, b: str, k: int | None) -> str:
@@ -99,8 +105,7 @@ QUANT = """q as (select dim, bucket, bin, sum(cnt) over (partition by dim, bucke
 @query("a8_quantiles_from_histogram", f"{FRAME}, {EXPLODED}, {MEASURED}, {HIST}, {QUANT} select * from qs")
 def quantiles(spark, d):
     """Pay quantiles of every bucket from its histogram."""
-    df = enriched(spark, d)
-    return R.quantiles(R.histograms(df, R.one_way(df)).filter("hist = 's'"), ["dim", "bucket"])
+    return R.quantiles(R.histograms(*rolled(spark, d)).filter("hist = 's'"), ["dim", "bucket"])
 
 
 YEARS = """ym as (select dim, bucket, min(case when run * 2 >= total then bin end) as yoe_median from (
@@ -110,8 +115,7 @@ YEARS = """ym as (select dim, bucket, min(case when run * 2 >= total then bin en
 @query("a9_integer_median", f"{FRAME}, {EXPLODED}, {MEASURED}, {HIST}, {YEARS} select * from ym")
 def years(spark, d):
     """Median years of experience of every bucket."""
-    df = enriched(spark, d)
-    return R.integer_median(R.histograms(df, R.one_way(df)).filter("hist = 'y'"), ["dim", "bucket"], "yoe_median")
+    return R.integer_median(R.histograms(*rolled(spark, d)).filter("hist = 'y'"), ["dim", "bucket"], "yoe_median")
 
 
 @query("a10_profile_median", f"with {P.SQL} select profile, round(median(sal_usd), 2) as median_usd, count(*) as n from frame where sal_usd is not null group by 1 having count(*) >= 5")
@@ -142,8 +146,7 @@ def pairs(spark, d):
 @query("a14_display_bins", f"{FRAME}, {EXPLODED}, {MEASURED}, {HIST} select dim, bucket, cast(least(500000, floor(exp(bin / 100.0::double) / 10000) * 10000) as bigint) as low, cast(sum(cnt) as bigint) as cnt from hist where hist = 's' group by 1, 2, 3")
 def display(spark, d):
     """Log bins as bins of 10,000."""
-    df = enriched(spark, d)
-    return R.display_bins(R.histograms(df, R.one_way(df)).filter("hist = 's'"), ["dim", "bucket"])
+    return R.display_bins(R.histograms(*rolled(spark, d)).filter("hist = 's'"), ["dim", "bucket"])
 
 
 @query("a16_frame_kpis", f"with {P.SQL} select count(*) as jobs, count(distinct (company_slug, title_clean)) as unique_jobs, count(distinct company_slug) as companies, count(distinct country) as countries from frame")
@@ -185,8 +188,7 @@ from m left join qs using (dim, bucket) left join ym using (dim, bucket), a)"""
 @query("r4_day_rollup", f"{FRAME}, {EXPLODED}, {MEASURED}, {HIST}, {ROWS} select * from rows_")
 def day_rollup(spark, d):
     """The day's report rows, from measures and histograms of one enriched frame."""
-    df = enriched(spark, d)
-    m = R.one_way(df)
+    df, m = rolled(spark, d)
     return R.bucket_rows(m, R.histograms(df, m))
 
 

@@ -524,7 +524,7 @@ DIFF = "e as (select 'u' || o_orderkey as url, 'b' || o_custkey % 5 as board, o_
 
 @query("u11_snapshot_diff", f"with {DIFF} select n.url, n.board, case when e.board is null then 'new' when e.board = n.board and active then 'touched' when e.board = n.board then 'relisted' when active then 'foreign' else 'foreign_relisted' end as action from n left join e using (url)")
 def snapshot_diff(spark, d):
-    """What a discovered url is to the table."""
+    """What a discovered url is to the table."""
     o = read(spark, d, "orders")
     e = o.filter("o_orderkey % 10 <> 1").selectExpr("concat('u', o_orderkey) as url", "concat('b', o_custkey % 5) as board", "o_orderstatus <> 'F' as active")
     n = o.filter("o_orderkey % 10 <> 2").selectExpr("concat('u', o_orderkey) as url", "concat('b', (o_custkey + cast(o_orderkey % 9 = 0 as int)) % 5) as board")

@@ -33,39 +33,80 @@ def years_of_experience(text: pd.Series) -> pd.Series:
     return text.map(one).astype("float64")
 
 
-_MONEY = {"USD": r"(?:US\$|\$|USD)", "EUR": r"(?:€|EUR)", "GBP": r"(?:£|GBP)", "CHF": r"(?:CHF)"}
-_NUM = r"(\d{1,3}(?:[,.' ]\d{3})+|\d{2,7}(?:\.\d{1,2})?)\s*(k\b)?"
-_PAY = [(c, re.compile(rf"{s}\s*{_NUM}(?:\s*(?:-|–|to|bis)\s*(?:{s})?\s*{_NUM})?", re.I)) for c, s in _MONEY.items()]
-_PERIOD = ((re.compile(r"per hour|/\s?h(ou)?r|hourly|pro stunde", re.I), "hour"), (re.compile(r"per month|/\s?mo(nth)?|monthly|monatlich", re.I), "month"), (re.compile(r"per day|daily", re.I), "day"), (re.compile(r"per week|weekly", re.I), "week"))
-_BAD = re.compile(r"(revenue|funding|raised|budget|bonus of|sign-on|401|valuation|sales of)[^.]{0,30}$", re.I)
+# --- Fixed values: marks of currencies before and after an amount, in the order in which families are tried ----------
+DOLLARS = {"US": "USD", "U": "USD", "AU": "AUD", "A": "AUD", "NZ": "NZD", "HK": "HKD", "S": "SGD", "R": "BRL", "MX": "MXN", "CDN": "CAD", "CA": "CAD", "C": "CAD"}
+DOLLAR_CODES = ("AUD", "NZD", "SGD", "HKD", "BRL", "MXN", "CAD", "USD")
+MARKS = {
+    "EUR": (("€", "EUR"), ("€", "EUR", "Euro", "euros")), "GBP": (("£", "GBP"), ("£", "GBP")), "CHF": (("CHF", "SFr."), ("CHF", "Fr.", "Franken", "francs suisses")),
+    "PLN": (("PLN", "zł"), ("PLN", "zł", "złotych")), "CZK": (("CZK", "Kč"), ("CZK", "Kč", "korun")), "SEK": (("SEK",), ("SEK", "kronor")), "DKK": (("DKK",), ("DKK", "kroner")),
+    "HUF": (("HUF", "Ft"), ("HUF", "Ft", "forint")), "RON": (("RON",), ("RON", "lei")), "BGN": (("BGN", "лв."), ("BGN", "лв.", "лв", "лева")),
+}
+PERIODS = (
+    ("hour", r"per hour|an hour|/\s?h(?:ou)?r?\b|hourly|pro stunde|de l'heure|all'ora|na godzinę|za hodinu|i timmen|per uur|/\s?godz"),
+    ("day", r"per day|daily|a day|pro tag|par jour|al giorno|/\s?day"), ("week", r"per week|weekly|a week|pro woche|par semaine|/\s?week"),
+    ("month", r"per month|/\s?mo(?:nth)?\b|monthly|a month|monatlich|pro monat|im monat|par mois|mensuel|al mese|mensili|miesięcznie|/\s?mies|měsíčně|i månaden|månedlig|havonta|hó(?:nap)?\b|pe lună|lunar|на месец|per maand"),
+    ("year", r"per year|/\s?y(?:ea)?r?\b|yearly|annual|annum|a year|jährlich|pro jahr|im jahr|par an|brut annuel|all'anno|rocznie|ročně|om året|årlig|évente|pe an|годишно|per jaar"),
+)
+_PERIODS = [(u, re.compile(p, re.I)) for u, p in PERIODS]
+_NUM = r"(\d{1,3}(?:[,.' \u00a0\u202f]\d{3})+(?:[.,]\d{1,2})?(?!\d)|\d{1,7}(?:[.,]\d{1,2})?(?!\d))\s?([kK]\b)?"
+_TO = r"\s*(?:-|–|—|to|bis|à|a|do|till|til)\s*"
+_LOCATED = re.compile(r"\b[A-Z]{2,3},\s*[A-Z]{0,2},?\s*[\w .'-]*?\s*-\s*" + _NUM + r"\s*-\s*" + _NUM + r"\s+(USD|CAD|EUR|GBP|CHF)\s+(annually|hourly)", re.I)
+_BARE = re.compile(r"(?<![\w$€£.,])" + _NUM + _TO + _NUM + r"\s*\(?(USD|CAD|AUD|EUR|GBP|CHF)\b", re.I)
+_DOLLAR = re.compile(r"(?:^|(?<=[\s(\[:;,]))(A|AU|NZ|S|HK|R|MX|US|U|CDN|CA|C)?\$\s?" + _NUM + r"(?:" + _TO + r"(?:[A-Z]{0,3}\$)?\s?" + _NUM + r")?(?:\s*[(\[]?(AUD|NZD|SGD|HKD|BRL|MXN|CAD|USD)\b)?")
+_CODED = re.compile(r"\b(USD|AUD|NZD|SGD|HKD|BRL|MXN|CAD)\s?\$?" + _NUM + r"(?:" + _TO + r"(?:USD|AUD|NZD|SGD|HKD|BRL|MXN|CAD)?\s?\$?" + _NUM + r")?")
+
+
+def _marked(front: tuple[str, ...], behind: tuple[str, ...]) -> tuple[re.Pattern, re.Pattern]:
+    f, b = ("(?:" + "|".join(re.escape(x) for x in xs) + ")" for xs in (front, behind))
+    return re.compile(rf"(?<!\w){f}\s*{_NUM}(?:{_TO}(?:{f})?\s*{_NUM})?", re.I), re.compile(rf"(?<![\w.,]){_NUM}(?:\s*{b})?(?:{_TO}{_NUM})?\s*{b}(?!\w)", re.I)
+
+
+_MARKED = [(code, rx) for code, marks in MARKS.items() for rx in _marked(*marks)]
+_BAD = re.compile(r"(revenue|funding|raised|budget|bonus of|sign-on|401|valuation|sales of|umsatz|turnover|investment|series [a-e]\b|chiffre d'affaires|fatturato)[^.]{0,30}$", re.I)
 
 
 def _amount(digits: str, k: str | None) -> float:
-    clean = re.sub(r"[,' ]|\.(?=\d{3}\b)", "", digits)
-    return float(clean) * (1000 if k else 1)
+    """A number with thousands by point, comma, apostrophe or space; one or two digits behind the last mark are decimals."""
+    m = re.fullmatch(r"(.*?)(?:[.,](\d{1,2}))?", digits)
+    return float(re.sub(r"\D", "", m.group(1)) + "." + (m.group(2) or "0")) * (1000 if k else 1)
+
+
+def _found(t: str):
+    """(start, end, low, low k, high, high k, currency, unit or None) of all amounts, family by family."""
+    for m in _LOCATED.finditer(t):
+        yield m.start(), m.end(), *m.groups()[:4], m.group(5).upper(), "year" if m.group(6).lower() == "annually" else "hour"
+    for m in _BARE.finditer(t):
+        yield m.start(), m.end(), *m.groups()[:4], m.group(5).upper(), None
+    for m in _DOLLAR.finditer(t):
+        yield m.start(), m.end(), *m.groups()[1:5], DOLLARS.get(m.group(1) or "") or m.group(6) or "USD", None
+    for m in _CODED.finditer(t):
+        yield m.start(), m.end(), *m.groups()[1:5], m.group(1), None
+    for code, rx in _MARKED:
+        for m in rx.finditer(t):
+            yield m.start(), m.end(), *m.groups(), code, None
 
 
 @pandas_udf(T.StructType().add("min", "double").add("max", "double").add("currency", "string").add("unit", "string"))
 def pay_in_text(text: pd.Series) -> pd.DataFrame:
-    """First plausible amount of a text, ranges before single amounts, currencies in the order dollar, euro, pound,
-    franc; amounts after words of company finance do not count."""
+    """First plausible amount of a text, ranges before single amounts. Families in order: behind a place, bare ranges with
+    a code, dollars of eight countries, euro, pound, franc, and seven further European currencies, each with the mark before
+    or after. Amounts after words of company finance do not count; an amount without a period is annual and at least 1000."""
 
     def one(t: str | None):
         best = None
-        for c, rx in _PAY:
-            for m in rx.finditer(t or ""):
-                if _BAD.search(t[max(0, m.start() - 60) : m.start()]):
-                    continue
-                lo = _amount(m.group(1), m.group(2) or (m.group(4) if m.group(3) else None))
-                hi = _amount(m.group(3), m.group(4)) if m.group(3) else lo
-                near = t[m.end() : m.end() + 25]
-                unit = next((u for p, u in _PERIOD if p.search(near)), "year")
-                if unit == "year" and hi < 1000:
-                    continue
-                row = (min(lo, hi), max(lo, hi), c, unit)
-                if m.group(3):
-                    return row
-                best = best or row
+        for start, end, low, k1, high, k2, code, unit in _found(t or ""):
+            if _BAD.search(t[max(0, start - 60) : start]):
+                continue
+            lo = _amount(low, k1 or (k2 if high else None))
+            hi = _amount(high, k2) if high else lo
+            near = t[end : end + 30]
+            unit = unit or min(((m.start(), u) for u, rx in _PERIODS if (m := rx.search(near))), default=(0, "year"))[1]
+            if (unit == "year" and hi < 1000) or hi <= 0:
+                continue
+            row = (min(lo, hi), max(lo, hi), code, unit)
+            if high:
+                return row
+            best = best or row
         return best or (None, None, None, None)
 
     return pd.DataFrame([one(t) for t in text], columns=["min", "max", "currency", "unit"])

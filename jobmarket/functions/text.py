@@ -170,13 +170,36 @@ def repair_mojibake(text: Column) -> Column:
     return text
 
 
+def coerced_text(value: Column) -> Column:
+    """A JSON text as one text: strings trimmed, lists as their distinct parts with ', ' between them (lists inside them
+    likewise), objects and other scalars as their JSON; null for null, blank and empty."""
+    v = F.try_parse_json(value)
+    plain = lambda x: F.trim(F.coalesce(F.try_variant_get(x, "$", "string"), F.to_json(x)))
+    listed = lambda x: F.try_variant_get(x, "$", "array<variant>")
+    some = lambda xs: F.array_distinct(F.filter(xs, lambda t: t.isNotNull() & (t != "") & (t != "null")))
+    inner = lambda x: F.when(listed(x).isNotNull(), F.array_join(some(F.transform(listed(x), plain)), ", ")).otherwise(plain(x))
+    text = F.when(listed(v).isNotNull(), F.array_join(some(F.transform(listed(v), inner)), ", ")).otherwise(plain(v))
+    return F.nullif(F.nullif(text, F.lit("")), F.lit("null"))
+
+
+def coerced_list(value: Column) -> Column:
+    """A JSON text as a list of distinct texts: the parts of a list, or the one text; null without any."""
+    v = F.try_parse_json(value)
+    listed = F.try_variant_get(v, "$", "array<variant>")
+    parts = F.when(listed.isNotNull(), F.transform(listed, lambda x: coerced_text(F.to_json(x)))).otherwise(F.array(coerced_text(value)))
+    kept = F.array_distinct(F.filter(parts, lambda t: t.isNotNull()))
+    return F.when(F.size(kept) > 0, kept)
+
+
 def titles(title: Column, localised: Column) -> Column:
     """Primary title, then those of the localisations; distinct, order kept."""
     return F.array_distinct(F.filter(F.concat(F.array(title), F.coalesce(localised, F.array().cast("array<string>"))), lambda x: x.isNotNull() & (x != "")))
 
 
 def locales(primary: Column, others: Column, detected: Column) -> Column:
-    return F.array_distinct(F.concat(F.array(F.coalesce(primary, F.lit("en"))), others, detected))
+    """The primary locale (en without one), then those of the localisations, then detected ones; distinct, order kept."""
+    none = F.array().cast("array<string>")
+    return F.array_distinct(F.concat(F.array(F.coalesce(F.nullif(primary, F.lit("")), F.lit("en"))), F.coalesce(others, none), F.coalesce(detected, none)))
 
 
 def technologies(text: Column, patterns: list[tuple[str, str, bool]]) -> Column:
@@ -190,6 +213,28 @@ def technologies(text: Column, patterns: list[tuple[str, str, bool]]) -> Column:
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
 
+def technology_table() -> list[tuple[str, tuple[str, ...], bool]]:
+    """(slug, literals, case counts) of the technologies that come with the package."""
+    import csv
+    from importlib.resources import files
+
+    lines = (files("jobmarket") / "data/technologies.csv").read_text("utf-8").splitlines()
+    rows = csv.DictReader(x for x in lines if not x.startswith("#"))
+    return [(r["slug"], tuple(x.strip() for x in r["literals"].split("|") if x.strip()), "cs" in r["flags"]) for r in rows]
+
+
+def named_technologies(text: Column, table: list[tuple[str, tuple[str, ...], bool]]) -> Column:
+    """Slugs, in the table's order, of technologies that a literal names as a whole word; a literal that begins or ends with
+    a sign (C++, .NET) must not stand against a letter there. Substring tests come before the regular expression."""
+    low, found = F.lower(text), []
+    for slug, literals, exact in table:
+        side = lambda c, sign: r"\b" if c.isalnum() or c == "_" else sign
+        rx = "|".join(side(x[0], r"(?<!\w)") + "".join("\\" + c if not c.isalnum() and c != " " else c for c in x) + side(x[-1], r"(?!\w)") for x in literals)
+        near = reduce(lambda a, b: a | b, [low.contains(x.lower()) for x in literals])
+        found.append(F.when(near & text.rlike(("" if exact else "(?i)") + rx), slug))
+    return F.filter(F.array(*found), lambda x: x.isNotNull())
+
+
 def language(given: Column, text: Column) -> Column:
     """The given language's first two letters, else the one with most stop words in the whole text (ties in the order
     en, de, fr, es), else unknown; unknown under 20 characters."""

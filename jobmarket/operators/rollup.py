@@ -25,7 +25,8 @@ class Dim:
     keep: int | None = None
 
 
-#: The one-way dimensions and two-way pairs of the report, with the number of buckets that are kept by jobs.
+#: The one-way dimensions and two-way pairs of the report, with the number of buckets that are kept by
+#: jobs, and the names of the measures.
 DIMS = (
     Dim("_all", "_all"), Dim("job_family", "job_family"), Dim("profile", "profile"), Dim("title", "title_clean", keep=500),
     Dim("seniority", "seniority"), Dim("yoe_band", "yoe_band"), Dim("yoe_years", "yoe_years"), Dim("country", "country"),
@@ -66,6 +67,8 @@ def _flags(df: DataFrame) -> DataFrame:
     })
 
 
+#: What rollups read of the enriched frame.
+INPUTS = tuple(dict.fromkeys([d.column for d in DIMS] + ["sal_usd", "is_new", "work_mode", "yoe_min", "visa", "equity", "rel"]))
 ROW = ["company_slug", "sal_usd", "rel", "_new", "_r", "_h", "_o", "_sn", "_nn", "_ns", "_yn", "_v", "_e", "_pn", "_bin", "_xbin", "_ybin"]
 
 
@@ -92,11 +95,17 @@ def one_way(df: DataFrame, dims: tuple[Dim, ...] = DIMS) -> DataFrame:
     """(dim, bucket, measures); dimensions with a bound keep their largest buckets (ties: bucket ascending)."""
     out = measured(exploded(df, dims), ["dim", "bucket"])
     bounded = {d.name: d.keep for d in dims if d.keep}
-    if not bounded:
-        return out
-    limit = F.create_map(*[x for k, v in bounded.items() for x in (F.lit(k), F.lit(v))])[F.col("dim")]
-    rank = F.row_number().over(Window.partitionBy("dim").orderBy(F.desc("j"), "bucket"))
-    return out.withColumn("_rank", rank).filter(limit.isNull() | (F.col("_rank") <= limit)).drop("_rank")
+    return largest(out, "dim", "bucket", "j", bounded) if bounded else out
+
+
+def largest(rows: DataFrame, group: str, item: str, size: str, bounds: dict[str, int]) -> DataFrame:
+    """The largest items (ties: item ascending) of the groups that have a bound, and all items of the others.
+
+    The largest bound is a literal, so every task keeps that many rows of a group before the shuffle; items of groups
+    without a bound stand alone in the window and spread over all tasks."""
+    limit = F.create_map(*[x for k, v in bounds.items() for x in (F.lit(k), F.lit(v))])[F.col(group)]
+    by = Window.partitionBy(group, F.when(limit.isNull(), F.col(item))).orderBy(F.desc(size), item)
+    return rows.withColumn("_rank", F.row_number().over(by)).filter((F.col("_rank") <= max(bounds.values())) & (limit.isNull() | (F.col("_rank") <= limit))).drop("_rank")
 
 
 def histograms(df: DataFrame, kept: DataFrame, dims: tuple[Dim, ...] = DIMS) -> DataFrame:
@@ -115,9 +124,7 @@ def two_way(df: DataFrame, pairs=PAIRS) -> DataFrame:
     bounded = {f"{a}|{b}": k for a, b, k in pairs if k}
     if not bounded:
         return out
-    limit = F.create_map(*[x for k, v in bounded.items() for x in (F.lit(k), F.lit(v))])[F.col("pair")]
-    totals = out.groupBy("pair", "b").agg(F.sum("j").alias("_t"))
-    kept = totals.withColumn("_rank", F.row_number().over(Window.partitionBy("pair").orderBy(F.desc("_t"), "b"))).filter(limit.isNull() | (F.col("_rank") <= limit))
+    kept = largest(out.groupBy("pair", "b").agg(F.sum("j").alias("_t")), "pair", "b", "_t", bounded)
     return out.join(kept.select("pair", "b"), ["pair", "b"], "left_semi")
 
 

@@ -85,6 +85,33 @@ def snapshot_diff(existing: DataFrame, discovered: DataFrame, url: str = "url",
     return j.withColumn("action", kind).drop("_owner", "_active")
 
 
+def durable_diff(existing: DataFrame, aliases: DataFrame, discovered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A discovery by durable identity. existing: (identity, url, board, active); aliases: (url, identity) of former
+    urls; discovered: (identity, url, board, explicit).
+
+    Returns (actions, aliases): an action per discovered row, as in snapshot_diff but by identity, with the url that the
+    posting has then, or conflict where another identity owns the url, as its own or as an alias; and the alias table
+    afterwards: where an explicit identity comes with a new url, the old one is appended, and an alias that becomes a
+    posting's url again goes."""
+    e = existing.select(F.col("identity").alias("_i"), F.col("url").alias("old_url"), F.col("board").alias("_board"), "active")
+    urls = existing.select("url", F.col("identity").alias("_by")).unionByName(aliases.select("url", F.col("identity").alias("_by"))).groupBy("url").agg(F.collect_set("_by").alias("_owners"))
+    d = discovered.join(e, discovered["identity"] == F.col("_i"), "left").join(urls, "url", "left")
+    foreign = F.coalesce(F.exists("_owners", lambda x: x != F.col("identity")), F.lit(False))
+    same = F.col("_board") == F.col("board")
+    action = F.when(foreign, "conflict").when(F.col("_i").isNull(), "new").when(same & F.col("active"), "touched").when(same, "relisted").when(F.col("active"), "foreign").otherwise("foreign_relisted")
+    d = d.withColumn("action", action)
+    moved = d.filter(F.col("explicit") & ~F.col("action").isin("conflict", "new") & (F.col("old_url") != F.col("url"))).select(F.col("old_url").alias("url"), "identity")
+    current = d.filter("action <> 'conflict'").select("url", "identity")
+    after = aliases.select("url", "identity").unionByName(moved).distinct().join(current, ["url", "identity"], "left_anti")
+    return d.select("identity", "url", "board", "action", "old_url"), after
+
+
+def emptied(table: DataFrame, path: str) -> DataFrame:
+    """U8: overwrites a table with no row, and reads it back."""
+    table.limit(0).write.mode("overwrite").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def count_missing(existing: DataFrame, seen: DataFrame, key: str, threshold: Column | int) -> DataFrame:
     """Rows of the table that a snapshot lacks: one more miss, inactive from the threshold on; seen rows start anew."""
     s = seen.select(key).distinct().withColumn("_seen", F.lit(True))

@@ -160,7 +160,7 @@ def rarity_sample(df: DataFrame, ident: str, columns: list[str], k: int, seed: i
     for c in columns:
         n = df.groupBy(c).agg(F.count("*").alias(f"_n_{c}"))
         most = n.agg(F.max(f"_n_{c}").alias(f"_m_{c}"))
-        n = F.broadcast(n.withColumnRenamed(c, f"_k_{c}"))
+        n = n.withColumnRenamed(c, f"_k_{c}")
         out = out.join(n, F.col(c).eqNullSafe(F.col(f"_k_{c}"))).join(F.broadcast(most))
         parts.append(F.least(F.lit(4.0), F.sqrt(F.col(f"_m_{c}") / F.col(f"_n_{c}"))))
     weight = sum(parts[1:], parts[0]) / len(parts)
@@ -208,11 +208,46 @@ def above_mark(df: DataFrame, ts: str, mark: str | None) -> DataFrame:
     return df if mark is None else df.filter((F.col(ts) > F.lit(mark).cast("timestamp")) | F.col(ts).isNull())
 
 
-def label_checks(rows: DataFrame, sections: str) -> DataFrame:
-    """Rules over an array of sections (kind, block_ids): blocks used twice, gaps inside a section, no section."""
+#: Kinds of sections that are extracted; the share of blocks that sections must claim; titles of leaders
+#: and endings of professions that do not go together.
+EXTRACTED_KINDS = ("role", "requirements", "benefits", "compensation")
+LEAST_COVERAGE = 0.4
+LEADER = r"(?i)^(head|head of|director|vp|vice president|chief|c-level)\b"
+SUBORDINATE = r"(?i)\b(specialist|assistant|associate|coordinator|analyst)$"
+
+
+def section_checks(sections: Column, blocks: Column) -> Column:
+    """Struct of faults of sections (kind, block_ids): ids that no block has, ids that are not ascending by one, ids
+    that stand twice."""
     ids = F.flatten(F.transform(sections, lambda s: s["block_ids"]))
-    gap = F.exists(sections, lambda s: F.size(s["block_ids"]) != F.array_max(s["block_ids"]) - F.array_min(s["block_ids"]) + 1)
-    return rows.withColumns({"duplicate_block": F.size(ids) != F.size(F.array_distinct(ids)), "gap": F.coalesce(gap, F.lit(False)), "no_section": F.size(sections) == 0})
+    broken = F.exists(sections, lambda s: F.exists(F.transform(s["block_ids"], lambda x, i: x - i), lambda x: x != s["block_ids"][0]))
+    return F.struct((F.size(F.array_except(ids, blocks)) > 0).alias("unknown_block"), F.coalesce(broken, F.lit(False)).alias("not_contiguous"), (F.size(ids) != F.size(F.array_distinct(ids))).alias("repeated_block"))
+
+
+def globals_checks(profession: Column, seniority: Column, locations: Column) -> Column:
+    """Struct of faults of the globals: a leader with a subordinate's profession, a hash tag for a place."""
+    return F.struct(F.coalesce(profession.rlike(SUBORDINATE) & seniority.rlike(LEADER), F.lit(False)).alias("rank_mismatch"), F.coalesce(F.exists(locations, lambda x: F.ltrim(x).startswith("#")), F.lit(False)).alias("hashtag_place"))
+
+
+def qa_rules(sections: Column, blocks: Column, profession: Column) -> Column:
+    """Array of (name, passed) over sections (kind, block_ids, extracted: named fields as a map); a posting is
+    accepted if all pass. Rules of kinds that do not occur are left out."""
+    claimed, n = F.aggregate(sections, F.lit(0), lambda a, s: a + F.size(s["block_ids"])), F.size(blocks)
+    own = lambda k: F.filter(sections, lambda s: (s["kind"] == k) & s["extracted"].isNotNull())
+    rule = lambda name, ok: F.struct(F.lit(name).alias("name"), F.coalesce(ok, F.lit(False)).alias("passed"))
+    signal = lambda k: F.exists(own(k), lambda s: F.exists(F.map_values(s["extracted"]), lambda v: F.length(F.trim(v)) > 0))
+    rules = [rule("split_coverage_min_40pct", (n == 0) | (claimed >= n * LEAST_COVERAGE)), rule("profession_non_empty", F.length(F.trim(profession)) > 0), rule("has_extractable_section", F.exists(sections, lambda s: s["kind"].isin(*EXTRACTED_KINDS)))]
+    rules += [F.when(F.exists(sections, _of_kind(k)), rule(f"section_{k}_has_extraction", F.forall(F.filter(sections, _of_kind(k)), lambda s: s["extracted"].isNotNull()))) for k in EXTRACTED_KINDS]
+    rules += [F.when(F.size(own(k)) > 0, rule(f"{k}_has_signal", signal(k))) for k in ("role", "requirements")]
+    return F.filter(F.array(*rules), lambda r: r.isNotNull())
+
+
+def _of_kind(kind: str):
+    return lambda s: s["kind"] == kind
+
+
+def verdict(rules: Column) -> Column:
+    return F.when(F.forall(rules, lambda r: r["passed"]), "accepted").otherwise("rejected")
 
 
 def dimension_violations(companies: DataFrame, boards: DataFrame) -> DataFrame:

@@ -2,22 +2,45 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 POSTINGS = "job_key long, company_slug string, board_slug string, source string, title_clean string, seniority string, sal_min double, sal_max double, sal_currency string, yoe_min double, technologies array<string>, posted_day int"
+#: Upper bounds of the age bands, in years.
+AGE_BANDS = ((5, "<5y"), (10, "5-10y"), (20, "10-20y"), (50, "20-50y"))
 BOARD_STATUS = "shard int, shards int, finished_at string, elapsed_s double, boards array<struct<board_slug:string,company_slug:string,monitor_type:string,status:string,jobs:int,error:string>>"
 
 
+def staging(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors share, under spark.checkpoint.dir. A session in one local process
+    that names none gets a folder of its own; on a cluster there is no folder to guess."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="jobmarket-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return f"{found.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """df as a written table, for results that several branches of a plan read."""
+    path = staging(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def posting_shards(spark: SparkSession, paths: list[str], schema: str = POSTINGS) -> DataFrame:
     """All shards in one frame; columns that a shard lacks are null; no path gives an empty frame of the schema."""
-    frames = [spark.read.parquet(p) for p in paths]
-    out = spark.createDataFrame([], schema)
-    for f in frames:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out.select(*spark.createDataFrame([], schema).columns)
+    empty = spark.createDataFrame([], schema)
+    out = empty
+    for p in paths:
+        out = out.unionByName(spark.read.parquet(p), allowMissingColumns=True)
+    return out.select(*empty.columns)
 
 
 def board_statuses(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -28,15 +51,18 @@ def board_statuses(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
 
 def taxonomy(spark: SparkSession, path: str, schema: str, keys: list[str], locales: list[str]) -> DataFrame:
     """A taxonomy CSV with one row per (keys, locale, alias)."""
-    t = spark.read.csv(path, header=True, schema=schema)
+    t = spark.read.csv(path, header=True, schema=schema, escape='"')
     return t.unpivot(keys, locales, "locale", "alias").filter("alias is not null")
 
 
 def companies(spark: SparkSession, path: str, schema: str, industries: DataFrame, year: int) -> DataFrame:
-    """Companies with the name of their industry and an age band."""
-    c = spark.read.csv(path, header=True, schema=schema).join(F.broadcast(industries), "industry", "left")
-    age = F.lit(year) - F.col("founded_year")
-    return c.withColumn("company_age", F.when(age.isNull(), "unknown").when(age < 5, "0-4").when(age < 15, "5-14").otherwise("15+"))
+    """Companies with the name of their industry and an age band; a founding year that is no number is unknown."""
+    c = spark.read.csv(path, header=True, schema=schema, escape='"').join(industries, "industry", "left")
+    age = F.lit(year) - F.trim("founded_year").try_cast("int")
+    bands = F.when(age.isNull(), "unknown")
+    for below, name in AGE_BANDS:
+        bands = bands.when(age < below, name)
+    return c.withColumns({"industry_name": F.coalesce("industry_name", F.lit("Unknown")), "company_age": bands.otherwise("50y+")})
 
 
 def rates(first: DataFrame, second: DataFrame, previous: DataFrame) -> DataFrame:
@@ -82,6 +108,11 @@ def jdbc(spark: SparkSession, url: str, name: str, **options: str) -> DataFrame:
     return spark.read.format("jdbc").options(url=url, dbtable=name, **options).load()
 
 
+def write_jdbc(df: DataFrame, url: str, name: str, **options: str) -> None:
+    """Appends df to a table; Spark writes a partition per connection."""
+    df.write.format("jdbc").options(url=url, dbtable=name, **options).mode("append").save()
+
+
 def checked_scan(df: DataFrame, columns: dict[str, str], rows: int | None = None) -> DataFrame:
     """Required columns only, cast tolerantly; a row count that differs from the manifest is an error."""
     missing = [c for c in columns if c not in df.columns]

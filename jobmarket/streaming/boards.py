@@ -19,6 +19,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 SUSPECT, DELIST, QUARANTINE, BACKOFF, CEILING = 3, 6, 5, 5, 1440
 #: Gone confirmations: how many (more after a recent success), hours between them, days that count as recent.
 NEEDED, NEEDED_AFTER_SUCCESS, SPACING_H, RECENT_D = 2, 3, 6, 7
+#: Hours between checks of a board that is gone.
+RECOVERY_H = 24
 
 STATE = "status string, failures int, empties int, recoveries int, last_success double, gone_count int, gone_last double, ever_full boolean, n_events long"
 OUT = f"board string, {STATE}, next_check_minutes int, should_delist boolean"
@@ -63,7 +65,8 @@ class Board:
                 self.status = "gone" if self.gone_count >= (NEEDED_AFTER_SUCCESS if recent else NEEDED) else "gone_pending"
 
     def row(self, board: str) -> dict:
-        wait = min(CEILING, BACKOFF * 2 ** min(self.failures, 9))
+        # A board that is gone is looked at once a day; one that may be gone again when the next signal can count.
+        wait = RECOVERY_H * 60 if self.status == "gone" else SPACING_H * 60 if self.status == "gone_pending" else min(CEILING, BACKOFF * 2 ** min(self.failures, 9))
         return {"board": board} | asdict(self) | {"next_check_minutes": wait, "should_delist": self.empties >= DELIST}
 
 
@@ -110,7 +113,9 @@ def health_batch(events: DataFrame) -> DataFrame:
 
 
 def health_stream(events: DataFrame) -> DataFrame:
-    """The same state per board as a stream; each trigger emits the state of the boards that had events."""
+    """The same state per board as a stream; each trigger emits the state of the boards that had events. Events of a
+    trigger are folded by time; one that comes a trigger late is folded when it comes, so the two agree where events come
+    in order."""
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         b = Board(*state.get) if state.exists else Board()
