@@ -8,7 +8,8 @@ are resolved by smallest id. Nothing is approximate.
 Defined results: vectors that are null, empty, or hold a null or non-finite component take no part; vectors meet only
 those of the same length; rows that repeat a vec_id are candidates each, a query id is asked once (its smallest
 vector); a query never meets rows of its own id; rows with a null vec_id take no part; other columns are ignored.
-Quantised components must stay below 2**25 in size, so that sums fit 64 bits; larger ones raise an error.
+Components beyond 64 bits are the nearest long; slices and sums are as wide as they need to be, so ranks are exact for
+any sizes; a score beyond 64 bits is returned as the nearest long.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,11 +24,13 @@ from pyspark.sql import functions as F
 from jobmarket.llm.common import table
 
 #: Rows of an index block and queries of a query block.
-BLOCK_ROWS = 1 << 14
+BLOCK_ROWS = 1 << 12
 QUERY_ROWS = 128
 SCALE = 1024
 K = 10
 QUERY_EVERY = 100
+#: Bytes of a score as an ordered binary: products of longs, summed over any number of dimensions.
+SCORE_BYTES = 24
 
 INDEX_SCHEMA = "dim int, ids binary, n int, planes binary, bits array<int>, low array<long>"
 
@@ -48,17 +50,15 @@ def slices_of(ids: np.ndarray, m: np.ndarray) -> dict:
     """The index row of a block: rows by id, a bitmap per dimension and bit of the component above the block's least."""
     order = np.argsort(ids, kind="stable")
     ids, m = ids[order], m[order]
-    if np.abs(m).max(initial=0) >= 1 << 25:
-        raise ValueError("a quantised component is 2**25 or larger")
     low = m.min(axis=0)
-    m = m - low
+    m = m.view(np.uint64) - low.view(np.uint64)  # modulo 2**64, so exact over the whole range of longs
     bits = [int(x).bit_length() for x in m.max(axis=0)]
     words = (len(ids) + 63) // 64
     planes = []
     for d, b in enumerate(bits):
         for j in range(b):
             packed = np.zeros(words * 8, np.uint8)
-            got = np.packbits(((m[:, d] >> j) & 1).astype(np.uint8), bitorder="little")
+            got = np.packbits(((m[:, d] >> np.uint64(j)) & np.uint64(1)).astype(np.uint8), bitorder="little")
             packed[: len(got)] = got
             planes.append(packed.tobytes())
     return {"dim": m.shape[1], "ids": ids.astype(np.int64).tobytes(), "n": len(ids), "planes": b"".join(planes), "bits": bits, "low": [int(x) for x in low]}
@@ -93,14 +93,14 @@ def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return vectors.select("vec_id", "q").mapInArrow(build, INDEX_SCHEMA)
 
 
-def summed_slices(planes: np.ndarray, bits: list[int], q: np.ndarray) -> tuple[list[np.ndarray], int]:
+def summed_slices(planes: np.ndarray, bits: list[int], q: list[int]) -> tuple[list[np.ndarray], int]:
     """Slices of all rows' scores (least significant first) and the constant to add to them.
 
     planes: (2 * slices, words), the second half complemented; a negative factor takes complements, so all addends are
     non-negative. Bitmaps of one weight are added three at a time (full adder: sum stays, carry moves up)."""
     at = np.concatenate([[0], np.cumsum(bits)])
     half, by_weight, constant = at[-1], {}, 0
-    for d, factor in enumerate(q.tolist()):
+    for d, factor in enumerate(q):
         size, first = abs(factor), int(at[d]) + (half if factor < 0 else 0)
         if factor < 0:
             constant -= size * ((1 << bits[d]) - 1)
@@ -157,45 +157,50 @@ def top_rows(slices: list[np.ndarray], among: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([found, _positions(tied)[: k - len(found)]]) if len(found) < k else found
 
 
-def search_block(ids: np.ndarray, planes: np.ndarray, bits: list[int], low: np.ndarray, queries: list[tuple[int, np.ndarray]], k: int) -> list[tuple[int, int, int]]:
+def search_block(ids: np.ndarray, planes: np.ndarray, bits: list[int], low: list[int], queries: list[tuple[int, list[int]]], k: int) -> list[tuple[int, int, int, bytes]]:
+    """(query id, vec_id, score, ordered score) of the k best rows of a block for each query."""
     words = planes.shape[1]
     both = np.concatenate([planes, ~planes])
+    least, most, zero = -(1 << 63), (1 << 63) - 1, 1 << (8 * SCORE_BYTES - 1)
     out = []
     for qid, q in queries:
         among = np.packbits(np.pad(ids != qid, (0, words * 64 - len(ids))), bitorder="little").view(np.uint64)
         slices, constant = summed_slices(both, bits, q)
         rows = top_rows(slices, among, k)
-        score = np.full(len(rows), constant + int((q * low).sum()), np.int64)
+        constant += sum(a * b for a, b in zip(q, low, strict=True))
+        score = [constant] * len(rows)
         for w, s in enumerate(slices):
-            score += ((s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << w
-        out += zip([qid] * len(rows), ids[rows].tolist(), score.tolist(), strict=True)
+            for i, bit in enumerate(((s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).tolist()):
+                score[i] += bit << w
+        out += [(qid, int(ids[r]), min(max(x, least), most), (x + zero).to_bytes(SCORE_BYTES, "big")) for r, x in zip(rows.tolist(), score, strict=True)]
     return out
 
 
 def top_k(index: DataFrame, queries: DataFrame, k: int = K, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k best rows of the index for each query (vec_id, q).
 
-    Query blocks meet index blocks in an equi-join on the block number; each pair is one unit of work, and sends on at
-    most k rows a query."""
+    Index blocks are dealt to buckets once; groups of queries, much smaller, go to every bucket and meet its blocks in
+    an equi-join. Each pair of a block and a group is one unit of work, and sends on at most k rows a query."""
     queries = queries.groupBy("vec_id").agg(F.min("q").alias("q"))
     groups = max(1, -(-queries.count() // query_rows))
+    buckets = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     asked = queries.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("g"), F.size("q").alias("dim")).agg(F.collect_list(F.struct("vec_id", "q")).alias("asked"))
-    pairs = index.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).join(asked, ["g", "dim"])
-    partitions = max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), groups)
-    pairs = pairs.repartition(partitions, "g", F.xxhash64("ids"))
+    asked = asked.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))).drop("g")
+    blocks = index.withColumn("bucket", F.pmod(F.xxhash64("ids"), F.lit(buckets)).cast("int"))
+    pairs = blocks.repartition(buckets, "bucket", "dim").join(asked, ["bucket", "dim"])
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 x = {name: batch.column(i)[row] for i, name in enumerate(batch.schema.names)}
                 ids, bits = np.frombuffer(x["ids"].as_py(), np.int64), x["bits"].as_py()
                 planes = np.frombuffer(x["planes"].as_py(), np.uint64).reshape(sum(bits), (len(ids) + 63) // 64)
-                wanted = [(a["vec_id"], np.array(a["q"], np.int64)) for a in x["asked"].as_py()]
-                got = search_block(ids, planes, bits, np.array(x["low"].as_py(), np.int64), wanted, k)
-                yield pa.RecordBatch.from_pandas(pd.DataFrame(got, columns=["query_id", "vec_id", "score"]).astype("int64"), preserve_index=False)
+                got = search_block(ids, planes, bits, x["low"].as_py(), [(a["vec_id"], a["q"]) for a in x["asked"].as_py()], k)
+                cols = list(zip(*got, strict=True)) or [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["query_id", "vec_id", "score", "ordered"])
 
-    found = pairs.mapInArrow(search, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.mapInArrow(search, "query_id long, vec_id long, score long, ordered binary")
+    best = Window.partitionBy("query_id").orderBy(F.desc("ordered"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
