@@ -10,12 +10,13 @@ Every byte is removed that is covered by a string of SPAN bytes which also start
    symbols, at every byte offset; each shard of segments gets its Burrows-Wheeler transform (the symbol before each
    suffix, in suffix order up to DEPTH symbols, which is SPAN bytes).
 4. Merge. The interleave of the shards' transforms starts as one shard after the other and is refined DEPTH times: in
-   the interleave's order, every suffix moves to the bucket of its preceding symbol (a stable placement, no suffix is
-   sorted again). Where neighbours part, the round gives their common prefix; intervals still together after DEPTH
-   rounds are the repeated strings.
+   the interleave's order, every suffix moves to the bucket of its preceding symbol (a stable counting placement, no
+   suffix is sorted again). The round in which neighbours part first is their common prefix; runs of suffixes whose
+   common prefixes reach DEPTH are the repeated strings.
 
-Texts are UTF-8 bytes. A group of segments under one substring that exceeds HOT is split by the segments' digests; the
-windows of such groups are then also counted across the parts by digest, so nothing is lost.
+Texts are UTF-8 bytes. Groups stream through a task in order, so it holds one group and HELD_BYTES at most. A group of
+segments under one substring that exceeds HOT is split by the segments' digests; the parts are merged each on its own,
+and the windows of such groups are then also counted across the parts by digest, so nothing is lost.
 
 Defined results: a null text is empty; texts under SPAN bytes lose nothing; rows that repeat a doc_id and text are
 occurrences each (their text repeats); rows with a null doc_id take part like others; other columns are ignored.
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmarket.llm.common import Rolling, binary_column, mix, null_safe_join, table, text_blocks, written
+from jobmarket.llm.common import Rolling, binary_column, mix, null_safe_join, result, scratch, table, text_blocks, written
 
 SPAN = 400
 GRAM = 200
@@ -41,6 +42,7 @@ DEPTH = SPAN // BLOCK
 HOT = 1 << 15
 SHARD = 1 << 17
 AT_ONCE = 1 << 21
+HELD_BYTES = 1 << 26
 
 KEY = ["doc_id", "t"]
 
@@ -133,6 +135,21 @@ def segments(candidates: DataFrame) -> DataFrame:
     return candidates.select("doc_id", "t", "text", "cands").mapInArrow(run, schema)
 
 
+def ranks(symbols: list[np.ndarray]) -> list[np.ndarray]:
+    """The symbols of several arrays as small numbers of equal order; 0 stays 0."""
+    known, at = np.unique(np.concatenate([np.zeros(1, np.uint64), *symbols]), return_inverse=True)
+    bounds = np.cumsum([len(s) for s in symbols])[:-1]
+    return np.split(at[1:].astype(np.uint32), bounds)
+
+
+def placement(keys: np.ndarray) -> np.ndarray:
+    """Stable placement by numbers below 2**32, by counting: numpy's stable sort of 16-bit keys is a radix sort."""
+    order = np.argsort((keys & 0xFFFF).astype(np.uint16), kind="stable")
+    if keys.max(initial=0) >> 16:
+        order = order[np.argsort((keys >> 16).astype(np.uint16)[order], kind="stable")]
+    return order
+
+
 class Shard:
     """Segments' texts over BLOCK-byte symbols and their Burrows-Wheeler transform.
 
@@ -150,36 +167,38 @@ class Shard:
         blocks = mix(rolling.windows(rolling.prefix(data), BLOCK))
         symbol[: len(blocks)] = blocks | np.uint64(1)
         symbol[self.left < BLOCK] = 0
-        order = np.arange(len(data))
+        order, (rank,) = np.arange(len(data)), ranks([symbol])
         for d in range((DEPTH - 1) * BLOCK, -1, -BLOCK):
-            key = np.where(self.left[order] >= d, symbol[np.minimum(order + d, len(data) - 1)], np.uint64(0))
-            order = order[np.argsort(key, kind="stable")]
+            key = np.where(self.left[order] >= d, rank[np.minimum(order + d, len(data) - 1)], 0)
+            order = order[placement(key)]
         self.order = order
         self.bwt = np.where(self.inside[order] >= BLOCK, symbol[np.maximum(order - BLOCK, 0)], np.uint64(0))
 
 
-def refine(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def refine(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray]:
     """Merges transforms by iterative refinement of their interleave.
 
-    Returns the interleave (shard of each merged suffix), the interval each belongs to after DEPTH rounds, and the
-    common prefix with the suffix before it, in symbols (DEPTH: at least that many). Every segment has BLOCK suffixes
-    without a symbol before them and as many ends; the ends keep their places at the front."""
+    Returns the interleave (shard of each merged suffix) and the common prefix with the suffix before it, in symbols
+    (DEPTH: at least that many). Suffixes that agree on some symbols keep their places as a run while later rounds
+    refine it, so a boundary stays where the first round put it. Every segment has BLOCK suffixes without a symbol
+    before them and as many ends; the ends keep their places at the front."""
     z = np.repeat(np.arange(len(shards)), [len(s.bwt) for s in shards])
     ends = np.repeat(np.arange(len(shards)), [BLOCK * (len(s.off) - 1) for s in shards])
+    bwt = ranks([s.bwt for s in shards])
     block = np.zeros(len(z), np.int64)
     common = np.full(len(z), DEPTH, np.int64)
     for depth in range(DEPTH):
-        c = np.empty(len(z), np.uint64)
-        for k, s in enumerate(shards):
-            c[z == k] = s.bwt
+        c = np.empty(len(z), np.uint32)
+        for k in range(len(shards)):
+            c[z == k] = bwt[k]
         moving = np.flatnonzero(c)
-        moving = moving[np.argsort(c[moving], kind="stable")]
-        c, block = np.concatenate([np.zeros(len(ends), np.uint64), c[moving]]), np.concatenate([np.zeros(len(ends), np.int64), block[moving]])
+        moving = moving[placement(c[moving])]
+        c, block = np.concatenate([np.zeros(len(ends), np.uint32), c[moving]]), np.concatenate([np.zeros(len(ends), np.int64), block[moving]])
         z = np.concatenate([ends, z[moving]])
         parts = np.concatenate([[True], (c[1:] != c[:-1]) | (block[1:] != block[:-1])])
         common[parts & (common == DEPTH)] = depth
         block = np.cumsum(parts)
-    return z, block, common
+    return z, common
 
 
 def repeated_starts(bodies: list[bytes], rolling: Rolling) -> list[np.ndarray]:
@@ -208,12 +227,13 @@ def repeated_starts(bodies: list[bytes], rolling: Rolling) -> list[np.ndarray]:
 
 
 def merged_intervals(shards: list[Shard]) -> list[np.ndarray]:
-    """Per shard and position the merged interval of DEPTH symbols that its suffix falls in."""
-    z, block, _ = refine(shards)
+    """Per shard and position the run of suffixes with a common prefix of DEPTH symbols that its suffix falls in."""
+    z, common = refine(shards)
+    interval = np.cumsum(common < DEPTH)
     out = []
     for k, s in enumerate(shards):
         mine = np.empty(len(s.order), np.int64)
-        mine[s.order] = block[z == k]
+        mine[s.order] = interval[z == k]
         out.append(mine)
     return out
 
@@ -271,11 +291,20 @@ def merged(segs: DataFrame) -> DataFrame:
     partitions = 4 * int(segs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = list(batches)
-        if got:
-            yield from merge_part(pa.Table.from_batches(got), rolling)
-
-    rows = rows.select("fp", "held", "g1", "g2", "nth", "body", "part").repartition(partitions, "fp", "part")
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.nbytes for b in held) >= HELD_BYTES:
+                found = pa.Table.from_batches(held)
+                fp = found.column("fp").to_numpy()
+                whole = int(np.searchsorted(fp, fp[-1]))  # the last group may go on
+                if whole:
+                    yield from merge_part(found.slice(0, whole), rolling)
+                    held = found.slice(whole).to_batches()
+        if held:
+            yield from merge_part(pa.Table.from_batches(held), rolling)
+
+    rows = rows.select("fp", "held", "g1", "g2", "nth", "body", "part").repartition(partitions, "fp", "part").sortWithinPartitions("fp")
     starts = written(rows.mapInArrow(run, "g1 long, g2 long, runs array<int>, w1 long, w2 long"), "runs")
     sure = starts.filter("w1 is null").select("g1", "g2", "runs")
     windows = starts.filter("w1 is not null")
@@ -308,6 +337,11 @@ def _removed(texts: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row; kept: null where nothing is removed."""
+    with scratch(docs.sparkSession):
+        return result(_dedup(docs, keep_text), "dedup")
+
+
+def _dedup(docs: DataFrame, keep_text: bool) -> DataFrame:
     keyed = _keyed(docs)
     f = written(fingerprints(keyed), "fingerprints")
     text_key = ["d1", "d2", "n"]
