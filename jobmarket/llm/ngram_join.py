@@ -5,16 +5,18 @@ A document is the set of its distinct word shingles; two link when their Jaccard
 1. Statistics. One pass counts all shingles of all documents in a sketch of 2**18 cells (a table of fixed size). Cells
    well above the background hold frequent shingles; the order of shingles is by this class, then by hash, so that
    frequent shingles come last and prefixes hold rare ones.
-2. Prefixes. Two sets that reach the threshold share a shingle among the first n - ceil(t n) + 1 of each. Documents
-   with equal sets are collapsed to one member; members with equal prefixes and size are not grouped further (README).
-   Shingles that stand in one prefix only are dropped in the tasks that gather them.
-3. Stars. Per shared shingle, the most typical member (fewest rare shingles) is the pivot; every member is compared
-   with the pivot that it shares most shingles with: as many comparisons as members.
-4. The rest. Members that share a prefix shingle but are not yet connected are all compared: filtered by size and by
-   the number of shared prefix shingles, then verified exactly on whole sets. Pairs inside a component are left
-   out, since they cannot change it; all others are verified, so components are exact. A few rounds compare each
-   member with one partner first, so that large families connect with few comparisons. Before sets are shipped, small
-   and then larger profiles (tokens per cell of a hash) rule out the pairs whose intersection cannot be large enough.
+2. Groups. Two sets that reach the threshold share a shingle among the first n - ceil(t n) + 1 of each, their prefixes.
+   Documents with equal sets are collapsed to one member; members with identical prefixes and size form one group, and
+   only groups post their shingles. Shingles that stand in one prefix only are dropped in the tasks that gather them.
+3. Stars. Per shared shingle, the most typical group (fewest rare shingles) is the pivot; every group is compared with
+   the pivot that it shares most shingles with, and every member with the one that stands for its group: as many
+   comparisons as members.
+4. The rest. Groups that share a prefix shingle are expanded into members; members of different components are all
+   compared: filtered by size and by what is left of their sets behind the first shared shingle, then verified exactly
+   on whole sets; so are members of one group that are not yet connected. Pairs inside a component are left out, since
+   they cannot change it; all others are verified, so components are exact. A few rounds compare each member with one
+   partner first, so that large families connect with few comparisons. Before sets are shipped, small and then larger
+   profiles (tokens per cell of a hash) rule out the pairs whose intersection cannot be large enough.
 
 Frequent shingles are salted by their class where a task gathers posting lists; pivots are minima, combined per task,
 and joins on tokens leave it to Spark to split a frequent one. Components come from label
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmarket.llm.common import Rolling, keys_of, table, text_blocks, written
+from jobmarket.llm.common import Rolling, keys_of, result, scratch, table, text_blocks, written
 from jobmarket.llm.words import shingle_sets
 
 SHINGLE = 5
@@ -52,7 +54,7 @@ FIRST_SALTED = 8
 #: Cells of the profiles that bound an intersection from above: of all documents, and of those in candidate pairs.
 PROFILE, FINE = 256, 4096
 
-SETS = "doc_id long, n int, d1 long, d2 long, rare int, prefix array<long>, profile binary"
+SETS = "doc_id long, n int, d1 long, d2 long, p1 long, p2 long, rare int, prefix array<long>, profile binary"
 
 
 def sketch(docs: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
@@ -103,25 +105,29 @@ def _tokens(sets: list[np.ndarray], classes: np.ndarray) -> list[np.ndarray]:
 
 
 def described(docs: DataFrame, classes: np.ndarray, shingle: int = SHINGLE, whole: bool = False) -> DataFrame:
-    """(doc_id, n, d1, d2, rare, prefix, profile): set size, digest of the set, shingles of class 0, the set's first
-    tokens (all of them if whole), and the number of its tokens per cell of a hash."""
+    """(doc_id, n, d1, d2, p1, p2, rare, prefix, profile): set size, digests of the set and of its prefix, shingles of
+    class 0, the set's first tokens (all of them if whole), and the number of its tokens per cell of a hash."""
     rolling = Rolling()
 
+    def digests(sets: list[np.ndarray]) -> list[pa.Array]:
+        with np.errstate(over="ignore"):
+            u = [s.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for s in sets]
+            d1 = [int((x ^ (x >> np.uint64(29))).sum(dtype=np.uint64).astype(np.int64)) for x in u]
+            d2 = [int(((x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)).sum(dtype=np.uint64).astype(np.int64)) for x in u]
+        return [pa.array(d1, pa.int64()), pa.array(d2, pa.int64())]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for span, data, off in text_blocks(batch, "text"):
                 sets = _tokens(shingle_sets(data, off, rolling, shingle), classes)
                 n = np.array([len(s) for s in sets], np.int32)
-                with np.errstate(over="ignore"):
-                    u = [s.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for s in sets]
-                    d1 = [int((x ^ (x >> np.uint64(29))).sum(dtype=np.uint64).astype(np.int64)) for x in u]
-                    d2 = [int(((x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)).sum(dtype=np.uint64).astype(np.int64)) for x in u]
                 rare = [int(np.searchsorted(s, 1 << (63 - CLASS_BITS))) for s in sets]
-                kept = sets if whole else [s[: prefix_length(len(s))] if len(s) else s for s in sets]
+                prefixes = [s[: prefix_length(len(s))] if len(s) else s for s in sets]
+                kept = sets if whole else prefixes
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(k) for k in kept])]), pa.int32()), pa.array(np.concatenate(kept)))
                 cells = FINE if whole else PROFILE
                 profiles = pa.array([np.minimum(np.bincount(s & (cells - 1), minlength=cells), 255).astype(np.uint8).tobytes() for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0)[span], pa.array(n), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(rare, pa.int32()), lists, profiles], names=["doc_id", "n", "d1", "d2", "rare", "prefix", "profile"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[span], pa.array(n), *digests(sets), *digests(prefixes), pa.array(rare, pa.int32()), lists, profiles], names=["doc_id", "n", "d1", "d2", "p1", "p2", "rare", "prefix", "profile"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS)
 
@@ -133,35 +139,32 @@ def salt(token: Column, other: Column) -> Column:
     return F.pmod(F.xxhash64(other), parts).cast("int")
 
 
-def postings(members: DataFrame) -> DataFrame:
-    """(token, node, n, rare, place) of the prefix tokens that more than one member holds. Sizes are below 2**21."""
-    # Size, rare shingles and place share one column, so that a row is three numbers.
-    rows = members.select(F.col("doc_id").alias("node"), "n", "rare", F.posexplode("prefix").alias("place", "token"))
-    packed = F.col("n").cast("long") * (1 << 42) + F.col("rare").cast("long") * (1 << 21) + F.col("place")
-    rows = rows.select("token", "node", packed.alias("about"))
-    partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def postings(groups: DataFrame) -> DataFrame:
+    """(token, node, n, rare, place) of the prefix tokens that more than one group (doc_id, n, rare, prefix) holds."""
+    rows = groups.select(F.col("doc_id").alias("node"), "n", "rare", F.posexplode("prefix").alias("place", "token"))
+    rows = rows.select("token", "node", "n", "rare", "place")
+    partitions = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = list(batches)
-        if not got:
-            return
-        held = pa.Table.from_batches(got)
-        token, about = held.column("token").to_numpy(), held.column("about").to_numpy()
-        order = np.argsort(token, kind="stable")
-        token = token[order]
-        same = token[1:] == token[:-1]
-        keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        # Frequent tokens are split: a member alone in its part may have company in another.
-        keep |= (token >> np.int64(63 - CLASS_BITS)) > FIRST_SALTED
-        token, order = token[keep], order[keep]
-        node, about = held.column("node").to_numpy()[order], about[order]
-        low = (1 << 21) - 1
-        for i in range(0, len(token), 100_000):
-            a = about[i : i + 100_000]
-            cols = [token[i : i + 100_000], node[i : i + 100_000], (a >> 42).astype(np.int32), ((a >> 21) & low).astype(np.int32), (a & low).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "node", "n", "rare", "place"])
-
-    return rows.repartition(partitions, "token", salt(F.col("token"), F.col("node"))).mapInArrow(shared, "token long, node long, n int, rare int, place int")
+        """Rows come by token; of a token that may stand alone only its first row is held back."""
+        last, alone = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            token = batch.column(0).to_numpy()
+            same = token[1:] == token[:-1]
+            keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            # Frequent tokens are split: a group alone in its part may have company in another.
+            keep |= (token >> np.int64(63 - CLASS_BITS)) > FIRST_SALTED
+            if last == token[0]:
+                keep[0] = True
+                if alone is not None:
+                    yield alone
+            last, alone = token[-1], None if keep[-1] else batch.slice(batch.num_rows - 1)
+            yield batch.filter(pa.array(keep))
+
+    dealt = rows.repartition(partitions, "token", salt(F.col("token"), F.col("node"))).sortWithinPartitions("token")
+    return dealt.mapInArrow(shared, "token long, node long, n int, rare int, place int")
 
 
 def possible(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -238,6 +241,18 @@ def unconnected_pairs(post: DataFrame, comp: DataFrame) -> DataFrame:
     return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
 
+def unconnected_inside(inside: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of one group in different components; inside: members (a) and the one that stands for
+    their group (b). Groups that are connected as a whole bring no pair."""
+    m = inside.select(F.col("b").alias("g"), F.col("a").alias("node")).unionByName(inside.select(F.col("b").alias("g"), F.col("b").alias("node")).distinct())
+    m = m.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    mixed = m.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("g")
+    m = m.join(mixed, "g", "left_semi")
+    x, y = m.alias("x"), m.alias("y")
+    pairs = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")))
+    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
 def apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     """The pairs of different components."""
     side = lambda c: comp.select(F.col("node").alias(c), F.col("comp").alias(f"_{c}"))
@@ -248,14 +263,23 @@ def apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row."""
     docs = docs.select("doc_id", "text")
+    with scratch(docs.sparkSession):
+        return result(_near_duplicates(docs, shingle), "components")
+
+
+def _near_duplicates(docs: DataFrame, shingle: int) -> DataFrame:
     classes = classes_of(sketch(docs, shingle))
     d = written(described(docs, classes, shingle), "sets")
     sound = d.filter("doc_id is not null and n > 0")
     equal = ["n", "d1", "d2"]
     first = sound.groupBy(*equal).agg(F.min("doc_id").alias("b"), F.count("*").alias("copies")).filter("copies > 1")
     same = sound.select(F.col("doc_id").alias("a"), *equal).join(first, equal).select("a", "b").filter("a <> b")
-    members = sound.groupBy(*equal).agg(F.min(F.struct("doc_id", "rare", "prefix")).alias("m"))
-    post = written(postings(members.select("m.doc_id", "n", "m.rare", "m.prefix")), "postings")
+    members = written(sound.groupBy(*equal).agg(F.min(F.struct("doc_id", "rare", "p1", "p2", "prefix")).alias("m")).select("n", "m.*"), "members")
+    alike = ["n", "p1", "p2"]
+    groups = members.groupBy(*alike).agg(F.min(F.struct("doc_id", "rare", "prefix")).alias("m"))
+    post = written(postings(groups.select("m.doc_id", "n", "m.rare", "m.prefix")), "postings")
+    several = members.groupBy(*alike).agg(F.min("doc_id").alias("b"), F.count("*").alias("size")).filter("size > 1")
+    inside = written(members.join(several, alike).select(F.col("doc_id").alias("a"), "b").filter("a <> b"), "inside")
     nodes_of = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
     def profiles_of(nodes: DataFrame) -> DataFrame:
@@ -267,12 +291,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         own = keys_of(written(nodes.select(F.col("node").alias("doc_id")), "nodes"))
         return written(described(docs.join(own, "doc_id", "left_semi"), classes, shingle, whole=True).filter("n > 0").select(F.col("doc_id").alias("node"), "n", F.col("prefix").alias("tokens"), "profile"), "whole")
 
-    pairs = written(star_pairs(post), "stars")
+    pairs = written(star_pairs(post).unionByName(inside), "stars")
     pairs = written(possible(pairs, profiles_of(nodes_of(pairs))), "star-candidates")
     sets = sets_of(nodes_of(pairs))
     star = written(similar(possible(pairs, sets), sets), "star-links")
     comp = components(star)
-    rest = written(unconnected_pairs(post, comp), "pairs")
+    of_members = post.unionByName(post.join(inside, F.col("node") == F.col("b")).select("token", F.col("a").alias("node"), "n", "rare", "place"))
+    rest = written(unconnected_pairs(of_members, comp).unionByName(unconnected_inside(inside, comp)).distinct(), "pairs")
     rest = written(possible(rest, profiles_of(nodes_of(rest))), "candidates")
     sets = sets.unionByName(sets_of(nodes_of(rest).join(sets.select("node"), "node", "left_anti")))
     rest = written(possible(rest, sets), "candidates")
