@@ -4,15 +4,21 @@ Each word of a text is predicted from the two words before and the two after it
 conditional log-probabilities over all words is the text's score. Three passes over the whole corpus:
 
 1. word counts: a table of all words (ASCII lower case, by 64-bit hash) with their counts, as long as the corpus has words;
-2. training in numpy: every task trains a copy of one initial network on every position of all its documents, in FOLDS
-   folds of masked positions, and the copies are averaged by their number of examples (a tree of sums in Spark);
+2. training in numpy: documents are dealt by hash to shards of about SHARD_BYTES; each shard trains a copy of one initial
+   network on every position of all its documents, in FOLDS folds of masked positions, and the copies are averaged by
+   their number of examples (a tree of sums in Spark). Shards, their order and the sums do not depend on how the table
+   is partitioned, so neither do the scores;
 3. scoring of every position of every document.
 
 The words that are frequent enough to be among HEAD go to every task; the counts of the others stay in the table and are
 joined to the documents that hold them. Inputs grow with the number of words up to MOST_INPUTS; words without an input
-of their own share one of several by hash. Output classes: the frequent words, by falling count, are cut into classes of
-about equal mass, the others are dealt by hash to as many classes as their mass asks for, CLASSES in all; P(word |
-context) = P(class | context) * P(word | class), the second factor from the word's own count with one added.
+of their own share one of several by hash.
+
+Words are predicted by a hierarchical softmax. The frequent words, by falling count, are cut into classes of about equal
+mass, the others are dealt by hash to as many classes as their mass asks for, CLASSES in all. A class of frequent words
+is halved by mass LEVELS times; each half is a binary decision of its own that sees the context. So P(word | context) =
+P(class | context) * P(each decision | context) * P(word | leaf), the last from the word's own count with one added; it is
+one where a word has a leaf for itself.
 
 Defined results: a null or blank text has no words and scores 0 with a null mean; rows are scored one by one, so null
 and repeated ids are kept as they are; other columns are ignored; an empty table gives no row.
@@ -40,8 +46,13 @@ HIDDEN = 32
 SIDE = 2
 FOLDS = 7
 RATE = 0.1
-MINIBATCH = 128
+MINIBATCH = 256
+LEVELS = 6
+NODES = (1 << LEVELS) - 1
 SLICES = 16
+#: Text of a shard, and how many vectors are summed at once in each of the rounds.
+SHARD_BYTES = 1 << 23
+FAN, ROUNDS = 256, 3
 SEED = 7
 
 
@@ -70,20 +81,21 @@ def type_counts(docs: DataFrame) -> DataFrame:
 SLICE_SCHEMA = "slice int, part int, weight double, vector binary"
 
 
-def _as_slices(vector: np.ndarray, weight: float) -> pa.RecordBatch:
+def _as_slices(vector: np.ndarray, weight: float, part: int) -> pa.RecordBatch:
     parts = np.array_split(vector.astype(np.float64), SLICES)
-    part = int(np.random.default_rng(abs(hash(vector[:64].tobytes())) % (1 << 32)).integers(64))
     return pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([part] * SLICES, pa.int32()), pa.array([weight] * SLICES, pa.float64()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["slice", "part", "weight", "vector"])
 
 
 def summed(slices: DataFrame) -> tuple[np.ndarray, float]:
-    """Sum of the tasks' vectors and weights. At most SLICES rows of a fixed size reach the driver."""
+    """Sum of the shards' vectors and weights, in the order of their parts. SLICES rows of a fixed size reach the driver."""
 
     def add(group: pa.Table) -> pa.Table:
+        group = group.sort_by("part")
         total = sum(np.frombuffer(x.as_py(), np.float64) for x in group.column("vector"))
-        return pa.table({"slice": group.column("slice")[:1], "part": pa.array([0], pa.int32()), "weight": pa.array([float(np.sum(group.column("weight").to_numpy()))]), "vector": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"slice": group.column("slice")[:1], "part": pa.array([group.column("part")[0].as_py() // FAN], pa.int32()), "weight": pa.array([float(np.sum(group.column("weight").to_numpy()))]), "vector": pa.array([total.tobytes()], pa.binary())})
 
-    for keys in (["slice", "part"], ["slice"]):
+    for i in range(ROUNDS):
+        keys = ["slice", F.floor(F.col("part") / FAN).alias("of")] if i < ROUNDS - 1 else ["slice"]
         slices = slices.groupBy(*keys).applyInArrow(add, SLICE_SCHEMA)
     rows = sorted(slices.collect(), key=lambda r: r["slice"])
     if not rows:
@@ -91,6 +103,17 @@ def summed(slices: DataFrame) -> tuple[np.ndarray, float]:
     return np.concatenate([np.frombuffer(bytes(r["vector"]), np.float64) for r in rows]), rows[0]["weight"]
 
 
+def decisions(leaf: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, node, right) of the decisions on the way to the leaves that have two sides; leaf: class * 2**LEVELS +
+    number in the class, or -1 for none."""
+    cls, own = leaf >> LEVELS, leaf & ((1 << LEVELS) - 1)
+    level = np.arange(LEVELS)
+    node = cls[:, None] * NODES + (1 << level) - 1 + (own[:, None] >> (LEVELS - level))
+    place = np.flatnonzero(((leaf >= 0)[:, None] & live[node]).ravel())
+    right = ((own[:, None] >> (LEVELS - 1 - level)) & 1).ravel()[place]
+    return place // LEVELS, node.ravel()[place], right.astype(np.float32)
+
+
 class Types:
     """What tasks know of the words: inputs, classes and P(word | class) of the frequent ones, the rules for the others."""
 
@@ -109,23 +132,38 @@ class Types:
         self.class_mass = np.bincount(cls, weights=smooth, minlength=CLASSES)
         by_word = np.argsort(words[order])
         self.words, self.inputs, self.classes = words[order][by_word], inputs[by_word], cls[by_word]
-        self.inside = np.log(smooth / self.class_mass[cls])[by_word].astype(np.float32)
+        # A word's leaf is where its middle falls in its class by mass; sides without mass need no decision.
+        start = np.concatenate([[0.0], np.cumsum(self.class_mass)])
+        middle = np.cumsum(smooth) - smooth / 2 - start[cls]
+        leaf = np.clip(middle / self.class_mass[cls] * (1 << LEVELS), 0, (1 << LEVELS) - 1).astype(np.int64)
+        mass = np.bincount((cls.astype(np.int64) << LEVELS) + leaf, weights=smooth, minlength=CLASSES << LEVELS)
+        self.inside = np.log(smooth / mass[(cls.astype(np.int64) << LEVELS) + leaf])[by_word].astype(np.float32)
+        self.leaves = ((cls.astype(np.int64) << LEVELS) + leaf)[by_word]
+        odds = []
+        for level in range(LEVELS):
+            sides = mass.reshape(CLASSES, 1 << level, 2, -1).sum(axis=3)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                odds.append(np.where((sides > 0).all(axis=2), np.log(sides[:, :, 1] / sides[:, :, 0]), np.nan))
+        odds = np.concatenate(odds, axis=1).ravel()
+        self.live = ~np.isnan(odds)
+        self.odds = np.where(self.live, odds, 0.0)
 
     def _shared(self, words: np.ndarray) -> np.ndarray:
         return (self.shared_from + words % (self.n_inputs - self.shared_from)).astype(np.int32)
 
-    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, classes, log P(word | class) and whether a word is rare; a rare word's log P lacks log(n + 1)."""
+    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs, classes, log P(word | leaf), whether a word is rare, and leaves; a rare word has no leaf, and its log
+        P(word | class) lacks log(n + 1)."""
         words = hashes.view(np.int64)
         rare_class = (CLASSES - self.rare_classes + words % self.rare_classes).astype(np.int32)
         if not len(self.words):
-            return self._shared(words), rare_class, -np.log(self.class_mass[rare_class]), np.ones(len(words), bool)
+            return self._shared(words), rare_class, -np.log(self.class_mass[rare_class]), np.ones(len(words), bool), np.full(len(words), -1)
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         rare = self.words[at] != words
         inputs, classes, inside = self.inputs[at], self.classes[at], self.inside[at]
         inputs[rare], classes[rare] = self._shared(words[rare]), rare_class[rare]
         inside[rare] = -np.log(self.class_mass[rare_class[rare]])
-        return inputs, classes, inside, rare
+        return inputs, classes, inside, rare, np.where(rare, -1, self.leaves[at])
 
 
 class Vocabulary:
@@ -155,7 +193,7 @@ class Vocabulary:
 
 
 def shapes(n_inputs: int) -> dict[str, tuple[int, ...]]:
-    return {"E": (n_inputs, WIDTH), "W": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "U": (HIDDEN, CLASSES), "c": (CLASSES,)}
+    return {"E": (n_inputs, WIDTH), "W": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "U": (HIDDEN, CLASSES), "c": (CLASSES,), "V": (CLASSES * NODES, HIDDEN), "v": (CLASSES * NODES,)}
 
 
 def initial(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
@@ -163,6 +201,7 @@ def initial(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     p = {k: (rng.standard_normal(s) * 0.3 / np.sqrt(s[0] if k in "WU" else 1)).astype(np.float32) for k, s in shapes(vocabulary.types.n_inputs).items()}
     p["b"][:] = 0
     p["c"] = np.log(np.maximum(mass, 1e-9) / mass.sum()).astype(np.float32)
+    p["V"][:], p["v"] = 0, vocabulary.types.odds.astype(np.float32)
     return p
 
 
@@ -196,67 +235,98 @@ def forward(p: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.ndarray,
     return x, h, h @ p["U"] + p["c"]
 
 
-def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """log P(class) at each place."""
+def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, leaf: np.ndarray, live: np.ndarray) -> np.ndarray:
+    """log P(class) + log P(decisions) at each place."""
     out = np.empty(len(context), np.float32)
     for i in range(0, len(context), 4096):
-        z = forward(p, context[i : i + 4096])[2]
+        _, h, z = forward(p, context[i : i + 4096])
         top = z.max(axis=1)
-        out[i : i + 4096] = z[np.arange(len(z)), target[i : i + 4096]] - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
+        lp = z[np.arange(len(z)), target[i : i + 4096]] - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
+        place, node, right = decisions(leaf[i : i + 4096], live)
+        a = (2 * right - 1) * (np.einsum("ij,ij->i", h[place], p["V"][node]) + p["v"][node])
+        out[i : i + 4096] = lp - np.bincount(place, weights=np.logaddexp(0, -a), minlength=len(z))
     return out
 
 
+def _summed_by(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their rows."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(rows[order], first, axis=0)
+
+
 class Trainer:
     """Adagrad over minibatches."""
 
-    def __init__(self, p: dict[str, np.ndarray]) -> None:
+    def __init__(self, p: dict[str, np.ndarray], live: np.ndarray) -> None:
         self.p = {k: v.copy() for k, v in p.items()}
         self.g2 = {k: np.full(v.shape, 0.01, np.float32) for k, v in p.items()}
-        self.seen = 0
+        self.live, self.seen = live, 0
+
+    def _move(self, k: str, at: np.ndarray | slice, g: np.ndarray) -> None:
+        self.g2[k][at] += g * g
+        self.p[k][at] -= RATE * g / np.sqrt(self.g2[k][at])
 
-    def step(self, context: np.ndarray, target: np.ndarray) -> None:
+    def step(self, context: np.ndarray, target: np.ndarray, leaf: np.ndarray) -> None:
         p, n = self.p, len(context)
         x, h, z = forward(p, context)
         z = np.exp(z - z.max(axis=1, keepdims=True))
         z /= z.sum(axis=1, keepdims=True)
         z[np.arange(n), target] -= 1
         z /= n
-        dh = (z @ p["U"].T) * (1 - h * h)
+        dh = z @ p["U"].T
+        place, node, right = decisions(leaf, self.live)
+        if len(place):
+            hp, vp = h[place], p["V"][node]
+            d = ((1 / (1 + np.exp(-(np.einsum("ij,ij->i", hp, vp) + p["v"][node]))) - right) / n).astype(np.float32)
+            first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            dh[place[first]] += np.add.reduceat(d[:, None] * vp, first, axis=0)
+            at, g = _summed_by(node, np.concatenate([d[:, None] * hp, d[:, None]], axis=1))
+            self._move("V", at, g[:, :-1])
+            self._move("v", at, g[:, -1])
+        dh *= 1 - h * h
         dx = (dh @ p["W"].T).reshape(-1, WIDTH)
         for k, g in (("U", h.T @ z), ("c", z.sum(axis=0)), ("W", x.T @ dh), ("b", dh.sum(axis=0))):
-            self.g2[k] += g * g
-            p[k] -= RATE * g / np.sqrt(self.g2[k])
-        order = np.argsort(context.ravel(), kind="stable")
-        ids = context.ravel()[order]
-        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        ids, g = ids[first], np.add.reduceat(dx[order], first, axis=0)
-        self.g2["E"][ids] += g * g
-        p["E"][ids] -= RATE * g / np.sqrt(self.g2["E"][ids])
+            self._move(k, slice(None), g)
+        self._move("E", *_summed_by(context.ravel(), dx))
         self.seen += n
 
 
+def sharded(docs: DataFrame) -> DataFrame:
+    """(shard, text) with a partition per shard, in an order that depends on the rows alone."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    shards = max(1, -(-size // SHARD_BYTES))
+    h = F.xxhash64("doc_id", "text")
+    rows = docs.select(F.pmod(h, F.lit(shards)).cast("int").alias("shard"), h.alias("h"), "text")
+    return rows.repartitionById(shards, "shard").sortWithinPartitions("h", "text").select("shard", "text")
+
+
 def train(docs: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
-    """The average of the tasks' networks, each trained on every position of all its documents, a fold of masked positions at a time."""
+    """The average of the shards' networks, each trained on every position of all its documents, a fold of masked positions at a time."""
     rolling, start, types = Rolling(), initial(vocabulary), vocabulary.types
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = Trainer(start)
+        t, shard = Trainer(start, types.live), 0
         for batch in batches:
+            if batch.num_rows:
+                shard = batch.column(0)[0].as_py()
             for _, data, off in text_blocks(batch, "text"):
                 words, rows = words_of(data, off, rolling)
                 if not len(words):
                     continue
-                inputs, classes, _, _ = types.look_up(words)
+                inputs, classes, _, _, leaves = types.look_up(words)
                 context = contexts(inputs, rows)
                 fold = mix(np.arange(len(words), dtype=np.uint64) + words) % np.uint64(FOLDS)
                 for f in range(FOLDS):
                     chosen = np.flatnonzero(fold == f)
                     for i in range(0, len(chosen), MINIBATCH):
-                        t.step(context[chosen[i : i + MINIBATCH]], classes[chosen[i : i + MINIBATCH]])
+                        some = chosen[i : i + MINIBATCH]
+                        t.step(context[some], classes[some], leaves[some])
         if t.seen:
-            yield _as_slices(flat(t.p).astype(np.float64) * t.seen, float(t.seen))
+            yield _as_slices(flat(t.p).astype(np.float64) * t.seen, float(t.seen), shard)
 
-    total, weight = summed(docs.select("text").mapInArrow(fit, SLICE_SCHEMA))
+    total, weight = summed(sharded(docs).mapInArrow(fit, SLICE_SCHEMA))
     return unflat(total / weight, types.n_inputs) if weight else start
 
 
@@ -272,8 +342,8 @@ def score(docs: DataFrame, vocabulary: Vocabulary, p: dict[str, np.ndarray]) ->
             for span, data, off in text_blocks(batch, "text", 1 << 19):
                 words, rows = words_of(data, off, rolling)
                 if len(words):
-                    inputs, classes, inside, rare = types.look_up(words)
-                    lp = log_probabilities(p, contexts(inputs, rows), classes) + inside
+                    inputs, classes, inside, rare, leaves = types.look_up(words)
+                    lp = log_probabilities(p, contexts(inputs, rows), classes, leaves, types.live) + inside
                     n[span] = np.bincount(rows, minlength=len(off) - 1)
                     total[span] = np.bincount(rows, weights=lp, minlength=len(off) - 1)
                     n_rare[span] = np.bincount(rows[rare], minlength=len(off) - 1)

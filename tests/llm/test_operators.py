@@ -305,6 +305,19 @@ def test_topk_against_brute_force(spark):
     assert bsi_topk.top_k(bsi_topk.build_index(v.limit(0)), v.limit(0)).count() == 0
 
 
+def test_topk_with_values_of_any_size(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(size=4) * 10.0 ** rng.integers(0, 17)]) for i in range(120)]
+    rows += [(200, [1e300, -1e300, 1.0, 0.0]), (201, [1e15, 2e15, -3e15, 1e-3]), (202, [32768.0, 0.0, 0.0, 0.0])]
+    v = bsi_topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    whole = {i: [min(max(math.floor(1024 * y) if abs(1024 * y) < 1e30 else (2**63 if y > 0 else -(2**63)), -(2**63)), 2**63 - 1) for y in x] for i, x in rows}
+    got = bsi_topk.top_k(bsi_topk.build_index(v, 64), v.filter("vec_id % 100 = 0 or vec_id > 200"), 10).collect()
+    for q in (0, 100, 200, 201, 202):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], x, strict=True)), i) for i, x in whole.items() if i != q)[:10]
+        mine = [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
+        assert mine == [(i, min(max(-s, -(2**63)), 2**63 - 1)) for s, i in best], q
+
+
 # --- 6 n-gram Jaccard join --------------------------------------------------------------------------------------------
 
 
@@ -348,6 +361,21 @@ def test_ngram_join_against_brute_force(spark):
     assert got == want
 
 
+def test_ngram_join_verifies_members_of_groups_with_equal_prefixes(spark, monkeypatch):
+    # Texts that share their rare shingles and differ in frequent ones only: equal prefixes, unequal sets.
+    rng, made = random.Random(3), []
+    star = ngram_join.star_pairs
+    monkeypatch.setattr(ngram_join, "star_pairs", lambda post: made.append(post.select("node").distinct().count()) or star(post))
+    passages = [prose(rng, 12) for _ in range(6)]
+    texts = [(1000 + i, " ".join(f"filler{i}x{k}" for k in range(9)) + " s1 s2 s3 s4 " + passages[i % 6]) for i in range(120)]
+    for g in range(8):
+        own = prose(rng, 60 if g % 2 else 80)
+        texts += [(10 * g + j, own + " s1 s2 s3 s4 " + passages[j]) for j in range(6)]
+    docs = docs_of(spark, texts)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect()}
+    assert got == brute_components(texts) and made[0] < len(texts)
+
+
 def test_ngram_join_edges(spark):
     docs = docs_of(spark, edge_texts(random.Random(1)))
     got = [(r["doc_id"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect()]
@@ -657,6 +685,45 @@ def test_pseudo_likelihood_trains_on_every_position(spark, monkeypatch):
     assert seen[-1][1] == 2000
 
 
+def test_pseudo_likelihood_against_a_plain_network(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "SHARD_BYTES", 3000)
+    rng = random.Random(31)
+    docs = docs_of(spark, [(i, prose(rng, 40, 120)) for i in range(60)])
+    scores = []
+    for parts in (2, 7):
+        d = docs.repartition(parts)
+        voc = pseudo_likelihood.Vocabulary(pseudo_likelihood.type_counts(d))
+        p = pseudo_likelihood.train(d, voc)
+        scores.append({r["doc_id"]: r["log_likelihood"] for r in pseudo_likelihood.score(d, voc, p).collect()})
+    assert all(scores[0][i] == pytest.approx(scores[1][i], rel=1e-6) for i in scores[0])
+    # By hand: a forward pass a word at a time, all words of the vocabulary at every place.
+    t, text = voc.types, docs.filter("doc_id = 3").first()["text"].split()
+    rolling = common.Rolling()
+    hashed = lambda ws: pseudo_likelihood.words_of(np.frombuffer(" ".join(ws).encode(), np.uint8), np.array([0, len(" ".join(ws))]), rolling)[0]
+    vocabulary = sorted({w for r in docs.collect() for w in r["text"].split()})
+    known = dict(zip(vocabulary, zip(*t.look_up(hashed(vocabulary)), strict=True), strict=True))
+    total = 0.0
+    for i, w in enumerate(text):
+        x = np.concatenate([p["E"][known[text[i + d]][0] if 0 <= i + d < len(text) else 0] for d in (-2, -1, 1, 2)])
+        h = np.tanh(x @ p["W"] + p["b"])
+        z = np.exp(h @ p["U"] + p["c"])
+        chances = {}
+        for v, (_, cls, inside, _, leaf) in known.items():
+            chance, node = z[cls] / z.sum() * math.exp(inside), cls * pseudo_likelihood.NODES
+            low, high, at = 0, 1 << pseudo_likelihood.LEVELS, 0
+            while high - low > 1:
+                right = (leaf & ((1 << pseudo_likelihood.LEVELS) - 1)) >= (low + high) // 2
+                if t.live[node + at]:
+                    s = 1 / (1 + math.exp(-(h @ p["V"][node + at] + p["v"][node + at])))
+                    chance *= s if right else 1 - s
+                low, high, at = ((low + high) // 2, high, 2 * at + 2) if right else (low, (low + high) // 2, 2 * at + 1)
+            chances[v] = chance
+        # Classes of words that the corpus lacks hold the rest.
+        assert 0.9 < sum(chances.values()) < 1.0001
+        total += math.log(chances[w])
+    assert total == pytest.approx(scores[1][3], rel=1e-4)
+
+
 def test_pseudo_likelihood_edges(spark):
     docs = docs_of(spark, edge_texts(random.Random(1)))
     voc = pseudo_likelihood.Vocabulary(pseudo_likelihood.type_counts(docs))
