@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +23,15 @@ def staging(spark: SparkSession) -> str:
     if not found:
         if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        found = tempfile.mkdtemp(prefix="jobmarket-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = _local_dir()
     return f"{found.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="jobmarket-")
+
+
 def staged(df: DataFrame) -> DataFrame:
     """df as a written table, for results that several branches of a plan read."""
     path = staging(df.sparkSession)
