@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jobmarket.llm.common import binary_column, table, text_blocks, written
+from jobmarket.llm.common import binary_column, result, scratch, table, text_blocks, written
 
 #: Shortest and longest chunk in bytes, and the number of zero bits at a cut (a cut each 2**CUT_BITS bytes).
 MIN_CHUNK = 24
@@ -131,9 +131,15 @@ def spans(repeated: DataFrame) -> DataFrame:
     )
 
 
+def removable(docs: DataFrame) -> DataFrame:
+    """spans of the repeated chunks of docs, written; the chunks are removed."""
+    with scratch(docs.sparkSession):
+        return result(spans(repeated_chunks(docs)), "spans")
+
+
 def with_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, t, text) and the columns of spans, for every row with an id; rows without repeats have nulls."""
-    return _keyed(docs).join(spans(repeated_chunks(docs)), KEY, "left")
+    return _keyed(docs).join(removable(docs), KEY, "left")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -158,6 +164,6 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     text = F.array_join(F.transform("removed", lambda x: F.concat_ws(":", x["s"].cast("string"), x["e"].cast("string"))), ",")
     own = _keyed(docs).select(*KEY, F.octet_length("text").cast("long").alias("n_bytes"))
-    out = own.join(spans(repeated_chunks(docs)), KEY, "left")
+    out = own.join(removable(docs), KEY, "left")
     number = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     return out.select("doc_id", "n_bytes", *[number(c).alias(c) for c in ("n_repeated", "repeated_bytes", "n_removed")], number(F.size("removed")).alias("n_spans"), F.coalesce(text, F.lit("")).alias("spans"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmarket.llm.common import mix, table, text_blocks, written
+from jobmarket.llm.common import mix, result, scratch, table, text_blocks, written
 
 MAX_EDITS = 0.1
 PIECE_BYTES = 9
@@ -217,6 +217,11 @@ class Items:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, edits, item_bytes, start) of every document and item it holds; start: byte in the normal text."""
+    with scratch(docs.sparkSession):
+        return result(_contaminated(docs, benchmark, block_bytes), "contaminated")
+
+
+def _contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int) -> DataFrame:
     items = benchmark.filter("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-2 * size // block_bytes))

@@ -163,8 +163,9 @@ def planned(docs: DataFrame, share: float = SHARE, cap: int = CAP) -> DataFrame:
 
 def mix(docs: DataFrame, share: float = SHARE, cap: int = CAP) -> DataFrame:
     """(doc_id, source, size, source_size, target, rate, copies, taken) for every document."""
-    d = written(sized(docs).select(F.lit(0).alias("row"), "doc_id", "source", "size", "tie"), "sized")
-    return planned(d, share, cap).drop("row")
+    with scratch(docs.sparkSession):
+        d = written(sized(docs).select(F.lit(0).alias("row"), "doc_id", "source", "size", "tie"), "sized")
+        return result(planned(d, share, cap).drop("row"), "mix")
 
 
 def mixture(docs: DataFrame, share: float = SHARE, cap: int = CAP) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmarket.llm.common import Rolling, mix, table, text_blocks, written
+from jobmarket.llm.common import Rolling, mix, result, scratch, table, text_blocks, written
 from jobmarket.llm.words import words_of
 
 HEAD = 1 << 18
@@ -363,5 +363,6 @@ def score(docs: DataFrame, vocabulary: Vocabulary, p: dict[str, np.ndarray]) ->
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pseudo-likelihood of every document under a network trained on the whole table."""
     docs = table(spark, sf_dir, "documents")
-    vocabulary = Vocabulary(type_counts(docs))
-    return score(docs, vocabulary, train(docs, vocabulary))
+    with scratch(spark):
+        vocabulary = Vocabulary(type_counts(docs))
+        return result(score(docs, vocabulary, train(docs, vocabulary)), "likelihoods")

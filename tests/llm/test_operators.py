@@ -491,6 +491,35 @@ def test_decontamination_recall_and_precision(spark):
     assert {(r["doc_id"], r["item_id"]) for r in blocks.collect()} == set(got)
 
 
+def test_decontamination_recall_by_length_of_items(spark):
+    rng, sizes, each = random.Random(41), (6, 10, 20, 40), 60
+    items = [(1000 * n + i, " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9))) for _ in range(n))) for n in sizes for i in range(each)]
+    # A tenth of an item's bytes is edited, at random places: the most that counts as a copy.
+    texts = [(i, prose(rng, 40) + " " + edited(rng, t, len(t) // 10) + " " + prose(rng, 40)) for i, t in items]
+    held = {i: cgk_decontam.edit_search(cgk_decontam.normal(t.encode()), cgk_decontam.normal(d.encode()))[0] <= 0.1 * len(t) for (i, t), (_, d) in zip(items, texts, strict=True)}
+    got = {r["doc_id"] for r in cgk_decontam.contaminated(docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect() if r["doc_id"] == r["item_id"]}
+    for n in sizes:
+        own = [i for i, _ in items if i // 1000 == n and held[i]]
+        assert len(own) > 0.9 * each and sum(i in got for i in own) >= 0.9 * len(own), n
+
+
+def test_decontamination_against_brute_force(spark):
+    rng = random.Random(43)
+    items = [(i, prose(rng, rng.randrange(4, 30), 60)) for i in range(25)]
+    texts = [(i, prose(rng, 60, 60)) for i in range(20)] + [(100 + i, prose(rng, 20, 60) + " " + edited(rng, t, rng.randrange(0, len(t) // 6)) + "\n" + prose(rng, 20, 60)) for i, t in items]
+    texts += [(200, None), (201, ""), (202, "x" * 30_000 + " " + items[3][1] + " " + "y" * 30_000)]
+    want = {}
+    for d, t in texts:
+        for i, x in items:
+            k = cgk_decontam.edit_search(cgk_decontam.normal(x.encode()), cgk_decontam.normal((t or "").encode()))[0]
+            if k <= 0.1 * len(x):
+                want[d, i] = k
+    found = cgk_decontam.contaminated(docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in found}
+    assert set(got) <= set(want) and len(got) >= 0.9 * len(want) and (202, 3) in got
+    assert all(got[k] == want[k] for k in got)
+
+
 def test_decontamination_needs_no_whole_words(spark):
     rng = random.Random(5)
     items = [(i, " ".join("".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(12))) for i in range(20)]
@@ -742,3 +771,23 @@ def test_rolling_windows():
     data = np.frombuffer(b"abcabcabd", np.uint8)
     h = r.windows(r.prefix(data), 3)
     assert h[0] == h[3] and h[0] != h[6] and len(set(h.tolist())) == 4
+
+
+def test_scratch_removes_what_is_no_result(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
+    with common.scratch(spark):
+        part = common.written(spark.range(3), "part")
+        with common.scratch(spark):
+            inner = common.result(common.written(part.selectExpr("id + 1 as id"), "inner"), "inner-result")
+        assert inner.count() == 3
+        out = common.result(inner, "out")
+    assert out.count() == 3 and [p.name.rpartition("-")[0] for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        conf = {}
+        sparkContext = type("C", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        common.shared_dir(Session)

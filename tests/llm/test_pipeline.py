@@ -60,6 +60,31 @@ def test_stages_keep_columns_and_clean_documents(spark, tmp_path, extra):
         assert stage(spark, empty, d).count() == 0
 
 
+def test_stages_decide_by_row_and_leave_columns_alone(spark, tmp_path):
+    rng = random.Random(6)
+    text = lambda n: " ".join(f"w{rng.randrange(4000)}" for _ in range(n))
+    item, one, two = text(40), text(60), text(70)
+    rows = [(1, one, "s"), (2, two, "s"), (7, one, "s"), (7, text(50), "s"), (None, two, "s"), (8, text(20) + " " + item, "s"), (8, text(55), "s"), (None, item + " x", "s"), (9, "mail a.b@c.de now", None), (9, "plain words only", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    names = ("score", "predicted", "row", "_text", "_all", "base", "all", "cands", "copy_no", "copies", "_key", "bin", "h", "tie", "position", "component_id", "n_shingles", "own", "first", "item_id", "node")
+    docs = docs.withColumns({c: F.lit(f"my {c}") for c in names})
+    d = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    for name, stage in C.STAGES:
+        docs = stage(spark, docs, d).cache()
+        got = docs.collect()
+        assert got and all(r[c] == f"my {c}" for r in got for c in names), name
+        kept = sorted((r["doc_id"] or 0, len(r["text"].split())) for r in got)
+        if name == "ngram_jaccard_join":
+            # 7's other text, and 8's and 9's, are documents of their own; so is the row without an id.
+            assert kept == sorted([(1, 60), (2, 70), (7, 50), (8, 60), (8, 55), (0, 41), (9, 3), (9, 3)])
+        if name == "benchmark_decontamination":
+            assert kept == sorted([(1, 60), (2, 70), (7, 50), (8, 55), (9, 3), (9, 3)])
+        if name == "pii":
+            assert sorted(r["text"] for r in got if r["doc_id"] == 9) == ["mail [EMAIL] now", "plain words only"]
+
+
 def test_labels_of_the_held_out_fold_are_not_read(spark):
     labels = spark.createDataFrame([(i, 1, 1) for i in range(100)], "doc_id long, quality int, toxic int")
     used = {r["doc_id"] for r in toxicity.labelled_sample(labels).collect()}
