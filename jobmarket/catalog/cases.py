@@ -12,6 +12,7 @@ from jobmarket.functions import text as T
 from jobmarket.functions import values as V
 from jobmarket.operators import tables as M
 from jobmarket.plans import analytics as A
+from jobmarket.plans import jobs as J
 from jobmarket.plans.frame import read
 from jobmarket.streaming import boards as B
 
@@ -145,6 +146,51 @@ def places(spark, d):
     return got.select("o_orderkey", "y.country", "y.city", "y.region", "y.mode")
 
 
+PROFILES = (
+    ("Registered Nurse", ("registered-nurse", "healthcare")), ("Server Administrator", ("it-support", "infrastructure-security")), ("Barista", ("food-service", "hospitality-retail")), ("Server", ("food-service", "hospitality-retail")),
+    ("Head of Sales", ("sales-other", "sales-customer")), ("Process Engineer", ("engineer-other", "engineering")), ("Zzz Qqq", ("other", "other")), ("Director", ("executive-leadership", "management-consulting")), ("Product Owner", ("product-manager", "product-design")),
+    ("CDL Driver", ("driver", "logistics-transport")), ("Kitchen Porter", ("chef-cook", "hospitality-retail")),
+)
+
+
+@query("c2_profile_rules", due(PROFILES, "profile", "family"))
+def profiles(spark, d):
+    """The whole list of title rules, in order."""
+    name, family = J.profile(F.col("x"), rules=T.profile_table())
+    return inputs(spark, d, PROFILES).select("o_orderkey", name.alias("profile"), family.alias("family"))
+
+
+#: Raw postings (title, description, locations, workplace, pay unit) and what is due: profile, seniority, work mode, country,
+#: city, places, countries, pay, unit, source of pay, technologies.
+RAW = (
+    (("Senior Data Engineer", "<p>Python &amp; SQL. $150,000 - $200,000 per year. 5+ years of experience.</p>", "San Francisco, CA|Remote - US", "", None), ("engineer-other", "senior", "remote", "US", "San Francisco", "2", "1", "150000", "year", "description", "5", "python,sql")),
+    (("Barista", "Nice place", "Berlin", "Hybrid", "hourly"), ("food-service", "unspecified", "hybrid", "DE", "Berlin", "1", "1", "83200", "hour", "structured", None, "")),
+    (("Junior Nurse", "We pay 18 000 - 24 000 PLN miesięcznie", "nowhere|Toronto, ON|Berlin", "", None), ("registered-nurse", "entry", "unspecified", "CA", "Toronto", "3", "2", "216000", "month", "description", None, "")),
+    (("Zzz Qqq", None, "", "On-site", "piece"), ("other", "unspecified", "onsite", None, None, "0", "0", None, None, "none", None, "")),
+)
+DUE = ("profile", "seniority", "work_mode", "country", "city", "n_locations", "n_countries", "pay_min", "sal_unit", "sal_source", "years", "technologies")
+
+
+@query("r1_derived_frame", due(RAW, *DUE))
+def derived(spark, d):
+    """Raw postings to the derived frame."""
+    one = lambda i: spark_pick([c[0][i] for c in RAW], "o_orderkey")
+    pay = F.when(one(4).isNotNull(), F.struct(F.lit(40.0).alias("min"), F.lit(50.0).alias("max"), F.lit("eur").alias("currency"), one(4).alias("unit")))
+    raw = read(spark, d, "orders").select(
+        F.concat(F.lit("c"), F.col("o_orderkey") % 50).alias("company_slug"), F.lit("b").alias("board_slug"), F.lit("s").alias("source"), F.concat(F.lit("https://x/"), "o_orderkey").alias("url"), F.col("o_orderkey").cast("string").alias("source_identity"),
+        one(0).alias("title"), one(1).alias("description"), F.filter(F.split(one(2), r"\|"), lambda x: x != "").alias("locations"), one(3).alias("workplace"), F.lit("Full-time").alias("employment_type"), pay.alias("base_pay"),
+        F.lit(None).cast("string").alias("language"), F.lit("2024-03-05").alias("date_posted"), "o_orderkey",
+    )
+    resolve = E.places_resolver({"san francisco": ("US", 9), "toronto": ("CA", 9), "berlin": ("DE", 9)}, {"us": "US"}, {"on": "CA", "ca": "US"})
+    got = J.derived_frame(raw.drop("o_orderkey"), F.lit("2024-06-01").cast("timestamp"), resolve, T.profile_table(), T.technology_table())
+    keys = raw.select(V.job_key(F.col("company_slug"), F.col("source_identity")).alias("job_key"), "o_orderkey")
+    text = lambda c: F.regexp_replace(F.col(c).cast("string"), r"\.0$", "")
+    return got.join(keys, "job_key").select(
+        "o_orderkey", "profile", "seniority", "work_mode", "country", "city", text("n_locations").alias("n_locations"), text("n_countries").alias("n_countries"), F.col("sal_min").cast("long").cast("string").alias("pay_min"), "sal_unit", "sal_source",
+        text("yoe_min").alias("years"), F.array_join("technologies", ",").alias("technologies"),
+    )
+
+
 COERCED = (('" a "', ("a", "a")), ('["a", "b", "a", "", null]', ("a, b", "a|b")), ('[["x", "y"], "z"]', ("x, y, z", "x, y|z")), ('""', (None, None)), ("null", (None, None)), ("12", ("12", "12")), ('{"k":1}', ('{"k":1}', '{"k":1}')), ("[]", (None, None)))
 
 
@@ -226,6 +272,15 @@ def gone(spark, d):
     return B.health_batch(events).select(F.col("board").cast("long").alias("o_orderkey"), "status", F.col("next_check_minutes").cast("string").alias("next_check_minutes"))
 
 
+@query("u4_dimension_sync", "select 's' || s_suppkey as slug, case when s_suppkey % 10 = 2 then 'old' when s_suppkey % 3 = 0 then 'api' when s_suppkey % 3 = 1 then 'rss' else 'unknown' end as monitor, s_suppkey % 10 <> 2 as enabled from supplier")
+def dimension_sync(spark, d):
+    """U4: boards upserted and enabled, absent ones disabled, unknown monitor types replaced by a default."""
+    b = read(spark, d, "supplier")
+    target = b.filter("s_suppkey % 10 <> 1").selectExpr("concat('s', s_suppkey) as slug", "'old' as monitor", "s_suppkey % 4 <> 0 or s_suppkey % 10 = 2 as enabled")
+    incoming = b.filter("s_suppkey % 10 <> 2").selectExpr("concat('s', s_suppkey) as slug", "case s_suppkey % 3 when 0 then 'api' when 1 then 'rss' else 'bogus' end as monitor")
+    return M.dimension_sync(target, incoming, "slug", {"monitor": (("api", "rss"), "unknown")})
+
+
 DURABLE = """e as (select o_orderkey as k, 'i' || o_orderkey as identity, 'u' || o_orderkey as url, 'b' || o_custkey % 5 as board, o_orderstatus <> 'F' as active from orders where o_orderkey % 10 <> 1),
 al as (select 'old' || o_orderkey as url, 'i' || o_orderkey as identity from orders where o_orderkey % 7 = 0 union all select 'x' || o_orderkey, 'z' from orders where o_orderkey % 20 = 9),
 n as (select o_orderkey as k, 'i' || o_orderkey as identity, case when o_orderkey % 20 = 9 then 'x' when o_orderkey % 5 = 0 then 'new' when o_orderkey % 5 = 1 then 'old' else 'u' end || o_orderkey as url, 'b' || (o_custkey + (o_orderkey % 9 = 0)::int) % 5 as board, o_orderkey % 3 <> 0 as explicit from orders where o_orderkey % 10 <> 2),

@@ -139,31 +139,53 @@ def occupation_matcher(aliases: list[tuple[str, str]]):
     return match
 
 
+_PLACE = T.StructType().add("country", "string").add("city", "string").add("region", "string").add("mode", "string")
+_REGIONS = ("emea", "apac", "latam", "europe", "worldwide")
+
+
+def _place(text: str | None, cities: dict[str, tuple[str, int]], countries: dict[str, str], states: dict[str, str]) -> tuple[str | None, ...]:
+    """(country, city, region, mode) of a place text. Strips remote, hybrid and on-site notes; tries country names, ', XX'
+    state or country codes, then city names by population."""
+    low = (text or "").lower()
+    mode = "hybrid" if "hybrid" in low else "remote" if "remote" in low else "onsite" if re.search(r"on-?site", low) else None
+    rest = re.sub(r"\b(remote|hybrid|on-?site)\b|[()]", " ", low)
+    parts = [p.strip(" -") for p in re.split(r"[,;/|]| - ", rest) if p.strip(" -")]
+    region = next((r.upper() for r in _REGIONS if r in parts), None)
+    country = city = None
+    for p in reversed(parts):
+        country = country or countries.get(p) or states.get(p)
+    for p in parts:
+        if p in cities and (country is None or cities[p][0] == country):
+            city, country = p.title(), country or cities[p][0]
+            break
+    if city is None and country and len(parts) > 1 and parts[0] not in countries:
+        city = parts[0].title()
+    return country, city, region, mode
+
+
 def place_resolver(cities: dict[str, tuple[str, int]], countries: dict[str, str], states: dict[str, str]):
-    """UDF of place texts -> (country, city, region, mode). Strips remote, hybrid and on-site notes; tries country names,
-    ', XX' state or country codes, then city names by population. Tables are of bounded size and given by the caller."""
-    regions = ("emea", "apac", "latam", "europe", "worldwide")
+    """UDF of place texts -> (country, city, region, mode). Tables are of bounded size and given by the caller."""
 
-    @pandas_udf(T.StructType().add("country", "string").add("city", "string").add("region", "string").add("mode", "string"))
+    @pandas_udf(_PLACE)
     def resolve(raw: pd.Series) -> pd.DataFrame:
-        def one(t: str | None):
-            low = (t or "").lower()
-            mode = "hybrid" if "hybrid" in low else "remote" if "remote" in low else "onsite" if re.search(r"on-?site", low) else None
-            rest = re.sub(r"\b(remote|hybrid|on-?site)\b|[()]", " ", low)
-            parts = [p.strip(" -") for p in re.split(r"[,;/|]| - ", rest) if p.strip(" -")]
-            region = next((r.upper() for r in regions if r in parts), None)
-            country = city = None
-            for p in reversed(parts):
-                country = country or countries.get(p) or states.get(p)
-            for p in parts:
-                if p in cities and (country is None or cities[p][0] == country):
-                    city, country = p.title(), country or cities[p][0]
-                    break
-            if city is None and country and len(parts) > 1 and parts[0] not in countries:
-                city = parts[0].title()
-            return country, city, region, mode
-
-        return pd.DataFrame([one(t) for t in raw], columns=["country", "city", "region", "mode"])
+        return pd.DataFrame([_place(t, cities, countries, states) for t in raw], columns=_PLACE.names)
+
+    return resolve
+
+
+def places_resolver(cities: dict[str, tuple[str, int]], countries: dict[str, str], states: dict[str, str]):
+    """As place_resolver, of lists of place texts; each text is resolved once a batch."""
+
+    @pandas_udf(T.ArrayType(_PLACE))
+    def resolve(raw: pd.Series) -> pd.Series:
+        known: dict[str, dict] = {}
+
+        def one(t: str) -> dict:
+            if t not in known:
+                known[t] = dict(zip(_PLACE.names, _place(t, cities, countries, states), strict=True))
+            return known[t]
+
+        return raw.map(lambda ts: [] if ts is None else [one(t) for t in ts])
 
     return resolve
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
+from importlib.resources import files
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -213,14 +215,20 @@ def technologies(text: Column, patterns: list[tuple[str, str, bool]]) -> Column:
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
 
+def packaged(name: str) -> list[dict[str, str]]:
+    """Rows of a small CSV that comes with the package; lines from # on are comments."""
+    lines = (files("jobmarket") / "data" / name).read_text("utf-8").splitlines()
+    return list(csv.DictReader(x for x in lines if not x.startswith("#")))
+
+
 def technology_table() -> list[tuple[str, tuple[str, ...], bool]]:
     """(slug, literals, case counts) of the technologies that come with the package."""
-    import csv
-    from importlib.resources import files
+    return [(r["slug"], tuple(x.strip() for x in r["literals"].split("|") if x.strip()), "cs" in r["flags"]) for r in packaged("technologies.csv")]
+
 
-    lines = (files("jobmarket") / "data/technologies.csv").read_text("utf-8").splitlines()
-    rows = csv.DictReader(x for x in lines if not x.startswith("#"))
-    return [(r["slug"], tuple(x.strip() for x in r["literals"].split("|") if x.strip()), "cs" in r["flags"]) for r in rows]
+def profile_table() -> tuple[tuple[str, str, str], ...]:
+    """(profile, family, pattern) of the title rules that come with the package, in order."""
+    return tuple((r["profile"], r["family"], r["pattern"]) for r in packaged("profiles.csv"))
 
 
 def named_technologies(text: Column, table: list[tuple[str, tuple[str, ...], bool]]) -> Column:

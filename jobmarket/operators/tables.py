@@ -57,6 +57,14 @@ def disable_absent(target: DataFrame, incoming: DataFrame, key: str, flag: str =
     return target.join(known, key, "left").withColumn(flag, F.col(flag) & F.coalesce("_known", F.lit(False))).drop("_known")
 
 
+def dimension_sync(target: DataFrame, incoming: DataFrame, key: str, enums: dict[str, tuple[tuple[str, ...], str]], flag: str = "enabled") -> DataFrame:
+    """U4: incoming rows are upserted and enabled, rows that are absent disabled; values outside an enum (column: allowed
+    ones, default) become its default."""
+    for column, (allowed, default) in enums.items():
+        incoming = incoming.withColumn(column, F.when(F.col(column).isin(*allowed), F.col(column)).otherwise(default))
+    return disable_absent(upsert(target, incoming.withColumn(flag, F.lit(True)), [key], {}), incoming, key, flag)
+
+
 def close_stale(df: DataFrame, now: Column, days: int, seen: str = "last_seen", status: str = "status") -> DataFrame:
     return df.withColumn(status, F.when((F.col(status) == "open") & (F.col(seen) < now - F.expr(f"interval {days} days")), "closed").otherwise(F.col(status)))
 

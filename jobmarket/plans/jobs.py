@@ -72,6 +72,34 @@ def derive(raw: DataFrame, now: Column, company: str = "company_slug") -> DataFr
     )
 
 
+#: Most places of a posting that are resolved.
+MOST_PLACES = 50
+
+
+def derived_frame(raw: DataFrame, now: Column, resolve, profiles: tuple[tuple[str, str, str], ...], technologies: list[tuple[str, tuple[str, ...], bool]]) -> DataFrame:
+    """Raw postings as the whole derived frame of the report.
+
+    raw: (company_slug, board_slug, source, url, source_identity, title, description, locations array, workplace,
+    employment_type, base_pay struct of min, max, currency, unit, language, date_posted); resolve: a places_resolver.
+    Rows without a url go. Extraction sees each distinct text once; structured pay beats pay in the text."""
+    df = raw.filter(F.coalesce("url", F.lit("")) != "").withColumns({"_title": F.trim(F.coalesce("title", F.lit(""))), "_text": T.plain_text(F.col("description"))})
+    texts = df.select("_text").distinct().withColumns({"_years": E.years_of_experience("_text"), "_pay": E.pay_in_text("_text")})
+    df = df.join(texts, "_text").withColumn("_places", resolve(F.slice("locations", 1, MOST_PLACES)))
+    described = V.annual(F.col("_pay.min"), F.col("_pay.max"), F.col("_pay.currency"), F.col("_pay.unit"), "description")
+    given = V.annual(F.col("base_pay.min"), F.col("base_pay.max"), F.col("base_pay.currency"), F.coalesce(salary_unit(F.col("base_pay.unit")), "base_pay.unit"), "structured")
+    name, family = profile(F.col("_title"), rules=profiles)
+    df = df.withColumns({"_paid": V.normalised_pay(given, described), "_place": V.primary_place(F.col("_places"))})
+    return df.select(
+        V.job_key(F.col("company_slug"), F.coalesce("source_identity", "url")).alias("job_key"), "company_slug", "board_slug", "source", T.clean_title(F.col("_title")).alias("title_clean"), name.alias("profile"),
+        family.alias("job_family"), T.seniority(F.col("_title")).alias("seniority"), T.employment_type(F.col("employment_type"), EMPLOYMENT).alias("employment_type"), V.work_mode(F.col("workplace"), F.col("_places")).alias("work_mode"),
+        F.col("_place.country").alias("country"), F.col("_place.region").alias("region"), F.col("_place.city").alias("city"), F.size("_places").alias("n_locations"),
+        F.size(F.array_distinct(F.filter(F.transform("_places", lambda p: p["country"]), lambda c: c.isNotNull()))).alias("n_countries"), F.unix_date(V.posted_at(F.col("date_posted"), now).cast("date")).alias("posted_day"),
+        F.col("_paid.min").alias("sal_min"), F.col("_paid.max").alias("sal_max"), F.col("_paid.currency").alias("sal_currency"), F.col("_paid.unit").alias("sal_unit"), F.coalesce("_paid.source", F.lit("none")).alias("sal_source"), F.col("_years").alias("yoe_min"),
+        F.array_sort(T.named_technologies(F.concat_ws("\n", "_title", "_text"), technologies)).alias("technologies"), T.education(F.col("_text")).alias("education"), T.visa(F.col("_text")).alias("visa"), T.equity(F.col("_text")).alias("equity"),
+        T.clearance(F.col("_text")).alias("clearance"), T.language(F.col("language"), F.concat_ws(". ", "_title", "_text")).alias("language"), F.length("_text").alias("desc_len"),
+    )
+
+
 def terminal_sweep(postings: DataFrame, boards: DataFrame, configured: DataFrame) -> DataFrame:
     """Postings of terminal boards become inactive unless the board is configured again; class tells why."""
     b = boards.join(configured.select("board").distinct().withColumn("_known", F.lit(True)), "board", "left")
