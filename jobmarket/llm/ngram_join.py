@@ -274,10 +274,10 @@ def _near_duplicates(docs: DataFrame, shingle: int) -> DataFrame:
     equal = ["n", "d1", "d2"]
     first = sound.groupBy(*equal).agg(F.min("doc_id").alias("b"), F.count("*").alias("copies")).filter("copies > 1")
     same = sound.select(F.col("doc_id").alias("a"), *equal).join(first, equal).select("a", "b").filter("a <> b")
-    members = written(sound.groupBy(*equal).agg(F.min(F.struct("doc_id", "rare", "p1", "p2", "prefix")).alias("m")).select("n", "m.*"), "members")
     alike = ["n", "p1", "p2"]
-    groups = members.groupBy(*alike).agg(F.min(F.struct("doc_id", "rare", "prefix")).alias("m"))
+    groups = sound.groupBy(*alike).agg(F.min(F.struct("doc_id", "rare", "prefix")).alias("m"))
     post = written(postings(groups.select("m.doc_id", "n", "m.rare", "m.prefix")), "postings")
+    members = sound.groupBy(*equal).agg(F.min(F.struct("doc_id", "p1", "p2")).alias("m")).select("n", "m.*")
     several = members.groupBy(*alike).agg(F.min("doc_id").alias("b"), F.count("*").alias("size")).filter("size > 1")
     inside = written(members.join(several, alike).select(F.col("doc_id").alias("a"), "b").filter("a <> b"), "inside")
     nodes_of = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
