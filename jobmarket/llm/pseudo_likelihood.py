@@ -45,10 +45,12 @@ WIDTH = 16
 HIDDEN = 32
 SIDE = 2
 FOLDS = 7
-RATE = 0.1
-MINIBATCH = 256
+RATE = 0.2
+MINIBATCH = 1024
 LEVELS = 6
 NODES = (1 << LEVELS) - 1
+#: Hidden units that decisions see, the first ones.
+SEEN = 8
 SLICES = 16
 #: Text of a shard, and how many vectors are summed at once in each of the rounds.
 SHARD_BYTES = 1 << 23
@@ -193,7 +195,7 @@ class Vocabulary:
 
 
 def shapes(n_inputs: int) -> dict[str, tuple[int, ...]]:
-    return {"E": (n_inputs, WIDTH), "W": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "U": (HIDDEN, CLASSES), "c": (CLASSES,), "V": (CLASSES * NODES, HIDDEN), "v": (CLASSES * NODES,)}
+    return {"E": (n_inputs, WIDTH), "W": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "U": (HIDDEN, CLASSES), "c": (CLASSES,), "V": (CLASSES * NODES, SEEN), "v": (CLASSES * NODES,)}
 
 
 def initial(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
@@ -243,7 +245,7 @@ def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, target: np.
         top = z.max(axis=1)
         lp = z[np.arange(len(z)), target[i : i + 4096]] - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
         place, node, right = decisions(leaf[i : i + 4096], live)
-        a = (2 * right - 1) * (np.einsum("ij,ij->i", h[place], p["V"][node]) + p["v"][node])
+        a = (2 * right - 1) * (np.einsum("ij,ij->i", h[place, :SEEN], p["V"][node]) + p["v"][node])
         out[i : i + 4096] = lp - np.bincount(place, weights=np.logaddexp(0, -a), minlength=len(z))
     return out
 
@@ -278,10 +280,10 @@ class Trainer:
         dh = z @ p["U"].T
         place, node, right = decisions(leaf, self.live)
         if len(place):
-            hp, vp = h[place], p["V"][node]
+            hp, vp = np.ascontiguousarray(h[:, :SEEN])[place], p["V"][node]
             d = ((1 / (1 + np.exp(-(np.einsum("ij,ij->i", hp, vp) + p["v"][node]))) - right) / n).astype(np.float32)
             first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            dh[place[first]] += np.add.reduceat(d[:, None] * vp, first, axis=0)
+            dh[place[first], :SEEN] += np.add.reduceat(d[:, None] * vp, first, axis=0)
             at, g = _summed_by(node, np.concatenate([d[:, None] * hp, d[:, None]], axis=1))
             self._move("V", at, g[:, :-1])
             self._move("v", at, g[:, -1])

@@ -743,7 +743,7 @@ def test_pseudo_likelihood_against_a_plain_network(spark, monkeypatch):
             while high - low > 1:
                 right = (leaf & ((1 << pseudo_likelihood.LEVELS) - 1)) >= (low + high) // 2
                 if t.live[node + at]:
-                    s = 1 / (1 + math.exp(-(h @ p["V"][node + at] + p["v"][node + at])))
+                    s = 1 / (1 + math.exp(-(h[: pseudo_likelihood.SEEN] @ p["V"][node + at] + p["v"][node + at])))
                     chance *= s if right else 1 - s
                 low, high, at = ((low + high) // 2, high, 2 * at + 2) if right else (low, (low + high) // 2, 2 * at + 1)
             chances[v] = chance
