@@ -45,6 +45,7 @@ LEAST_Z = 2.0
 #: One sampled text in so many has its label observed by the label model, and counts so many times there.
 DEVELOPMENT = 2
 OBSERVED_WEIGHT = 3.0
+ROWS_AT_ONCE = 512
 STEMS = (4, 5, 6, 7)
 FOLDS = 5
 
@@ -118,10 +119,9 @@ class Reader:
         return self.words(lower, np.array([0, len(lower)]))[1][0]
 
 
-def lowered(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """(text, lower) of a batch, null as empty."""
-    text = batch.column(batch.schema.get_field_index("text"))
-    text = pc.fill_null(text if pa.types.is_string(text.type) else text.cast(pa.string()), "")
+def lowered(texts: pa.Array) -> pa.RecordBatch:
+    """(text, lower) of texts, null as empty."""
+    text = pc.fill_null(texts if pa.types.is_string(texts.type) else texts.cast(pa.string()), "")
     return pa.RecordBatch.from_arrays([text, pc.utf8_lower(text)], names=["text", "lower"])
 
 
@@ -138,7 +138,7 @@ def term_counts(texts: DataFrame) -> DataFrame:
         seen: list[np.ndarray] = [np.empty(0, np.uint64)] * 2
         for batch in batches:
             toxic = batch.column(1).to_numpy(zero_copy_only=False) > 0
-            for span, data, off in text_blocks(lowered(batch), "lower"):
+            for span, data, off in text_blocks(lowered(batch.column(0)), "lower"):
                 rows, terms = reader.terms(data, off)
                 order = np.lexsort((terms, rows))
                 rows, terms = rows[order], terms[order]
@@ -199,17 +199,16 @@ class Voters:
         code, times = np.unique(np.concatenate([r * self.n + v for r, v in found]), return_counts=True)
         return code // self.n, code % self.n, times, np.bincount(row, minlength=n_rows)
 
-    def described(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
-        """Batches with the occurrences of their runs of rows: (rows, row, voter, times, words)."""
-        for batch in batches:
-            both, parts = lowered(batch), []
+    def described(self, texts: pa.Array) -> Iterator[tuple]:
+        """Occurrences by runs of texts: (rows, row, voter, times, words). ROWS_AT_ONCE texts are lower-cased at a time."""
+        for first in range(0, len(texts), ROWS_AT_ONCE):
+            both = lowered(texts.slice(first, ROWS_AT_ONCE))
             low = binary_column(both, "lower")
             low_off = np.frombuffer(low.buffers()[1], np.int32)[low.offset : low.offset + len(low) + 1].astype(np.int64)
             low_data = np.frombuffer(low.buffers()[2], np.uint8) if low.buffers()[2] is not None else np.empty(0, np.uint8)
             for span, data, off in text_blocks(both, "text"):
                 a = low_off[span.start : span.stop + 1]
-                parts.append((span, *self.occurrences(data, off, low_data[a[0] : a[-1]], a - a[0])))
-            yield batch, parts
+                yield slice(first + span.start, first + span.stop), *self.occurrences(data, off, low_data[a[0] : a[-1]], a - a[0])
 
 
 def label_model(votes: np.ndarray, label: np.ndarray, observed: np.ndarray, prior: float, rounds: int = 30) -> np.ndarray:
@@ -283,8 +282,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     voters = Voters([r["term"] for r in best.collect()])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, parts in voters.described(batches):
-            for span, row, voter, times, words in parts:
+        for batch in batches:
+            for span, row, voter, times, words in voters.described(batch.column(0)):
                 ends = pa.array(np.searchsorted(row, np.arange(len(words) + 1)).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (voter, times)]
                 yield pa.RecordBatch.from_arrays([*lists, pa.array(words.astype(np.int32)), batch.column(1)[span]], names=["voter", "times", "words", "toxic"])
@@ -324,12 +323,13 @@ def learn(voters: Voters, rows: list[tuple[int, list[int], list[int], int]], pri
 
 def scored_rows(docs: DataFrame, model: Model) -> DataFrame:
     """(row, score, predicted): row is a struct of all columns of docs; one pass."""
-    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), "text")
+    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, parts in model.voters.described(batches):
-            s = np.concatenate([model.scores(part) for part in parts]) if parts else np.empty(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s)], names=["row", "score"])
+        for batch in batches:
+            found = [model.scores(part) for part in model.voters.described(batch.column(0).field(at))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([np.empty(0), *found]))], names=["row", "score"])
 
     out = row.mapInArrow(run, StructType([row.schema["row"], StructField("score", DoubleType())]))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

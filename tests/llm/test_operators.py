@@ -255,10 +255,8 @@ def test_label_model_finds_latent_labels_and_discounts_copies():
 def test_toxicity_voters_against_plain_counting(spark):
     texts = ["You IDIOT!! STOP DOING THAT NOW you no no no", "", None, "idiots étranger idiota!", "x" * 100_000 + " SHUT DOWN THIS HERE THING moron moron", "a!!b! c!!! SHOUTING WORDS only"] + ["no", "no no"]
     voters = toxicity.Voters([int(toxicity.Reader().of("étranger").view(np.int64))])
-    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
-    (_, parts), = voters.described([batch])
     got = {}
-    for span, row, voter, times, words in parts:
+    for span, row, voter, times, _ in voters.described(pa.array(texts, pa.string())):
         for r, v, t in zip(row.tolist(), voter.tolist(), times.tolist(), strict=True):
             got[span.start + r, v] = t
     base = len(voters.terms)
