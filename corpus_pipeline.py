@@ -33,9 +33,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near duplicates stays: the one with the smallest doc_id (null last).
 
     Rows get numbers of their own, written with them, and the join runs on these."""
-    rows = written(docs.select(F.monotonically_increasing_id().alias("doc_id"), docs["text"], _whole(docs)), "rows")
+    rows = written(docs.select(F.monotonically_increasing_id().alias("doc_id"), _whole(docs)), "rows")
     with scratch(spark):
-        found = written(ngram_join.near_duplicates(rows.select("doc_id", "text")), "components")
+        found = written(ngram_join.near_duplicates(rows.select("doc_id", "row.text")), "components")
         grouped = found.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").select("component_id")
         members = found.join(grouped, "component_id").join(rows.select("doc_id", F.col("row.doc_id").alias("own")), "doc_id")
         stays = members.groupBy("component_id").agg(F.min(F.struct(F.col("own").isNull().alias("none"), "own", "doc_id")).alias("first"))
