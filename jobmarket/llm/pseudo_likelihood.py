@@ -252,6 +252,7 @@ def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, target: np.
 
 def _summed_by(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and the sums of their rows."""
+    keys = keys.astype(np.uint16)  # inputs and decisions alike; numpy counts keys of this size instead of comparing them
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -267,8 +268,9 @@ class Trainer:
         self.live, self.seen = live, 0
 
     def _move(self, k: str, at: np.ndarray | slice, g: np.ndarray) -> None:
-        self.g2[k][at] += g * g
-        self.p[k][at] -= RATE * g / np.sqrt(self.g2[k][at])
+        seen = self.g2[k][at] + g * g
+        self.g2[k][at] = seen
+        self.p[k][at] -= RATE * g / np.sqrt(seen)
 
     def step(self, context: np.ndarray, target: np.ndarray, leaf: np.ndarray) -> None:
         p, n = self.p, len(context)
@@ -284,9 +286,10 @@ class Trainer:
             d = ((1 / (1 + np.exp(-(np.einsum("ij,ij->i", hp, vp) + p["v"][node]))) - right) / n).astype(np.float32)
             first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
             dh[place[first], :SEEN] += np.add.reduceat(d[:, None] * vp, first, axis=0)
-            at, g = _summed_by(node, np.concatenate([d[:, None] * hp, d[:, None]], axis=1))
-            self._move("V", at, g[:, :-1])
-            self._move("v", at, g[:, -1])
+            at, g = _summed_by(node, d[:, None] * hp)
+            self._move("V", at, g)
+            g = np.bincount(node, weights=d, minlength=len(p["v"]))[at].astype(np.float32)
+            self._move("v", at, g)
         dh *= 1 - h * h
         dx = (dh @ p["W"].T).reshape(-1, WIDTH)
         for k, g in (("U", h.T @ z), ("c", z.sum(axis=0)), ("W", x.T @ dh), ("b", dh.sum(axis=0))):
