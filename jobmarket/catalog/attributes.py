@@ -159,8 +159,8 @@ def places(spark, d):
     return t.join(t.select("place").distinct().withColumn("p", resolve("place")), "place").select("o_orderkey", "p.country", "p.city", "p.region", "p.mode")
 
 
-IN_RX = "\\b(" + "|".join(x.replace(".", "\\.").replace("-", "\\-") for x in V.INDIA) + ")\\b"
-US_RX = "\\b(" + "|".join(x.replace("-", "\\-") for x in V.US_MARKERS + V.US_CITIES) + ")\\b"
+IN_RX = "\\b(" + "|".join(x.replace(".", "\\.").replace("-", "\\-").replace("(", "\\(").replace(")", "\\)") for x in V.INDIA_CITIES + V.INDIA_MARKERS) + ")\\b"
+US_RX = "\\b(" + "|".join(x.replace(".", "\\.").replace("-", "\\-").replace("(", "\\(").replace(")", "\\)") for x in V.US_MARKERS + V.US_CITIES) + ")\\b"
 STATE_RX = ",\\s*(" + "|".join(s.lower() for s in V.US_STATES) + ")\\b"
 
 
