@@ -1,7 +1,7 @@
 """All queries over the driver's tables, with their DuckDB twins where SQL can say the same."""
 
-from jobmarket.catalog import attributes, cases, files, jobs, places, reports, streams, tables
+from jobmarket.catalog import attributes, cases, files, jobs, places, reports, streams, tables, texts
 
-MODULES = (reports, tables, attributes, jobs, streams, files, cases, places)
+MODULES = (reports, tables, attributes, jobs, streams, files, cases, places, texts)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}

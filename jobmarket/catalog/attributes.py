@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from jobmarket.functions import automaton as AC
 from jobmarket.functions import extract as E
 from jobmarket.functions import text as T
 from jobmarket.functions import values as V
@@ -146,7 +147,7 @@ def pay(spark, d):
 @query("c1_occupation")
 def occupation(spark, d):
     """Taxonomy match of titles, one evaluation per distinct title."""
-    match = E.occupation_matcher([("software engineer", "software-engineer"), ("data scientist", "data-scientist"), ("data engineer", "data-engineer"), ("barista", "barista"), ("nurse", "nurse"), ("recruiter", "recruiter")])
+    match = AC.best_alias([("software engineer", "software-engineer"), ("data scientist", "data-scientist"), ("data engineer", "data-engineer"), ("barista", "barista"), ("nurse", "nurse"), ("recruiter", "recruiter")])
     t = titled(spark, d)
     return t.join(t.select("title").distinct().withColumn("occupation", match("title")), "title").select("o_orderkey", "occupation")
 

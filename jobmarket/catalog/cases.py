@@ -7,6 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from jobmarket.catalog.attributes import pick, spark_pick
+from jobmarket.functions import automaton as AC
 from jobmarket.functions import extract as E
 from jobmarket.functions import text as T
 from jobmarket.functions import values as V
@@ -129,7 +130,7 @@ ALIASES = [("software engineer", "software-engineer"), ("data scientist", "data-
 @query("c1_occupation_cases", due(OCCUPATIONS, "occupation"))
 def occupations(spark, d):
     """Exact alias, longest whole-word alias, token set."""
-    got = by_text(inputs(spark, d, OCCUPATIONS), E.occupation_matcher(ALIASES)("x"))
+    got = by_text(inputs(spark, d, OCCUPATIONS), AC.best_alias(ALIASES)("x"))
     return got.select("o_orderkey", F.col("y").alias("occupation"))
 
 

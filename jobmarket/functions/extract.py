@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from decimal import ROUND_HALF_UP, Decimal
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -10,27 +11,60 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf, udtf
 
-_RANGE = re.compile(r"(\d{1,2}(?:\.\d)?)\s*(?:-|–|to)\s*(\d{1,2}(?:\.\d)?)\s*\+?\s*(years?|yrs?|months?)", re.I)
-_LEAST = re.compile(r"(\d{1,2}(?:\.\d)?)\s*\+?\s*(years?|yrs?|months?)(?:'|’)?\s+(?:of\s+)?(?:[\w-]+\s+){0,4}?(?:experience|exp\b)", re.I)
-_LABELLED = re.compile(r"experience\s*(?:required|level)?\s*[:\-]\s*(\d{1,2}(?:\.\d)?)\s*\+?\s*(years?|yrs?|months?)", re.I)
-_NOT_OURS = re.compile(r"(founded|for over|for more than|we have|our company|history of|celebrating)[^.]{0,40}$", re.I)
+# --- Fixed values: words of experience requirements ----------------------------------------------------------------------
+YEARS = r"years?|yrs?|Jahre?n?|ans?|anni?|años?|jaar|år"
+MONTHS = r"months?|Monate?n?|mois|mesi|meses|maanden|månader|måneder"
+EXPERIENCE = r"experience|exp\b|Erfahrung|Berufserfahrung|expérience|esperienza|experiencia|ervaring|erfarenhet|erfaring"
+FIELDS = r"management|development|engineering|leadership|consulting|work(?:ing)?\s+in"
+LINKS = r"(?:(?:of|di|de|an|van)\s+|d['’]\s*)"
+NOT_OURS = (
+    r"has been|have been|founded|established|since\s+\d|for over|for more than|operating|history of|track record of|we.ve been|we have|our company|celebrating|supports? our|in the industry|on the market|"
+    r"sentence|imprisonment|prison|warranty|guarantee"
+)
+MOST_YEARS = 30
+
+_N, _U = r"\d{1,2}(?:[.,]\d)?", rf"(?:{YEARS}|{MONTHS})"
+_ASKED = rf"\s+{LINKS}?(?:[\w-]+\s+){{0,4}}?(?:{EXPERIENCE}|{FIELDS})"
+#: Forms of a requirement, each with low and unit, and high and low_unit where it has them.
+_FORMS = [
+    re.compile(x, re.I)
+    for x in (
+        rf"(?<![\d.])(?P<low>{_N})\s*(?P<low_unit>{MONTHS})\s*(?:to|[-–—])\s*(?P<high>{_N})\s*(?P<unit>{_U}){_ASKED}",
+        rf"(?<![\d.])(?P<low>{_N})\s*(?:[+＋]|(?:[-–—]|to)\s*(?P<high>{_N})\s*[+＋]?)?\s*(?P<unit>{_U})['’s]*{_ASKED}",
+        rf"(?<![\d.])(?P<low>{_N})\s*(?:-|–|to)\s*(?P<high>{_N})\s*\+?\s*(?P<unit>years?|yrs?|months?)",
+        rf"(?:{EXPERIENCE})\s+(?:von\s+)?(?:mindestens\s+|d['’]\s*(?:au\s+moins\s+)?|di\s+(?:almeno\s+)?|de\s+(?:al\s+menos\s+|au\s+moins\s+)?|van\s+(?:minimaal\s+)?)?(?<![\d.])(?P<low>{_N})\s*(?:[+＋]|[-–—]\s*(?P<high>{_N}))?\s*(?P<unit>{_U})",
+        rf"experience\s*(?:required|level)?\s*[:\-]\s*(?P<low>{_N})\s*\+?\s*(?P<unit>years?|yrs?|months?)",
+    )
+]
+_OTHERS = re.compile(NOT_OURS, re.I)
+_MONTH = re.compile(MONTHS, re.I)
+
+
+def _years(number: str, unit: str) -> float:
+    """Years to a tenth, half up."""
+    tenths = Decimal(number.replace(",", ".")) / (12 if _MONTH.fullmatch(unit) else 1)
+    return float(tenths.quantize(Decimal("0.1"), rounding=ROUND_HALF_UP))
+
+
+def required_years(text: str | None) -> float | None:
+    found = []
+    for form in _FORMS:
+        for m in form.finditer(text or ""):
+            g = m.groupdict()
+            low = _years(g["low"], g.get("low_unit") or g["unit"])
+            high = _years(g["high"], g["unit"]) if g.get("high") else low
+            if low <= high <= MOST_YEARS and not _OTHERS.search(text[max(0, m.start() - 60) : m.start()]):
+                found.append(low)
+    return max(found, default=None)
 
 
 @pandas_udf(T.DoubleType())
 def years_of_experience(text: pd.Series) -> pd.Series:
-    """The largest of the minimum years that a text asks for; months count as twelfths; over 30 and company histories
-    (in the 60 characters before) do not count; null if none."""
-
-    def one(t: str | None) -> float | None:
-        found = []
-        for rx in (_RANGE, _LEAST, _LABELLED):
-            for m in rx.finditer(t or ""):
-                v = float(m.group(1)) / (12 if m.group(m.lastindex).lower().startswith("month") else 1)
-                if v <= 30 and not _NOT_OURS.search(t[max(0, m.start() - 60) : m.start()]):
-                    found.append(v)
-        return max(found) if found else None
-
-    return text.map(one).astype("float64")
+    """The largest of the least years that a text asks for, in English, German, French, Italian, Spanish, Dutch, Swedish,
+    Danish and Norwegian: "5+ years of experience", ranges (months to years too) and the reversed order ("Erfahrung von
+    5 Jahren"). Months count as twelfths, to a tenth; ranges that fall, more than 30 years, and company histories (in the
+    60 characters before) do not count; null if none."""
+    return text.map(required_years).astype("float64")
 
 
 # --- Fixed values: marks of currencies before and after an amount, in the order in which families are tried ----------
@@ -112,33 +146,6 @@ def pay_in_text(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([one(t) for t in text], columns=["min", "max", "currency", "unit"])
 
 
-def occupation_matcher(aliases: list[tuple[str, str]]):
-    """UDF of titles: exact alias, else the longest alias as whole words, else an alias of four or more words whose words
-    all occur. Ties: the alias first in the list. The list is a taxonomy of bounded size."""
-    exact: dict[str, str] = {}
-    for a, slug in aliases:
-        exact.setdefault(a.lower(), slug)
-    by_length = sorted(exact, key=lambda a: -len(a))
-    sets = [(set(a.split()), exact[a]) for a in exact if len(a.split()) >= 4]
-
-    @pandas_udf(T.StringType())
-    def match(title: pd.Series) -> pd.Series:
-        def one(t: str | None) -> str | None:
-            t = re.sub(r"\s+", " ", (t or "").lower()).strip()
-            if t in exact:
-                return exact[t]
-            padded = f" {re.sub(r'[^a-z0-9+#]+', ' ', t)} "
-            for a in by_length:
-                if f" {a} " in padded:
-                    return exact[a]
-            words = set(padded.split())
-            return next((slug for s, slug in sets if s <= words), None)
-
-        return title.map(one).astype("object")
-
-    return match
-
-
 _PLACE = T.StructType().add("country", "string").add("city", "string").add("region", "string").add("mode", "string")
 _REGIONS = ("emea", "apac", "latam", "europe", "worldwide")
 

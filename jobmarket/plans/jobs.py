@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobmarket.functions import automaton as AC
 from jobmarket.functions import extract as E
 from jobmarket.functions import text as T
 from jobmarket.functions import values as V
@@ -28,11 +29,14 @@ EMPLOYMENT = {
 SALARY_UNITS = {"yr": "year", "yearly": "year", "annual": "year", "annually": "year", "per year": "year", "monthly": "month", "per month": "month", "weekly": "week", "daily": "day", "hourly": "hour", "per hour": "hour", "hr": "hour"}
 
 
-def profile(title: Column, matched: Column | None = None, rules=PROFILES) -> tuple[Column, Column]:
-    """(profile, family): a taxonomy match if there is one, else the first rule that hits, else other."""
+def profile(title: Column, matched: Column | None = None, rules=PROFILES, domains: dict[str, str] | None = None) -> tuple[Column, Column]:
+    """(profile, family): a taxonomy match and its domain if there is one, else the first rule that hits, else other."""
     name = T.chain([(title.rlike("(?i)" + p), n) for n, _, p in rules], F.lit("other"))
     family = T.chain([(title.rlike("(?i)" + p), f) for _, f, p in rules], F.lit("other"))
-    return (F.coalesce(matched, name) if matched is not None else name), family
+    if matched is None:
+        return name, family
+    own = F.create_map(*[F.lit(x) for kv in domains.items() for x in kv])[matched] if domains else F.lit(None).cast("string")
+    return F.coalesce(matched, name), F.when(matched.isNull(), family).otherwise(F.coalesce(own, F.lit("other")))
 
 
 def salary_unit(raw: Column) -> Column:
@@ -76,18 +80,21 @@ def derive(raw: DataFrame, now: Column, company: str = "company_slug") -> DataFr
 MOST_PLACES = 50
 
 
-def derived_frame(raw: DataFrame, now: Column, resolve, profiles: tuple[tuple[str, str, str], ...], technologies: list[tuple[str, tuple[str, ...], bool]]) -> DataFrame:
+def derived_frame(raw: DataFrame, now: Column, resolve, profiles: tuple[tuple[str, str, str], ...], technologies: list[tuple[str, tuple[str, ...], bool]], occupations: tuple[tuple[str, str, str], ...] = ()) -> DataFrame:
     """Raw postings as the whole derived frame of the report.
 
     raw: (company_slug, board_slug, source, url, source_identity, title, description, locations array, workplace,
-    employment_type, base_pay struct of min, max, currency, unit, language, date_posted); resolve: a places_resolver.
+    employment_type, base_pay struct of min, max, currency, unit, language, date_posted); resolve: a places_resolver;
+    occupations: a taxonomy (alias, slug, domain), whose matches go before the title rules, with the domain as family.
     Rows without a url go. Extraction sees each distinct text once; structured pay beats pay in the text."""
     df = raw.filter(F.coalesce("url", F.lit("")) != "").withColumns({"_title": F.trim(F.coalesce("title", F.lit(""))), "_text": T.plain_text(F.col("description"))})
-    texts = df.select("_text").distinct().withColumns({"_years": E.years_of_experience("_text"), "_pay": E.pay_in_text("_text")})
-    df = df.join(texts, "_text").withColumn("_places", resolve(F.slice("locations", 1, MOST_PLACES)))
+    texts = df.select("_text").distinct().withColumns({"_years": E.years_of_experience("_text"), "_pay": E.pay_in_text("_text"), "_named": AC.whole_words(technologies)("_text")})
+    matched = AC.best_alias([(a, s) for a, s, _ in occupations])("_title") if occupations else F.lit(None).cast("string")
+    titles = df.select("_title").distinct().withColumns({"_matched": matched, "_titled": AC.whole_words(technologies)("_title")})
+    df = df.join(titles, "_title").join(texts, "_text").withColumn("_places", resolve(F.slice("locations", 1, MOST_PLACES)))
     described = V.annual(F.col("_pay.min"), F.col("_pay.max"), F.col("_pay.currency"), F.col("_pay.unit"), "description")
     given = V.annual(F.col("base_pay.min"), F.col("base_pay.max"), F.col("base_pay.currency"), F.coalesce(salary_unit(F.col("base_pay.unit")), "base_pay.unit"), "structured")
-    name, family = profile(F.col("_title"), rules=profiles)
+    name, family = profile(F.col("_title"), F.col("_matched"), profiles, {s: d for _, s, d in occupations})
     df = df.withColumns({"_paid": V.normalised_pay(given, described), "_place": V.primary_place(F.col("_places"))})
     return df.select(
         V.job_key(F.col("company_slug"), F.coalesce("source_identity", "url")).alias("job_key"), "company_slug", "board_slug", "source", T.clean_title(F.col("_title")).alias("title_clean"), name.alias("profile"),
@@ -95,7 +102,7 @@ def derived_frame(raw: DataFrame, now: Column, resolve, profiles: tuple[tuple[st
         F.col("_place.country").alias("country"), F.col("_place.region").alias("region"), F.col("_place.city").alias("city"), F.size("_places").alias("n_locations"),
         F.size(F.array_distinct(F.filter(F.transform("_places", lambda p: p["country"]), lambda c: c.isNotNull()))).alias("n_countries"), F.unix_date(V.posted_at(F.col("date_posted"), now).cast("date")).alias("posted_day"),
         F.col("_paid.min").alias("sal_min"), F.col("_paid.max").alias("sal_max"), F.col("_paid.currency").alias("sal_currency"), F.col("_paid.unit").alias("sal_unit"), F.coalesce("_paid.source", F.lit("none")).alias("sal_source"), F.col("_years").alias("yoe_min"),
-        F.array_sort(T.named_technologies(F.concat_ws("\n", "_title", "_text"), technologies)).alias("technologies"), T.education(F.col("_text")).alias("education"), T.visa(F.col("_text")).alias("visa"), T.equity(F.col("_text")).alias("equity"),
+        F.array_sort(F.array_union("_titled", "_named")).alias("technologies"), T.education(F.col("_text")).alias("education"), T.visa(F.col("_text")).alias("visa"), T.equity(F.col("_text")).alias("equity"),
         T.clearance(F.col("_text")).alias("clearance"), T.language(F.col("language"), F.concat_ws(". ", "_title", "_text")).alias("language"), F.length("_text").alias("desc_len"),
     )
 

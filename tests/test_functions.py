@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from jobmarket.functions import automaton as AC
 from jobmarket.functions import extract as E
 from jobmarket.functions import text as T
 from jobmarket.functions import values as V
@@ -65,7 +66,7 @@ def test_experience(spark, text, years):
 
 
 def test_occupation(spark):
-    match = E.occupation_matcher([("server administrator", "it-support"), ("barista", "food-service"), ("engineer", "engineer"), ("head of data platform", "data-head")])
+    match = AC.best_alias([("server administrator", "it-support"), ("barista", "food-service"), ("engineer", "engineer"), ("head of data platform", "data-head")])
     titles = ["Server Administrator", "Senior Barista", "Zzz Qqq", "Platform Data: Head of Team"]
     rows = spark.createDataFrame([(t,) for t in titles], "x string").select("x", match("x").alias("y")).collect()
     assert {r["x"]: r["y"] for r in rows} == dict(zip(titles, ["it-support", "food-service", None, "data-head"], strict=True))
