@@ -6,9 +6,9 @@ neighbourhood. All chunks are compared by a 128-bit digest over the whole corpus
 form a passage; passages of LEAST_PASSAGE bytes count (shorter ones are lines and phrases that recur by themselves). Of
 equal chunks, the first by (doc_id, text, start) stays and the others are removed.
 
-Defined results: a null text is empty (no chunk, nothing removed); rows with a null doc_id take no part; rows that
-share a doc_id are told apart by their texts; rows that repeat both count as one, since nothing tells them apart; other
-columns are ignored.
+Defined results: a null text is empty (no chunk, nothing removed); null ids come last; rows that share a doc_id are told
+apart by their texts; of rows that repeat both, one is treated as above and the others lose their whole text, while
+their counts of repeats are those of the one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ LEAST_PASSAGE = 96
 GEAR_SEED = 611
 #: t, a hash of the text, tells texts of one doc_id apart.
 KEY = ["doc_id", "t"]
+#: Stands for a null id.
+LAST = (1 << 63) - 1
 CHUNKS = "doc_id long, t long, start int, length int, d1 long, d2 long"
 
 
@@ -76,7 +78,24 @@ def cuts(data: np.ndarray, off: np.ndarray, gear: np.ndarray) -> list[tuple[int,
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
+    """(doc_id, own, text, t): doc_id with LAST for null, own the id as it is."""
+    own = F.col("doc_id").cast("long")
+    return docs.select(F.coalesce(own, F.lit(LAST)).alias("doc_id"), own.alias("own"), F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows, written, with n_bytes and again: whether an earlier row has the same id and text."""
+    w = written(rows.withColumn("number", F.monotonically_increasing_id()), "rows")
+    firsts = w.groupBy(*KEY).agg(F.min("number").alias("first"))
+    return w.join(firsts, KEY).withColumn("again", F.col("number") > F.col("first")).drop("number", "first")
+
+
+def _removed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Numbered rows with the columns of spans; rows that come again lose all bytes."""
+    whole = F.col("again") & (F.col("n_bytes") > 0)
+    span = F.array(F.struct(F.lit(0).alias("s"), F.col("n_bytes").cast("int").alias("e")))
+    j = rows.join(found, KEY, "left")
+    return j.withColumns({"n_removed": F.when(whole, F.col("n_bytes")).otherwise(F.col("n_removed")), "removed": F.when(whole, span).otherwise(F.col("removed"))})
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -138,8 +157,10 @@ def removable(docs: DataFrame) -> DataFrame:
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, t, text) and the columns of spans, for every row with an id; rows without repeats have nulls."""
-    return _keyed(docs).join(removable(docs), KEY, "left")
+    """(doc_id, t, text) and the columns of spans, for every row; rows without repeats have nulls."""
+    rows = _numbered(_keyed(docs).withColumn("n_bytes", F.octet_length("text").cast("long")))
+    out = _removed(rows, removable(docs))
+    return out.select(F.col("own").alias("doc_id"), *[c for c in out.columns if c not in ("doc_id", "own", "again", "n_bytes")])
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -163,7 +184,6 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's repeated chunks: how many, how many bytes, and the byte spans that go."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     text = F.array_join(F.transform("removed", lambda x: F.concat_ws(":", x["s"].cast("string"), x["e"].cast("string"))), ",")
-    own = _keyed(docs).select(*KEY, F.octet_length("text").cast("long").alias("n_bytes"))
-    out = own.join(removable(docs), KEY, "left")
+    out = _removed(_numbered(_keyed(docs).select(*KEY, "own", F.octet_length("text").cast("long").alias("n_bytes"))), removable(docs))
     number = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    return out.select("doc_id", "n_bytes", *[number(c).alias(c) for c in ("n_repeated", "repeated_bytes", "n_removed")], number(F.size("removed")).alias("n_spans"), F.coalesce(text, F.lit("")).alias("spans"))
+    return out.select(F.col("own").alias("doc_id"), "n_bytes", *[number(c).alias(c) for c in ("n_repeated", "repeated_bytes", "n_removed")], number(F.size("removed")).alias("n_spans"), F.coalesce(text, F.lit("")).alias("spans"))

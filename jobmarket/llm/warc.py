@@ -10,7 +10,7 @@ Both carry WARC-Refers-To (the response's record id), WARC-Target-URI, WARC-Date
 own block. Record ids are built from a digest of response id and record type, so reruns agree.
 
 Responses come from a table of pages (``responses``) or from WARC files (``read_warc`` and ``responses_of``; .warc and
-.warc.gz alike).
+.warc.gz alike); bodies are decoded by the charset of their HTTP head, else of the page.
 
 Defined results: a null body or URL counts as empty (the records exist, with empty text); rows that repeat give
 repeated records with equal ids; columns beyond the named ones are ignored; an empty table gives no record.
@@ -18,7 +18,8 @@ repeated records with equal ids; columns beyond the named ones are ignored; an e
 
 from __future__ import annotations
 
-import gzip
+import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -127,20 +128,65 @@ def write_warc(records: DataFrame, path: str) -> None:
     records.select("record").write.option("lineSep", CRLF * 2).text(path)
 
 
+def _pieces(data: bytes) -> Iterator[bytes]:
+    """A file's content; of gzip files one member after the other, up to where the file is broken."""
+    if data[:2] != b"\x1f\x8b":
+        yield data
+        return
+    while data[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        try:
+            while data and not member.eof:
+                yield member.decompress(data, RECORDS_AT_ONCE)
+                data = member.unconsumed_tail
+        except zlib.error:
+            return
+        data = member.unused_data
+
+
 def records_of(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of the records of a WARC file, plain or gzip; a header that repeats has its values on lines.
-    A record that the file's end cuts off has what is left as its block."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
-    at = 0
-    while (end := data.find(b"\r\n\r\n", at)) >= 0:
-        head: dict[str, str] = {}
-        for line in data[at:end].decode("utf-8", "replace").lstrip("\r\n").split("\r\n")[1:]:
-            k, _, v = line.partition(":")
-            head[k] = f"{head[k]}\n{v.strip()}" if k in head else v.strip()
-        size = int(next((v for k, v in head.items() if k.lower() == "content-length"), "0"))
-        yield head, data[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
+    A record that the file's end cuts off has what is left as its block; one whose length is missing or no number goes on
+    until the next record begins. Of a gzip file, about one record is unpacked at a time."""
+    rest, pieces = b"", _pieces(data)
+    while True:
+        piece = next(pieces, None)
+        rest += piece or b""
+        at = 0
+        while (end := rest.find(b"\r\n\r\n", at)) >= 0:
+            head: dict[str, str] = {}
+            for line in rest[at:end].decode("utf-8", "replace").lstrip("\r\n").split("\r\n")[1:]:
+                k, _, v = line.partition(":")
+                head[k] = f"{head[k]}\n{v.strip()}" if k in head else v.strip()
+            length = next((v for k, v in head.items() if k.lower() == "content-length"), "")
+            # A record without a usable length reaches up to the line ends before the next one.
+            stop = end + 4 + int(length) if re.fullmatch("[0-9]{1,18}", length) else rest.find(b"\r\n\r\nWARC/", end + 4)
+            if piece is not None and (stop < 0 or stop + 4 > len(rest)):
+                break
+            stop = len(rest.rstrip(b"\r\n")) if stop < 0 else stop
+            yield head, rest[end + 4 : stop]
+            at = stop + 4
+        if piece is None:
+            return
+        rest = rest[at:]
+
+
+#: Bytes of a page in which its own charset is looked for.
+HEAD_BYTES = 4096
+
+
+def decoded(head: dict[str, str], raw: bytes) -> str:
+    """A block as text: the body of an HTTP response by the charset of its head, else of the page, else UTF-8."""
+    at = raw.find(b"\r\n\r\n")
+    if not raw.startswith(b"HTTP/") or at < 0:
+        return raw.decode("utf-8", "replace")
+    http, body = raw[:at].decode("utf-8", "replace"), raw[at + 4 :]
+    named = re.search(r"(?im)^content-type:.*?charset=[\"']?([\w.:-]+)", http) or re.search(r"(?i)<meta[^>]*charset=[\"']?([\w.:-]+)", body[:HEAD_BYTES].decode("latin-1"))
+    try:
+        text = body.decode(named[1] if named else "utf-8", "replace")
+    except (LookupError, ValueError):  # no charset of text
+        text = body.decode("utf-8", "replace")
+    return f"{http}{CRLF * 2}{text}"
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -153,7 +199,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             for content in batch.column(0):
                 held, size = [], 0
                 for head, raw in records_of(content.as_py()):
-                    held.append((list(head.items()), raw.decode("utf-8", "replace"), raw))
+                    held.append((list(head.items()), decoded(head, raw), raw))
                     size += len(raw)
                     if size > RECORDS_AT_ONCE:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names=["headers", "block", "raw"])
