@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobmarket.functions import automaton as AC
+from jobmarket.functions import html_tree as HT
 from jobmarket.functions import languages as LG
 from jobmarket.plans import ranking as RK
 from jobmarket.plans.frame import read
+from jobmarket.sources import structured as SD
 
 QUERIES, SQL = {}, {}
 
@@ -103,3 +105,31 @@ def search(spark, d):
     """Documents by cover density, with alternatives, a phrase and an unwanted word."""
     found = RK.ranked(read(spark, d, "documents"), "doc_id", SEARCH, [("source", 1.0), ("text", 0.1)])
     return found.select("id", F.round("rank", 6).alias("rank"))
+
+
+#: What the twin leaves of a page's text: no hidden parts, comments, tags or white space, and entities resolved.
+_SEEN = "regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style|noscript|head|svg|iframe)[ >].*?</(script|style|noscript|head|svg|iframe)>', '', 'g'), '(?s)<!--.*?-->', '', 'g'), '<[!/a-zA-Z][^>]*>', '', 'g')"
+for _entity, _char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&")):
+    _SEEN = f"replace({_SEEN}, '{_entity}', '{_char}')"
+
+
+@query("c37_normal_pages", f"""select page_id, md5(regexp_replace({_SEEN}, '[\\s\u00a0]+', '', 'g')) as text_md5, len(regexp_extract_all(html, '<li[ >]'))::int as n_items, len(regexp_extract_all(html, '<h[12][ >]'))::int as n_headings, false as rejected from pages""")
+def normal_pages(spark, d):
+    """Pages as trees of few tags; their words in order, list items and headings, and whether too little is left."""
+    p = read(spark, d, "pages").select("page_id", HT.normal_page("html").alias("n"))
+    count = lambda rx: F.regexp_count("n.html", F.lit(rx)).cast("int")
+    return p.select("page_id", F.md5(F.regexp_replace("n.text", "[\\s\u00a0]+", "").cast("binary")).alias("text_md5"), count("<li>").alias("n_items"), count("<h2>").alias("n_headings"), (F.col("n.coverage") < HT.LEAST_COVERAGE).alias("rejected"))
+
+
+#: Pages with structured data of several shapes around a posting that is made of the page's own columns.
+_JOB = """concat('{"@type":"JobPosting","title":"Job ', page_id, '","hiringOrganization":{"name":"C', page_id % 40, '"},"jobLocation":[{"address":{"addressLocality":"T', page_id % 17, '","addressCountry":"X"}},{"address":"Y', page_id % 5, '"}],"baseSalary":{"currency":"EUR","value":{"minValue":', page_id, ',"maxValue":"', page_id * 2, '"}}}')"""
+_SHAPED = f"""select page_id, concat('<script type="application/ld+json">', case page_id % 6 when 0 then {_JOB} when 1 then concat('[{{"@type":"Organization"}},', {_JOB}, ']') when 2 then concat('{{"@graph":[{{"@type":"WebPage"}},[', {_JOB}, ']]}}') when 3 then concat('{{"broken JobPosting"</script><script type="application/ld+json">', {_JOB})
+when 4 then concat('[[', {_JOB}, ',{{"@type":"JobPosting","title":"second"}}]]') else '{{"@type":"Organization","name":"JobPosting"}}' end, '</script>', coalesce(html, '')) as html from pages"""
+
+
+@query("s10_structured_pages", "select page_id, 'Job ' || page_id as title, 'C' || page_id % 40 as company, 'T' || page_id % 17 || ', X|Y' || page_id % 5 as locations, page_id::double as pay_min, page_id * 2.0::double as pay_max from pages where page_id % 6 < 5")
+def structured(spark, d):
+    """Postings in objects, lists and graphs of structured data, with pay, places and company."""
+    read(spark, d, "pages").createOrReplaceTempView("pages")
+    found = SD.job_postings(spark.sql(_SHAPED))
+    return found.select("page_id", "title", "company", F.array_join("locations", "|").alias("locations"), F.col("pay.min").alias("pay_min"), F.col("pay.max").alias("pay_max"))
