@@ -10,8 +10,10 @@ same way; a window that falls into a bucket of an item in any repetition is veri
 algorithm over the window and its surroundings). Windows are taken at every byte where an item can start: k edits leave
 two of k + 2 pieces of an item whole (one of k + 1 where the item is short), moved against each other by k bytes at
 most, so every place without such pieces is beyond the distance and nothing is lost before the embedding, whatever
-the item's length and with or without spaces. The number of repetitions is chosen so that a window at the largest
-distance is found with probability 0.9 or more (measured in the tests).
+the item's length and with or without spaces. Items longer than PART_BYTES are embedded in parts of equal length, as the
+walks of long strings drift apart; the windows of a part are aligned by the pieces that stand in it, and one part that
+shares a bucket is enough for the exact check of the whole item. The number of repetitions is chosen so that an item at
+the largest distance is found with probability 0.9 or more (measured in the tests, up to 400 words).
 
 The benchmark is the stated query set: it goes to the tasks in blocks of about BLOCK_BYTES, whatever its size. A block's
 matches are written before the next one is collected, so the driver holds one block; each is a pass over the documents.
@@ -41,6 +43,8 @@ SAMPLED = 5
 REACH = 1.6
 BLOCK_BYTES = 1 << 19
 WALKS_AT_ONCE = 256
+#: Longest string that is embedded as one.
+PART_BYTES = 200
 WALK_SEED = 97
 
 MATCHES = "doc_id long, item_id long, edits int, item_bytes int, start int"
@@ -141,12 +145,20 @@ class Items:
         self.cgk = Cgk()
         self.slack = np.array([int(MAX_EDITS * len(t)) for _, t in self.items], np.int64)
         self.paired = np.array([pieces_of(len(t))[2] == 2 for _, t in self.items], bool)
-        found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        found: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
+        #: (item, start, length) of all parts.
+        self.parts: list[tuple[int, int, int]] = []
         for k, (_, t) in enumerate(self.items):
+            many, first = -(-len(t) // PART_BYTES), len(self.parts)
+            edges = [len(t) * j // many for j in range(many + 1)]
+            self.parts += [(k, a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
             n, size, _ = pieces_of(len(t))
             starts = np.arange(n) * (len(t) // n)
             h = piece_hashes(np.frombuffer(t, np.uint8), size)[starts]
-            found[size] += [(x, k, s) for x, s in zip(h.tolist(), starts.tolist(), strict=True)]
+            part = first + np.searchsorted(edges, starts, "right") - 1
+            found[size] += list(zip(h.tolist(), [k] * n, starts.tolist(), part.tolist(), strict=True))
+        self.part_start = np.array([s for _, s, _ in self.parts], np.int64)
+        self.part_size = np.array([n for _, _, n in self.parts], np.int64)
         self.pieces: dict[int, tuple[np.ndarray, ...]] = {}
         for size, rows in found.items():
             rows.sort()
@@ -155,16 +167,17 @@ class Items:
             known[h >> np.uint64(64 - FILTER_BITS)] = True
             self.pieces[size] = known, h, first, count, np.array([r[1:] for r in rows], np.int64)
         self.buckets: dict[int, set[int]] = defaultdict(set)
-        for part in range(0, len(self.items), WALKS_AT_ONCE):
-            some = [t for _, t in self.items[part : part + WALKS_AT_ONCE]]
-            keys = self.cgk.keys(some, [len(t) for t in some])
+        for some in range(0, len(self.parts), WALKS_AT_ONCE):
+            strings = [self.items[k][1][s : s + n] for k, s, n in self.parts[some : some + WALKS_AT_ONCE]]
+            keys = self.cgk.keys(strings, [len(t) for t in strings])
             for r in range(len(keys)):
-                for k, x in enumerate(keys[r].tolist(), part):
-                    self.buckets[x ^ r].add(k)
+                for p, x in enumerate(keys[r].tolist(), some):
+                    self.buckets[x ^ r].add(p)
 
     def windows(self, norms: list[bytes]) -> list[tuple[int, int, int]]:
-        """(text, start, item length) of all windows where an item's pieces stand in normal texts: one piece, or two
-        different ones of the item that edits can have moved against each other by no more than its slack."""
+        """(text, start, part length) of all windows where an item's pieces stand in normal texts: one piece, or two
+        different ones of the item that edits can have moved against each other by no more than its slack. A window is
+        that of the part which a piece stands in."""
         if not norms or not self.items:
             return []
         data = np.frombuffer(b"".join(norms), np.uint8)
@@ -182,36 +195,48 @@ class Items:
             at, i, text = at[inside], i[inside], text[inside]
             n = count[i]
             each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[i], n)
-            item, start = where[each].T
-            hits.append(np.stack([np.repeat(text, n), item, np.repeat(at - off[text], n) - start, start]))
-        text, item, place, piece = np.concatenate(hits, axis=1)
+            item, start, part = where[each].T
+            hits.append(np.stack([np.repeat(text, n), item, np.repeat(at - off[text], n) - start, start, part]))
+        text, item, place, piece, part = np.concatenate(hits, axis=1)
         order = np.lexsort((piece, place, item, text))
-        text, item, place, piece = text[order], item[order], place[order], piece[order]
+        text, item, place, piece, part = text[order], item[order], place[order], piece[order], part[order]
         near = (text[1:] == text[:-1]) & (item[1:] == item[:-1]) & (piece[1:] != piece[:-1]) & (place[1:] - place[:-1] <= self.slack[item[1:]])
         keep = ~self.paired[item]
         keep[1:] |= near
         keep[:-1] |= near
-        size = np.array([len(t) for _, t in self.items], np.int64)
-        found = np.unique(np.stack([text, np.maximum(place, 0), size[item]])[:, keep], axis=1)
+        found = np.unique(np.stack([text, np.maximum(place + self.part_start[part], 0), self.part_size[part]])[:, keep], axis=1)
         return list(zip(*found.tolist(), strict=True))
 
     def verified(self, texts: list[tuple[int, bytes]]) -> list[tuple[int, int, int, int, int]]:
-        """(doc_id, item_id, edits, item_bytes, start) of the windows that share a bucket and pass the exact check."""
+        """(doc_id, item_id, edits, item_bytes, start) of the windows that share a bucket and pass the exact check, which
+        is made once for windows of an item that overlap."""
         norms = [normal(raw) for _, raw in texts]
+        near: dict[tuple[int, int], set[int]] = defaultdict(set)
         best: dict[tuple[int, int], tuple[int, int]] = {}
         places = self.windows(norms)
         for part in range(0, len(places), WALKS_AT_ONCE):
             some = places[part : part + WALKS_AT_ONCE]
             keys = self.cgk.keys([norms[t][w : w + n] for t, w, n in some], [n for _, _, n in some])
-            for c, (t, w, _) in enumerate(some):
-                for k in {k for r, x in enumerate(keys[:, c].tolist()) for k in self.buckets.get(x ^ r, ())}:
-                    item = self.items[k][1]
-                    slack = int(MAX_EDITS * len(item)) + 1
-                    at = max(0, w - slack)
-                    edits, end = edit_search(item, norms[t][at : w + len(item) + slack])
-                    if edits <= MAX_EDITS * len(item):
-                        got = (edits, max(0, at + end - len(item)))
-                        best[(t, k)] = min(best.get((t, k), got), got)
+            for c, (t, w, n) in enumerate(some):
+                for p in {p for r, x in enumerate(keys[:, c].tolist()) for p in self.buckets.get(x ^ r, ())}:
+                    k, start, size = self.parts[p]
+                    if size == n:
+                        near[t, k].add(w - start)
+        for (t, k), starts in near.items():
+            item = self.items[k][1]
+            slack = int(MAX_EDITS * len(item)) + 1
+            ranges: list[list[int]] = []
+            for w in sorted(starts):
+                a, b = max(0, w - slack), w + len(item) + slack
+                if ranges and a <= ranges[-1][1]:
+                    ranges[-1][1] = b
+                else:
+                    ranges.append([a, b])
+            for a, b in ranges:
+                edits, end = edit_search(item, norms[t][a:b])
+                if edits <= MAX_EDITS * len(item):
+                    got = (edits, max(0, a + end - len(item)))
+                    best[t, k] = min(best.get((t, k), got), got)
         return [(texts[t][0], self.items[k][0], e, len(self.items[k][1]), s) for (t, k), (e, s) in best.items()]
 
 

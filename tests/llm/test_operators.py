@@ -824,3 +824,28 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="checkpoint"):
         common.shared_dir(Session)
+
+
+@pytest.mark.parametrize("words", [6, 20, 60, 100, 200, 400])
+def test_decontamination_finds_items_of_every_length(words):
+    """Items at the largest distance, edited at random; all that brute force finds are due, 0.9 of them at least."""
+    rng = random.Random(words)
+
+    def text(n):
+        return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(3, 9))) for _ in range(n)).encode()
+
+    def edited(raw, k):
+        b = bytearray(raw)
+        for _ in range(k):
+            i, c = rng.randrange(len(b)), rng.choice(b"abcdefghijklmnopqrstuvwxyz ")
+            (b.__setitem__, lambda i, _: b.__delitem__(i), b.insert)[rng.randrange(3)](i, c)
+        return bytes(b)
+
+    items = [(i, cgk_decontam.normal(text(words))) for i in range(30)]
+    docs = [(i, text(15) + b" " + edited(t, int(cgk_decontam.MAX_EDITS * len(t))) + b" " + text(15)) for i, t in items] + [(100 + i, text(words + 30)) for i in range(5)]
+    due = {(i, j) for i, d in docs for j, t in items if i == j and cgk_decontam.edit_search(t, cgk_decontam.normal(d))[0] <= cgk_decontam.MAX_EDITS * len(t)}
+    got = {(r[0], r[1]): r for r in cgk_decontam.Items(items).verified(docs)}
+    assert len(due) >= 25 and len(due & got.keys()) >= 0.9 * len(due) and all(i < 100 for i, _ in got)
+    by_id = dict(docs)
+    for (i, j), r in got.items():
+        assert r[2] == cgk_decontam.edit_search(dict(items)[j], cgk_decontam.normal(by_id[i]))[0]
