@@ -199,7 +199,12 @@ def keys(spark, d):
     return c.select("c_custkey", hexed("k").alias("key_hex"), hexed("h").alias("content_hex"))
 
 
-@query("c29_board_hash")
+#: CRC-32 of a text of ASCII characters, bit by bit.
+CRC32 = """xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(c_name, ''), lambda c: ascii(c)::bigint)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+@query("c29_board_hash", f"with h as (select c_custkey, {CRC32} as crc from customer) select c_custkey, crc & 2147483647 as hash, (crc % 6)::int as shard from h")
 def board_hash(spark, d):
     """31-bit board hash and shard."""
     return read(spark, d, "customer").select("c_custkey", V.board_hash(F.col("c_name")).alias("hash"), V.shard(F.col("c_name"), 6).alias("shard"))

@@ -219,7 +219,11 @@ def blocking(spark, d):
     return A.token_pairs(read(spark, d, "pages").select("page_id", toks.alias("tokens")), "page_id", "tokens", 40)
 
 
-@query("j22_related_names")
+@query("j22_related_names", """with p as (select page_id, lower(regexp_extract(url, '://([^/?#]+)', 1)) as name, list_distinct(list_filter(string_split(regexp_extract(url, '://([^/?#]+)', 1), '.'), lambda x: x <> '')) as tokens from pages),
+t as (select page_id, unnest(tokens) as token from p), rare as (select token from t group by token having count(*) between 2 and 200),
+pairs as (select a.page_id as a, b.page_id as b, count(*) as shared from t a join t b using (token) join rare using (token) where a.page_id < b.page_id group by all)
+select a, b, shared from pairs join p x on x.page_id = a join p y on y.page_id = b where least(length(x.name), length(y.name)) >= 4
+and (contains(x.name, y.name) or contains(y.name, x.name) or (list_has_all(y.tokens, x.tokens) and len(x.tokens) < len(y.tokens)) or (list_has_all(x.tokens, y.tokens) and len(y.tokens) < len(x.tokens)))""")
 def related(spark, d):
     """J22 as the reference has it: pairs that share a token of at most 200 rows, then containment or strict token subset."""
     host = F.regexp_extract("url", "://([^/?#]+)", 1)

@@ -9,6 +9,7 @@ from jobmarket.functions import automaton as AC
 from jobmarket.functions import extract as E
 from jobmarket.functions import languages as LG
 from jobmarket.functions import text as T
+from jobmarket.functions import values as V
 from jobmarket.plans import jobs as J
 from jobmarket.plans import ranking as RK
 
@@ -104,6 +105,12 @@ def test_stems_in_columns_and_in_python(spark):
     assert {r["w"]: r["s"] for r in got} == {w: RK.stemmed(w) for w in words}
 
 
+def test_location_types(spark):
+    due = {"On-Site": "onsite", " Onsite (5 Days per Week)": "onsite", "office, remote": "hybrid", "Télétravail": "remote", "": None, "  ": None, None: None, "elsewhere": "x", "elsewhere (remote)": "x", "remote (eu) only": "x", "da remoto": "remote"}
+    got = spark.createDataFrame([(t,) for t in due], "t string").select("t", V.location_type(F.col("t"), "x").alias("v")).collect()
+    assert {r["t"]: r["v"] for r in got} == due
+
+
 def test_trigram_languages(spark):
     said = {"en": "the engineer builds the platform with the team and they ship what users want", "de": "der Ingenieur baut die Plattform mit dem Team und liefert was Nutzer wünschen", "fr": "l'ingénieur construit la plateforme avec son équipe et livre ce que veulent les gens"}
     train = spark.createDataFrame([(t, k) for k, t in said.items()] + [("zzz", None), (None, "en")], "text string, lang string")
