@@ -30,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType
 
 from jobmarket.llm.common import Rolling, binary_column, mix, table, text_blocks
 
@@ -46,6 +46,8 @@ LEAST_Z = 2.0
 DEVELOPMENT = 2
 OBSERVED_WEIGHT = 3.0
 ROWS_AT_ONCE = 512
+#: Terms that a task counts at once before it passes the counts on.
+TERMS_AT_ONCE = 1 << 19
 STEMS = (4, 5, 6, 7)
 FOLDS = 5
 
@@ -146,7 +148,7 @@ def term_counts(texts: DataFrame) -> DataFrame:
                 rows, terms = rows[new], terms[new]
                 for which in (0, 1):
                     seen[which] = np.concatenate([seen[which], terms[toxic[span][rows] == bool(which)]])
-            if sum(map(len, seen)) > 1 << 22:
+            if sum(map(len, seen)) > TERMS_AT_ONCE:
                 yield tally(seen)
                 seen = [np.empty(0, np.uint64)] * 2
         yield tally(seen)
@@ -322,17 +324,15 @@ def learn(voters: Voters, rows: list[tuple[int, list[int], list[int], int]], pri
 
 
 def scored_rows(docs: DataFrame, model: Model) -> DataFrame:
-    """(row, score, predicted): row is a struct of all columns of docs; one pass."""
+    """(row, score, predicted): row is a struct of all columns of docs; one pass, in which only texts leave the JVM."""
     row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
-    at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [model.scores(part) for part in model.voters.described(batch.column(0).field(at))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([np.empty(0), *found]))], names=["row", "score"])
+    @F.arrow_udf(DoubleType())
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield pa.array(np.concatenate([np.empty(0), *(model.scores(part) for part in model.voters.described(batch))]))
 
-    out = row.mapInArrow(run, StructType([row.schema["row"], StructField("score", DoubleType())]))
-    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return row.withColumn("score", score("row.text")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
