@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobmarket.plans.frame import read
+from jobmarket.sources.tables import staging
 from jobmarket.streaming import boards as B
+from jobmarket.streaming import timed_boards as TB
 
 QUERIES, SQL = {}, {}
 
@@ -26,6 +28,15 @@ def health(spark, d):
     return B.health_batch(B.outcomes(read(spark, d, "events")))
 
 
+@query("t7_timed_checks")
+def timed_checks(spark, d):
+    """Every check or confirmation of a board whose time passed without an event, by a stream with timers."""
+    root, path = staging(spark), f"{d}/events.parquet"
+    stream = B.outcomes(spark.readStream.schema(spark.read.parquet(path).schema).parquet(path))
+    out = TB.run_to_end(spark, TB.timed_health(stream), f"{root}/out", f"{root}/checkpoint")
+    return out.filter(F.col("cause") == TB.DUE).select("board", "at", "status", "failures", "gone_count", "next_check_minutes")
+
+
 @query("t11_daily_points", "select cast(ts as date) as day, event_id, value from events qualify row_number() over (partition by cast(ts as date) order by event_id desc) = 1")
 def points(spark, d):
     """One point per day, the latest wins."""
