@@ -32,7 +32,7 @@ def health(spark, d):
 def timed_checks(spark, d):
     """Every check or confirmation of a board whose time passed without an event, by a stream with timers."""
     root, path = staging(spark), f"{d}/events.parquet"
-    stream = B.outcomes(spark.readStream.schema(spark.read.parquet(path).schema).parquet(path))
+    stream = B.outcomes(spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{d}/events.parque[t]"))  # a stream takes a single file by a pattern only
     out = TB.run_to_end(spark, TB.timed_health(stream), f"{root}/out", f"{root}/checkpoint")
     return out.filter(F.col("cause") == TB.DUE).select("board", "at", "status", "failures", "gone_count", "next_check_minutes")
 
