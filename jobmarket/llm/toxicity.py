@@ -218,21 +218,28 @@ def label_model(votes: np.ndarray, label: np.ndarray, observed: np.ndarray, prio
     n = len(votes)
     some = votes.any(axis=1)
     q, weight = np.where(observed, label, 0.0), observed.astype(float)
-    posterior, centred = q, votes - votes.mean(axis=0)
+    posterior, expected = q, lambda rows, mean=votes.mean(axis=0, dtype=float): mean[None, :]
     for _ in range(rounds):
         toxic, clean = weight * q, weight * (1 - q)
         any_toxic, any_clean = (np.clip((x * some).sum() / max(x.sum(), 1e-9), 1e-3, 1 - 1e-3) for x in (toxic, clean))
         overall = 2 * (weight @ votes) / max(weight.sum(), 1e-9) + 0.01
         a, b = (np.clip((x @ votes + overall) / (x.sum() + 2), 1e-5, 1 - 1e-5) for x in (toxic, clean))
-        unit = centred / (np.sqrt((centred**2).mean(axis=0)) + 1e-6)
-        shared = np.maximum(np.maximum(unit.T @ unit / n - 0.1, 0).sum(axis=1) + 0.1, 1)
+        # What voters share beyond what is expected of them, some rows at a time.
+        both = np.zeros((votes.shape[1], votes.shape[1]))
+        for first in range(0, n, ROWS_AT_ONCE):
+            part = slice(first, first + ROWS_AT_ONCE)
+            centred = votes[part] - expected(part)
+            both += centred.T @ centred
+        deviation = np.sqrt(np.diag(both) / n) + 1e-6
+        both /= n * np.outer(deviation, deviation)
+        shared = np.maximum(np.maximum(both - 0.1, 0).sum(axis=1) + 0.1, 1)
         evidence = votes @ (np.log((a / any_toxic) / (b / any_clean)) / shared)
         z = np.log(prior / (1 - prior)) + np.where(some, np.log(any_toxic / any_clean) + evidence, np.log((1 - any_toxic) / (1 - any_clean)))
         posterior = np.clip(1 / (1 + np.exp(-np.clip(z, -30, 30))), 1e-3, 1 - 1e-3)
         new = np.where(observed, label, posterior)
         moved = np.abs(new - q).max()
         q, weight = new, np.where(observed, OBSERVED_WEIGHT, 1.0)
-        centred = votes - (q[:, None] * a + (1 - q)[:, None] * b)
+        expected = lambda rows, q=q, a=a, b=b: q[rows, None] * a + (1 - q)[rows, None] * b
         if moved < 1e-4:
             break
     return posterior
