@@ -49,8 +49,8 @@ dl as (select dim, bucket, coalesce(m.j, 0) as value, coalesce(p1.j, 0) as previ
   case when p1.j is null then 'appeared' when m.j is null then 'disappeared' else 'both' end as state from (select * from m where dim in {_names(S.MOVING)}) m full join p1 using (dim, bucket)),
 moves as (select * from ({_MOVES}) where rank <= 25 union all select * from (select 'profiles', state, dim, bucket, null, row_number() over (partition by dim, state order by greatest(value, previous) desc, bucket) as rank, value::double, null, null, delta::double
   from dl where state <> 'both' and greatest(value, previous) >= 5) where rank <= 25),
-cr as (select pair as dim, a as bucket, b, j, round(100 * j / sum(j) over (partition by pair, a), 2) as share, case when sn > 0 then round(ss / sn, 2) end as pay_avg from cells qualify j >= 3),
-rs as (select rows_.*, m.sn from rows_ join m using (dim, bucket)),
+cr as (select pair as dim, a as bucket, b, j, round(100 * j / sum(j) over (partition by pair, a), 2) as share, case when sn > 0 then floor(ss / sn + 0.50001) end as pay_avg from cells qualify j >= 3),
+rs as (select rows_.* exclude (pay_avg), m.sn, case when sn > 0 then floor(ss / sn + 0.50001) end as pay_avg from rows_ join m using (dim, bucket)),
 top as (select dim, bucket from rs where sn > 0 and dim in {_names(S.PAY_HISTOGRAMS)} qualify row_number() over (partition by dim order by sn desc, bucket) <= case dim {' '.join(f"when '{d}' then {n}" for d, n in S.PAY_HISTOGRAMS.items() if n)} else 1000000000 end),
 bins as (select dim, bucket, cast(least(500000, floor(exp(bin / 100.0::double) / 10000) * 10000) as bigint) as low, sum(cnt) as cnt from hist semi join top using (dim, bucket) where hist = 's' group by 1, 2, 3)
 select section, part, dim, bucket, other, cast(rank as int) as rank, jobs, share, pay, value from (

@@ -36,6 +36,12 @@ def _section_of(parts: dict[str, tuple[str, ...]], column: str) -> Column:
     return F.create_map(*[F.lit(x) for name, dims in parts.items() for d in dims for x in (d, name)])[F.col(column)]
 
 
+def _pay() -> Column:
+    """Mean pay in whole units. Halves go up, and so does what is a hair below one, so that sums of the same rows in
+    another order come to the same number."""
+    return F.floor(F.try_divide("ss", F.col("sn")) + 0.50001)
+
+
 def _part(df: DataFrame, section: Column, part: Column | str, order: list[Column], group: tuple[str, ...] = ("dim",), **values: Column) -> DataFrame:
     """Rows of one part with their rank inside the group; groups are lists of the report, so they are short."""
     null = F.lit(None)
@@ -54,11 +60,12 @@ def report_sections(measures: DataFrame, hist: DataFrame, cells: DataFrame, befo
     disappeared (5 jobs or more), overall and by (pay), histogram (other is the lower end of a bin, value its count) and
     premium (value). Ranks start at 1 in every list; ties go by bucket. Empty rollups give an empty table."""
     c = F.col
-    rows = staged(R.bucket_rows(measures, hist, days).join(measures.select("dim", "bucket", "sn"), ["dim", "bucket"]))
+    rows = staged(R.bucket_rows(measures, hist, days).drop("pay_avg").join(measures.select("dim", "bucket", "sn", _pay().alias("pay_avg")), ["dim", "bucket"]))
     usual = {"jobs": c("jobs"), "share": c("share"), "pay": c("pay_avg"), "value": c("p50")}
     by_jobs, salary = [F.desc("jobs"), F.asc("bucket")], F.lit("salary")
     listed = rows.filter(c("dim").isin(*[d for dims in SECTIONS.values() for d in dims]))
-    cross = R.cross_rows(cells.filter(c("pair").isin(*[p for ps in CROSS.values() for p in ps])), days).withColumnsRenamed({"pair": "dim", "a": "bucket"})
+    whole = cells.filter(c("pair").isin(*[p for ps in CROSS.values() for p in ps])).withColumns({"ss": _pay(), "sn": F.least("sn", F.lit(1))})
+    cross = R.cross_rows(whole, days).withColumnsRenamed({"pair": "dim", "a": "bucket"})
     paid = rows.filter("sn > 0")
     premium = rows.filter(c("dim").isin(*PREMIUMS) & (c("premium_index") != 0) & (c("sn") >= PREMIUM_LEAST * days))
     shown = rows.filter(c("dim").isin(*PAY_HISTOGRAMS) & (c("sn") > 0))
