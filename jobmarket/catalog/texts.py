@@ -107,10 +107,11 @@ def search(spark, d):
     return found.select("id", F.round("rank", 6).alias("rank"))
 
 
-#: What the twin leaves of a page's text: no hidden parts, comments, tags or white space, and entities resolved.
+#: What the twin leaves of a page's text: no hidden parts, comments, tags or white space, and entities resolved; HTML
+#: reads these entities without their semicolon too.
 _SEEN = "regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style|noscript|head|svg|iframe)[ >].*?</(script|style|noscript|head|svg|iframe)>', '', 'g'), '(?s)<!--.*?-->', '', 'g'), '<[!/a-zA-Z][^>]*>', '', 'g')"
 for _entity, _char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&")):
-    _SEEN = f"replace({_SEEN}, '{_entity}', '{_char}')"
+    _SEEN = f"regexp_replace({_SEEN}, '{_entity}?', '{_char}', 'g')"
 
 
 @query("c37_normal_pages", f"""select page_id, md5(regexp_replace({_SEEN}, '[\\s\u00a0]+', '', 'g')) as text_md5, len(regexp_extract_all(html, '<li[ >]'))::int as n_items, len(regexp_extract_all(html, '<h[12][ >]'))::int as n_headings, false as rejected from pages""")

@@ -2,6 +2,7 @@
 
 import json
 
+import duckdb
 import pytest
 
 from jobmarket.functions import html_tree as H
@@ -35,6 +36,18 @@ def test_coverage_and_deep_pages(spark):
     assert {r["id"]: tuple(r["n"]) for r in got} == {1: ("<h2>A &amp; B</h2>", "A & B", 1.0), 2: ("", "", 1.0)}
 
 
+def test_entities_without_semicolon_and_the_twin(spark, tmp_path):
+    from jobmarket.catalog import texts as X
+
+    rows = [(1, "<p>a &amp b &amp&amp; c &copy d</p>"), (2, "<p>x &amp;lt; &quot y</p><h1>z &middot</h1>")]
+    spark.createDataFrame(rows, "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    got = X.QUERIES["c37_normal_pages"](spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(con.execute(X.SQL["c37_normal_pages"]).fetchall())
+    assert H.normalised(rows[0][1])[1] == "a & b && c \u00a9 d"
+
+
 def test_job_postings_wherever_they_stand(spark):
     job = {"@type": "JobPosting", "title": "Data&nbsp;Engineer  &amp; more", "datePosted": "2024-01-02"}
     full = {
