@@ -102,9 +102,8 @@ def derive(spark, d):
 @query("r9_report_sections")
 def sections(spark, d):
     """Report rows as one document per dimension."""
-    df = RP.enriched(spark, d)
     dims = tuple(R.BY_NAME[n] for n in ("_all", "profile", "work_mode", "seniority"))
-    m = R.one_way(df, dims)
+    df, m = RP.rolled(spark, d, dims)
     return J.section(R.bucket_rows(m, R.histograms(df, m, dims)), ["profile", "work_mode", "seniority"]).select("dim", "n_rows", F.length("document").alias("n_chars"))
 
 

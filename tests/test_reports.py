@@ -92,3 +92,24 @@ def test_cross_rows_drop_small_cells(spark):
     cells = R.two_way(generated(spark), (("job_family", "work_mode", None),))
     rows = R.cross_rows(cells.withColumn("j", F.when(F.col("a") == "a", 2).otherwise(F.col("j")))).collect()
     assert {r["a"] for r in rows} == {"b", "c"} and all(abs(sum(x["share"] for x in rows if x["a"] == r["a"]) - 100) < 0.1 for r in rows)
+
+
+def test_companies_are_counted_by_bits_and_medians_by_units(spark):
+    from statistics import median
+
+    df = generated(spark)
+    rows = df.select("company_slug", "profile", "title_clean", "technologies", "sal_usd").collect()
+    dims = tuple(R.BY_NAME[n] for n in ("_all", "profile", "company", "technology"))
+    due = {}
+    for r in rows:
+        for key in [("_all", "all"), ("profile", r["profile"] or "unknown"), ("company", r["company_slug"] or "unknown"), *[("technology", t or "unknown") for t in r["technologies"] or ["unknown"]]]:
+            due.setdefault(key, set()).update({r["company_slug"]} - {None})
+    sizes = spark.createDataFrame(list(due), "dim string, bucket string")
+    got = {(r["dim"], r["bucket"]): r["c"] for r in R.companies(df, sizes, dims).collect()}
+    assert got == {k: len(v) for k, v in due.items() if v}
+    # No task holds the values of a group: medians come from counts.
+    plan = P.relative_pay(df.drop("rel"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "median(" not in plan and "percentile(" not in plan
+    values = spark.createDataFrame([("a", 1.25), ("a", 1.75), ("a", 9.5), ("a", 1.5), ("b", 2.0), ("b", None), (None, 3.5), (None, 4.0)], "g string, v double")
+    got = {r["g"]: (r["median"], r["n"]) for r in P.medians(values, "g", "v").collect()}
+    assert got == {"a": (median([1.25, 1.75, 9.5, 1.5]), 4), "b": (2.0, 1), None: (3.75, 2)}
