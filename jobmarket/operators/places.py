@@ -75,6 +75,18 @@ def entities(texts: DataFrame, names: DataFrame) -> DataFrame:
     return whole.unionByName(hits.join(kept, ["seg", "start", "size"]).select("seg", F.col("start").alias("pos"), "place_id", "code"))
 
 
+def foremost(names: DataFrame, places: DataFrame) -> DataFrame:
+    """names (name, place_id, code), without cities that can be no answer: of cities that share name, parent and languages
+    and hold no place, all rules but the last two, population and id, say the same, so only the best by these stays. So
+    what a name may mean grows with the regions, not with the cities, that bear it."""
+    key = _key(F.col("name"))
+    inner = places.select(F.col("parent_id").alias("place_id")).filter("place_id is not null").distinct().withColumn("_holds", F.lit(True))
+    known = places.join(inner, "place_id", "left").select("place_id", "parent_id", "languages", F.coalesce("population", F.lit(0)).alias("_people"), ((F.col("kind") == "city") & F.col("_holds").isNull()).alias("_leaf"))
+    of = names.select(key.alias("name"), "place_id", F.coalesce("code", F.lit(False)).alias("code")).distinct().join(known, "place_id")
+    best = of.filter("_leaf").groupBy("name", "code", "parent_id", "languages").agg(F.min_by("place_id", F.struct(-F.col("_people"), "place_id")).alias("place_id"))
+    return of.filter("not coalesce(_leaf, false)").select("name", "place_id", "code").unionByName(best.select("name", "place_id", "code"))
+
+
 def _ranked(c: DataFrame, group: list[str]) -> DataFrame:
     """The best candidate of every group (columns place_id, kind, entry, exit, population, spoken, code, alone).
 
@@ -113,7 +125,7 @@ def resolved(texts: DataFrame, places: DataFrame, names: DataFrame) -> DataFrame
     cleaned = staged(cleaned.withColumn("seg", F.xxhash64("geo", "language")))
     distinct = cleaned.filter("geo <> ''").groupBy("seg").agg(F.first("geo").alias("geo"), F.first("language").alias("language"))
     tree = intervals(places).select("place_id", "kind", "entry", "exit", F.coalesce("population", F.lit(0)).alias("population"), "languages")
-    c = entities(distinct, names).join(tree, "place_id").join(distinct.select("seg", "language"), "seg")
+    c = entities(distinct, staged(foremost(names, places))).join(tree, "place_id").join(distinct.select("seg", "language"), "seg")
     c = staged(c.withColumn("spoken", F.coalesce(F.array_contains("languages", F.col("language")), F.lit(False))).drop("languages", "language").dropDuplicates(["seg", "pos", "place_id"]))
     wide = F.col("kind") != "city"
     ent = c.groupBy("seg", "pos").agg(F.bool_or(wide).alias("wide"), F.bool_or(~wide).alias("city"))
@@ -185,10 +197,12 @@ def gazetteer(countries: DataFrame, divisions: DataFrame, cities: DataFrame, met
 def _city(parts: DataFrame, names: DataFrame, hints: DataFrame) -> DataFrame:
     """(text, city, city_iso): the first part that is a city which fits the country and state of hints (text, country,
     state, around)."""
-    c = parts.join(names.filter("kind = 'city'").select(F.col("key").alias("low"), "iso", "admin", "name", "population"), "low").join(hints, "text")
+    # Cities of one name, country and division fit alike: their number and the most populous of them stand for all.
+    cities = names.filter("kind = 'city'").groupBy(F.col("key").alias("low"), "iso", "admin").agg(F.count("*").alias("many"), F.max(F.struct("population", "name", "iso")).alias("most"))
+    c = parts.join(cities, "low").join(hints, "text")
     fits = F.when(F.col("around").isNull(), 2).when(F.col("iso") != F.col("around"), F.when(F.col("country").isNull(), 1).otherwise(0)).when((F.col("around") != "US") | F.col("state").isNull() | (F.col("admin") == F.col("state")), 4).otherwise(3)
     # Per part: those that fit best by population; a famous city elsewhere only if it is the largest of its name.
-    g = c.withColumn("fits", fits).groupBy("text", "pos", "around").agg(F.count("*").alias("n"), F.max(F.struct("population", "name", "iso")).alias("top"), F.max(F.struct("fits", "population", "name", "iso")).alias("best"))
+    g = c.withColumn("fits", fits).groupBy("text", "pos", "around").agg(F.sum("many").alias("n"), F.max("most").alias("top"), F.max(F.struct("fits", "most.population", "most.name", "most.iso")).alias("best"))
     famous = F.when(F.col("best.fits") == 1, F.when(F.col("top.population") >= FAMOUS, F.struct("top.name", "top.iso"))).when(F.col("best.fits") > 1, F.struct("best.name", "best.iso"))
     guess = F.col("around").isNull() & (F.col("n") > 1) & (F.col("best.population") < KNOWN)
     g = g.withColumn("city", F.when(~guess, famous)).filter("city is not null")

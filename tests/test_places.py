@@ -106,3 +106,11 @@ def test_located_as_a_report_does(spark):
     assert {t: (r["country"], r["city"], r["region"]) for t, r in got.items()} == LOCATED
     assert got["Remote (EMEA)"]["remote"] and got["Hybrid - Paris, France"]["hybrid"] and not got["London, UK"]["remote"]
     assert P.located(texts.limit(0), names, countries).count() == 0
+
+
+def test_cities_that_differ_in_nothing_but_people_are_one_candidate(spark):
+    places = spark.createDataFrame([(1, None, "country", 9, ["en"]), *[(10 + k, 1, "city", k % 5, ["en"]) for k in range(40)], (60, 1, "city", 1, ["de"]), (61, 60, "city", 0, ["de"])], "place_id long, parent_id long, kind string, population long, languages array<string>")
+    names = spark.createDataFrame([("Land", 1, False), *[("Town", 10 + k, False) for k in range(40)], ("town", 60, None), ("Part", 61, False)], "name string, place_id long, code boolean")
+    assert sorted(r["place_id"] for r in P.foremost(names, places).collect()) == [1, 14, 60, 61]
+    texts = spark.createDataFrame([("Town, Land", "en"), ("Town", "de"), ("Part", None)], "text string, language string")
+    assert {(r["text"], r["place_id"]) for r in P.resolved(texts, places, names).collect()} == {("Town, Land", 14), ("Town", 60), ("Part", 61)}
