@@ -171,10 +171,19 @@ def identity_conflicts(batch: DataFrame, existing: DataFrame) -> DataFrame:
     return out.distinct()
 
 
+#: Parts of a key's rows, and tasks, of a join whose output is far larger than its input.
+KEY_PARTS, PAIR_TASKS = 16, 192
+
+
 def key_conflicts(left: DataFrame, right: DataFrame, key: str, ident: str = "id") -> DataFrame:
-    """Two stores: same natural key with different id, and same id with different key."""
+    """Two stores: same natural key with different id, and same id with different key.
+
+    The pairs of a key are as many as its rows on both sides multiplied, so a key's left rows are dealt to several tasks,
+    each with all its right rows; the number of tasks is fixed, as one that follows the input would be too small."""
     a, b = left.alias("a"), right.alias("b")
-    one = a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}")).filter(f"a.{ident} <> b.{ident}")
+    dealt = left.withColumn("_part", F.pmod(F.xxhash64(ident), F.lit(KEY_PARTS)).cast("int")).repartition(PAIR_TASKS, key, "_part").alias("a")
+    every = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(KEY_PARTS - 1)))).repartition(PAIR_TASKS, key, "_part").alias("b")
+    one = dealt.join(every, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a._part") == F.col("b._part"))).filter(f"a.{ident} <> b.{ident}")
     two = a.join(b, F.col(f"a.{ident}") == F.col(f"b.{ident}")).filter(f"a.{key} <> b.{key}")
     pick = lambda df, k: df.select(F.lit(k).alias("kind"), F.col(f"a.{key}").alias("left_key"), F.col(f"b.{key}").alias("right_key"), F.col(f"a.{ident}").alias("left_id"), F.col(f"b.{ident}").alias("right_id"))
     return pick(one, "same_key").unionByName(pick(two, "same_id"))

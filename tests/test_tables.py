@@ -167,3 +167,14 @@ def test_related_names_contain_one_another(spark):
     # A token of 200 rows is evidence, one of 201 is not.
     short = spark.createDataFrame([(i, f"kept x{i:03d}") for i in range(199)] + [(999, "kept")], "id int, name string").withColumn("tokens", F.split("name", " "))
     assert A.related_names(short, "id", "name", "tokens").count() == 199
+
+
+def test_key_conflicts_of_a_frequent_key_are_spread(spark):
+    a = [(i, "k" if i % 3 else "x") for i in range(40)] + [(None, "k"), (50, None)]
+    b = [(i, "k" if i % 2 else "y") for i in range(40)] + [(None, "k"), (50, "k")]
+    got = M.key_conflicts(*[spark.createDataFrame(r, "id long, k string") for r in (a, b)], "k")
+    due = [("same_key", x, y, i, j) for i, x in a for j, y in b if None not in (x, y, i, j) and x == y and i != j]
+    due += [("same_id", x, y, i, j) for i, x in a for j, y in b if None not in (x, y, i, j) and i == j and x != y]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(due)
+    tasks = got.filter("kind = 'same_key'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 4
