@@ -247,8 +247,8 @@ def labels(spark, d):
 @query("c39_page_blocks")
 def blocks(spark, d):
     """Visible blocks of pages and text coverage."""
-    p = read(spark, d, "pages").select("page_id", "html", E.page_blocks("html").alias("b"), E.normal_html("html").alias("normal"))
-    return p.select("page_id", F.size("b").alias("n_blocks"), F.round(E.coverage(T.plain_text(F.col("normal")), T.plain_text(F.col("html"))), 4).alias("coverage"))
+    p = E.with_page_blocks(read(spark, d, "pages").select("page_id", "html"))
+    return p.select("page_id", F.size("blocks").alias("n_blocks"), F.round(E.coverage(T.plain_text(F.col("normal")), T.plain_text(F.col("html"))), 4).alias("coverage"))
 
 
 @query("c41_experience_codes", "select o_orderkey, case when o_orderkey % 3 = 0 then -1 else cast(ceil((o_orderkey % 17) / 2.0) as int) end as low, case when o_orderkey % 3 = 0 and o_orderkey % 5 = 0 then -1 when o_orderkey % 5 = 0 then 99 else cast(floor((o_orderkey % 19) / 2.0) as int) end as high from orders")

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from decimal import ROUND_HALF_UP, Decimal
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf, udtf
@@ -248,10 +251,36 @@ def page_blocks(html: pd.Series) -> pd.Series:
 @pandas_udf(T.StringType())
 def normal_html(html: pd.Series) -> pd.Series:
     """Headings as h2, paragraphs and list items without attributes, all else unwrapped."""
-    shape = lambda t: "h2" if re.fullmatch("h[1-6]", t) else "li" if t == "li" else "p"
+    return html.map(lambda h: _normal(_blocks(h)))
+
+
+def _normal(blocks: Iterable[tuple[str, str]]) -> str:
     from html import escape
 
-    return html.map(lambda h: "".join(f"<{shape(t)}>{escape(x, quote=False)}</{shape(t)}>" for t, x in _blocks(h)))
+    shape = lambda t: "h2" if re.fullmatch("h[1-6]", t) else "li" if t == "li" else "p"
+    return "".join(f"<{shape(t)}>{escape(x, quote=False)}</{shape(t)}>" for t, x in blocks)
+
+
+#: Pages that a task holds as blocks at a time.
+PAGES_AT_ONCE = 128
+
+
+def with_page_blocks(df: DataFrame, html: str = "html") -> DataFrame:
+    """Adds blocks and normal, as page_blocks and normal_html give them. A page is parsed once, and few pages at a time
+    are held as blocks, whatever the size of the batches that Spark sends."""
+    kind = T.StructType().add("tag", "string").add("text", "string")
+    schema = T.StructType([*df.schema.fields, T.StructField("blocks", T.ArrayType(kind)), T.StructField("normal", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = pa.list_(pa.struct([("tag", pa.string()), ("text", pa.string())]))
+        for batch in batches:
+            for start in range(0, batch.num_rows, PAGES_AT_ONCE):
+                part = batch.slice(start, PAGES_AT_ONCE)
+                found = [list(_blocks(h)) for h in part.column(html).to_pylist()]
+                blocks = pa.array([[{"tag": t, "text": x} for t, x in f] for f in found], arrow)
+                yield pa.RecordBatch.from_arrays([*part.columns, blocks, pa.array([_normal(f) for f in found], pa.string())], names=[*part.schema.names, "blocks", "normal"])
+
+    return df.mapInArrow(run, schema)
 
 
 @udtf(returnType=T.StructType().add("block_no", "integer").add("tag", "string").add("text", "string"))

@@ -119,3 +119,18 @@ def test_trigram_languages(spark):
     got = {r["id"]: r["lang"] for r in LG.scored(spark.createDataFrame(asked, "id long, text string"), weights).collect()}
     assert got == {1: "en", 2: "de", 3: "fr", 7: "en"}
     assert LG.train(train.limit(0)).count() == 0 and LG.scored(spark.createDataFrame(asked, "id long, text string").limit(0), weights).count() == 0
+
+
+def test_page_blocks_a_few_pages_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(E, "PAGES_AT_ONCE", 2)
+    pages = spark.createDataFrame([(i, f"<h1>T {i}</h1><p>a &amp; b<ul><li>x {i}</ul>") for i in range(5)] + [(9, None), (10, "")], "id int, html string").coalesce(1)
+    got = E.with_page_blocks(pages).orderBy("id").collect()
+    due = pages.select("id", "html", E.page_blocks("html").alias("blocks"), E.normal_html("html").alias("normal")).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in due]
+
+
+def test_only_words_like_those_of_a_query_are_stemmed(spark):
+    df = spark.createDataFrame([(1, "Walking the dogs, walks; of the us")], "id int, text string")
+    hits = RK.hits(df, "id", 'walk "of the" us', [("text", 1.0)])
+    assert sorted((r["pos"], r["term"]) for r in hits.collect()) == [(0, 0), (3, 0), (4, 1), (6, 2)]
+    assert "substring" in hits._jdf.queryExecution().analyzed().toString().split("endswith")[0].lower()
