@@ -64,12 +64,18 @@ def hits(df: DataFrame, ident: str, query: str, fields: list[tuple[str, float]])
     wanted, unwanted = parsed(query)
     alternatives = [(i, a) for i, g in enumerate(wanted) for a in g] + [(-1, a) for a in unwanted]
     longest = max([len(a) for _, a in alternatives], default=1)
+    # A stem shares its first three letters with its word, so only words that begin like a query's stem are stemmed, and
+    # only places where an alternative may begin become rows.
+    begin = sorted({t[:3] for _, a in alternatives for t in a})
+    leading = sorted({a[0] for _, a in alternatives})
+    near = lambda w: F.when(F.substring(w, 1, 3).isin(begin), stem(w))
     start, tokens = F.lit(0), []
     for name, weight in fields:
-        stems = F.transform(words(F.col(f"`{name}`")), stem)
+        stems = F.transform(words(F.col(f"`{name}`")), near)
         # A word with those after it: the field beside itself, moved by one word and more.
         beside = F.arrays_zip(*[(F.slice(stems, k + 1, F.greatest(F.size(stems), F.lit(1))) if k else stems).alias(f"w{k}") for k in range(longest)])
-        tokens.append(F.transform(beside, (lambda b, n: lambda x, i: F.struct((b + i).alias("pos"), F.array(*[x[f"w{k}"] for k in range(longest)]).alias("run"), F.lit(n).alias("weight")))(start, float(weight))))
+        placed = F.transform(beside, (lambda b, n: lambda x, i: F.struct((b + i).alias("pos"), F.array(*[x[f"w{k}"] for k in range(longest)]).alias("run"), F.lit(n).alias("weight")))(start, float(weight)))
+        tokens.append(F.filter(placed, lambda x: F.coalesce(F.get(x["run"], F.lit(0)).isin(leading), F.lit(False))))
         start = start + F.size(stems)
     each = df.select(F.col(f"`{ident}`").alias("id"), F.explode(F.concat(*tokens)).alias("t")).select("id", "t.*")
     here = lambda a: reduce(lambda x, y: x & y, [F.coalesce(F.get("run", F.lit(k)) == w, F.lit(False)) for k, w in enumerate(a)])
