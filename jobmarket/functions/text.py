@@ -243,14 +243,24 @@ def named_technologies(text: Column, table: list[tuple[str, tuple[str, ...], boo
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
 
+def stop_word_hits(text: Column) -> Column:
+    """How many words of a text are stop words, language by language in the order of STOP_WORDS."""
+    words = F.split(F.lower(text), r"[^\p{L}]+")
+    return F.array(*[F.size(F.filter(words, _among(ws))) for ws in STOP_WORDS.values()])
+
+
+def language_by_hits(given: Column, hits: list[Column], length: Column) -> Column:
+    """As language, of a text of some length whose parts have these hits."""
+    counts = [F.struct(reduce(lambda a, b: a + b, [h[i] for h in hits]).alias("n"), F.lit(-i).alias("o"), F.lit(lang).alias("lang")) for i, lang in enumerate(STOP_WORDS)]
+    best = F.greatest(*counts)
+    found = F.when((length >= 20) & (best["n"] > 0), best["lang"]).otherwise("unknown")
+    return F.coalesce(F.lower(F.substring(given, 1, 2)), found)
+
+
 def language(given: Column, text: Column) -> Column:
     """The given language's first two letters, else the one with most stop words in the whole text (ties in the order
     en, de, fr, es), else unknown; unknown under 20 characters."""
-    words = F.split(F.lower(text), r"[^\p{L}]+")
-    hits = [F.struct(F.size(F.filter(words, _among(ws))).alias("n"), F.lit(-i).alias("o"), F.lit(lang).alias("lang")) for i, (lang, ws) in enumerate(STOP_WORDS.items())]
-    best = F.greatest(*hits)
-    found = F.when((F.length(text) >= 20) & (best["n"] > 0), best["lang"]).otherwise("unknown")
-    return F.coalesce(F.lower(F.substring(given, 1, 2)), found)
+    return language_by_hits(given, [stop_word_hits(text)], F.length(text))
 
 
 def chunks(text: Column) -> Column:

@@ -10,6 +10,7 @@ from jobmarket.functions import extract as E
 from jobmarket.functions import text as T
 from jobmarket.functions import values as V
 from jobmarket.operators import tables as M
+from jobmarket.sources.tables import staged
 
 #: Ordered title rules (profile, family, pattern); the first hit counts. A default that callers replace or extend.
 PROFILES = (
@@ -61,21 +62,50 @@ def located(places: DataFrame, names: DataFrame) -> DataFrame:
     return M.first_per_key(c, ["id"], [F.desc("_ctx"), F.desc("population"), "place_id"]).select("id", "place_id")
 
 
+def once(df: DataFrame, key: str, columns: list[dict[str, Column]], keep: list[str]) -> DataFrame:
+    """df with the columns keep, which depend on the column key alone: they are made once per distinct value (null is
+    one), step by step, in a written table. A small table goes to the rows, so that these need no shuffle; a large one
+    is joined by shuffle."""
+    own = df.select(key).distinct()
+    for step in columns:
+        own = own.withColumns(step)
+    own = staged(own.select(F.col(key).alias("_of"), *keep))
+    return df.join(own, df[key].eqNullSafe(own["_of"]), "left").drop("_of")
+
+
+def _text_attributes(named: dict[str, Column] | None = None) -> tuple[list[dict[str, Column]], list[str]]:
+    """Steps and names of what a description alone tells."""
+    pay = V.annual(F.col("_found.min"), F.col("_found.max"), F.col("_found.currency"), F.col("_found.unit"), "description")
+    text = F.col("_text")
+    found = {"_years": E.years_of_experience("_text"), "_found": E.pay_in_text("_text"), **(named or {})}
+    last = {
+        "_described": pay, "education": T.education(text), "visa": T.visa(text), "equity": T.equity(text), "clearance": T.clearance(text),
+        "_text_hits": T.stop_word_hits(text), "desc_len": F.length(text),
+    }
+    return [{"_text": T.plain_text(F.col("description"))}, found, last], ["_years", *(named or {}), *last]
+
+
 def derive(raw: DataFrame, now: Column, company: str = "company_slug") -> DataFrame:
-    """Raw postings as the derived frame: keys, title, seniority, profile, pay, years, signals, language."""
-    text = T.plain_text(F.col("description"))
-    df = raw.withColumn("_text", text)
-    texts = df.select("_text").distinct().withColumns({"yoe_min": E.years_of_experience("_text"), "_pay": E.pay_in_text("_text")})
-    df = df.join(texts, "_text", "left")
-    pay = V.annual(F.col("_pay.min"), F.col("_pay.max"), F.col("_pay.currency"), F.col("_pay.unit"), "description")
-    name, family = profile(F.col("title"))
+    """Raw postings as the derived frame: keys, title, seniority, profile, pay, years, signals, language. What a title, a
+    description or a date tells is derived once per distinct one."""
+    title = F.col("title")
+    name, family = profile(title)
+    of_title = {"title_clean": T.clean_title(title), "profile": name, "job_family": family, "seniority": T.seniority(title), "_title_hits": T.stop_word_hits(F.coalesce(title, F.lit(""))), "_title_len": F.coalesce(F.length(title) + 2, F.lit(0))}
+    df = once(raw, "title", [of_title], list(of_title))
+    df = once(df, "description", *_text_attributes())
+    df = once(df, "date_posted", [_posted(now)], ["posted_day"])
+    language = T.language_by_hits(F.col("language"), [F.col("_title_hits"), F.col("_text_hits")], F.col("_title_len") + F.col("desc_len"))
     return df.select(
-        V.job_key(F.col(company), F.coalesce("source_identity", "url")).alias("job_key"), company, "url", T.clean_title(F.col("title")).alias("title_clean"), name.alias("profile"), family.alias("job_family"), T.seniority(F.col("title")).alias("seniority"),
-        T.employment_type(F.col("employment_type"), EMPLOYMENT).alias("employment_type"), pay["min"].alias("sal_min"), pay["max"].alias("sal_max"), pay["currency"].alias("sal_currency"), "yoe_min", T.education(F.col("_text")).alias("education"), T.visa(F.col("_text")).alias("visa"),
-        T.equity(F.col("_text")).alias("equity"), T.clearance(F.col("_text")).alias("clearance"), T.language(F.col("language"), F.concat_ws(". ", "title", "_text")).alias("language"), F.unix_date(V.posted_at(F.col("date_posted"), now).cast("date")).alias("posted_day"), F.length("_text").alias("desc_len"),
+        V.job_key(F.col(company), F.coalesce("source_identity", "url")).alias("job_key"), company, "url", "title_clean", "profile", "job_family", "seniority",
+        T.employment_type(F.col("employment_type"), EMPLOYMENT).alias("employment_type"), F.col("_described.min").alias("sal_min"), F.col("_described.max").alias("sal_max"), F.col("_described.currency").alias("sal_currency"), F.col("_years").alias("yoe_min"),
+        "education", "visa", "equity", "clearance", language.alias("language"), "posted_day", "desc_len",
     )
 
 
+def _posted(now: Column) -> dict[str, Column]:
+    return {"posted_day": F.unix_date(V.posted_at(F.col("date_posted"), now).cast("date"))}
+
+
 #: Most places of a posting that are resolved.
 MOST_PLACES = 50
 
@@ -86,24 +116,27 @@ def derived_frame(raw: DataFrame, now: Column, resolve, profiles: tuple[tuple[st
     raw: (company_slug, board_slug, source, url, source_identity, title, description, locations array, workplace,
     employment_type, base_pay struct of min, max, currency, unit, language, date_posted); resolve: a places_resolver;
     occupations: a taxonomy (alias, slug, domain), whose matches go before the title rules, with the domain as family.
-    Rows without a url go. Extraction sees each distinct text once; structured pay beats pay in the text."""
-    df = raw.filter(F.coalesce("url", F.lit("")) != "").withColumns({"_title": F.trim(F.coalesce("title", F.lit(""))), "_text": T.plain_text(F.col("description"))})
-    texts = df.select("_text").distinct().withColumns({"_years": E.years_of_experience("_text"), "_pay": E.pay_in_text("_text"), "_named": AC.whole_words(technologies)("_text")})
+    Rows without a url go. Extraction sees each distinct title, text, date and list of places once; structured pay beats pay in the text."""
+    df = raw.filter(F.coalesce("url", F.lit("")) != "").withColumns({"_title": F.trim(F.coalesce("title", F.lit(""))), "_locations": F.slice("locations", 1, MOST_PLACES)})
+    title = F.col("_title")
     matched = AC.best_alias([(a, s) for a, s, _ in occupations])("_title") if occupations else F.lit(None).cast("string")
-    titles = df.select("_title").distinct().withColumns({"_matched": matched, "_titled": AC.whole_words(technologies)("_title")})
-    df = df.join(titles, "_title").join(texts, "_text").withColumn("_places", resolve(F.slice("locations", 1, MOST_PLACES)))
-    described = V.annual(F.col("_pay.min"), F.col("_pay.max"), F.col("_pay.currency"), F.col("_pay.unit"), "description")
+    name, family = profile(title, F.col("_matched"), profiles, {s: d for _, s, d in occupations})
+    of_title = {"title_clean": T.clean_title(title), "profile": name, "job_family": family, "seniority": T.seniority(title), "_title_hits": T.stop_word_hits(title), "_title_len": F.length(title) + 2}
+    df = once(df, "_title", [{"_matched": matched, "_titled": AC.whole_words(technologies)("_title")}, of_title], ["_titled", *of_title])
+    df = once(df, "description", *_text_attributes({"_named": AC.whole_words(technologies)("_text")}))
+    countries = F.array_distinct(F.filter(F.transform("_places", lambda p: p["country"]), lambda c: c.isNotNull()))
+    of_places = {"_place": V.primary_place(F.col("_places")), "n_locations": F.size("_places"), "n_countries": F.size(countries)}
+    df = once(df, "_locations", [{"_places": resolve(F.col("_locations"))}, of_places], ["_places", *of_places])
+    df = once(df, "date_posted", [_posted(now)], ["posted_day"])
     given = V.annual(F.col("base_pay.min"), F.col("base_pay.max"), F.col("base_pay.currency"), F.coalesce(salary_unit(F.col("base_pay.unit")), "base_pay.unit"), "structured")
-    name, family = profile(F.col("_title"), F.col("_matched"), profiles, {s: d for _, s, d in occupations})
-    df = df.withColumns({"_paid": V.normalised_pay(given, described), "_place": V.primary_place(F.col("_places"))})
+    df = df.withColumn("_paid", V.normalised_pay(given, F.col("_described")))
+    language = T.language_by_hits(F.col("language"), [F.col("_title_hits"), F.col("_text_hits")], F.col("_title_len") + F.col("desc_len"))
     return df.select(
-        V.job_key(F.col("company_slug"), F.coalesce("source_identity", "url")).alias("job_key"), "company_slug", "board_slug", "source", T.clean_title(F.col("_title")).alias("title_clean"), name.alias("profile"),
-        family.alias("job_family"), T.seniority(F.col("_title")).alias("seniority"), T.employment_type(F.col("employment_type"), EMPLOYMENT).alias("employment_type"), V.work_mode(F.col("workplace"), F.col("_places")).alias("work_mode"),
-        F.col("_place.country").alias("country"), F.col("_place.region").alias("region"), F.col("_place.city").alias("city"), F.size("_places").alias("n_locations"),
-        F.size(F.array_distinct(F.filter(F.transform("_places", lambda p: p["country"]), lambda c: c.isNotNull()))).alias("n_countries"), F.unix_date(V.posted_at(F.col("date_posted"), now).cast("date")).alias("posted_day"),
+        V.job_key(F.col("company_slug"), F.coalesce("source_identity", "url")).alias("job_key"), "company_slug", "board_slug", "source", "title_clean", "profile",
+        "job_family", "seniority", T.employment_type(F.col("employment_type"), EMPLOYMENT).alias("employment_type"), V.work_mode(F.col("workplace"), F.col("_places")).alias("work_mode"),
+        F.col("_place.country").alias("country"), F.col("_place.region").alias("region"), F.col("_place.city").alias("city"), "n_locations", "n_countries", "posted_day",
         F.col("_paid.min").alias("sal_min"), F.col("_paid.max").alias("sal_max"), F.col("_paid.currency").alias("sal_currency"), F.col("_paid.unit").alias("sal_unit"), F.coalesce("_paid.source", F.lit("none")).alias("sal_source"), F.col("_years").alias("yoe_min"),
-        F.array_sort(F.array_union("_titled", "_named")).alias("technologies"), T.education(F.col("_text")).alias("education"), T.visa(F.col("_text")).alias("visa"), T.equity(F.col("_text")).alias("equity"),
-        T.clearance(F.col("_text")).alias("clearance"), T.language(F.col("language"), F.concat_ws(". ", "_title", "_text")).alias("language"), F.length("_text").alias("desc_len"),
+        F.array_sort(F.array_union("_titled", "_named")).alias("technologies"), "education", "visa", "equity", "clearance", language.alias("language"), "desc_len",
     )
 
 

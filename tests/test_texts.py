@@ -134,3 +134,14 @@ def test_only_words_like_those_of_a_query_are_stemmed(spark):
     hits = RK.hits(df, "id", 'walk "of the" us', [("text", 1.0)])
     assert sorted((r["pos"], r["term"]) for r in hits.collect()) == [(0, 0), (3, 0), (4, 1), (6, 2)]
     assert "substring" in hits._jdf.queryExecution().analyzed().toString().split("endswith")[0].lower()
+
+
+def test_derivation_reads_each_distinct_value_once(spark):
+    rows = [("c", f"u{i}", t, d, None, "Full-time", None, p) for i, (t, d, p) in enumerate([("Senior Data Engineer", "<p>We pay $150,000 per year. 5+ years of experience</p>", "2024-03-05"), (None, "the team and the office of the town", None), ("Barista", None, "x"), (None, None, "2024-03-05")] * 2)]
+    raw = spark.createDataFrame(rows, "company_slug string, url string, title string, description string, source_identity string, employment_type string, language string, date_posted string")
+    got = J.derive(raw, F.lit("2024-06-01").cast("timestamp"))
+    assert sorted((r["url"], r["profile"], r["sal_min"], r["yoe_min"], r["language"], r["posted_day"], r["desc_len"]) for r in got.collect()) == [
+        (f"u{i}", *[("data", 150000.0, 5.0, "en", 19787, 48), ("other", None, None, "en", None, 35), ("food-service", None, None, "unknown", None, 0), ("other", None, None, "unknown", 19787, 0)][i % 4]) for i in range(8)
+    ]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "rlike" not in plan and "years_of_experience" not in plan
