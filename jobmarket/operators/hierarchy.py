@@ -8,28 +8,40 @@ from pyspark.sql import functions as F
 from jobmarket.sources.tables import staged
 
 
+#: Pairs of a closure that one task holds, about.
+PAIRS_AT_ONCE = 1 << 18
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """df by keys, over as many tasks as its number of rows asks for, so that what a task sorts or sums stays the same."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-rows // PAIRS_AT_ONCE)), *keys)
+
+
 def closure(edges: DataFrame) -> DataFrame:
     """(node, ancestor, distance, looped) of edges (node, parent): every node itself at distance 0, and all its ancestors
     at their least distance; nodes may have several parents.
 
-    Pairs up to distance d join with themselves, which gives all up to 2 d, so a chain of a million takes 20 rounds; a
-    round is a written table and the last one adds nothing. looped: the node lies on a cycle, so that it is its own
-    ancestor; such pairs stay, at the cycle's length from themselves replaced by 0. Edges with a null end only name the
-    other end; repeated edges count once."""
+    A round has all pairs up to distance d. A shortest way of more steps, up to 2 d, is one of exactly d and one of at
+    most d behind it, so the pairs at exactly d join with all, which makes each longer pair of a tree once; a chain of a
+    million takes 20 rounds. The last round is the one in which no pair is at exactly d. A round is a written table.
+    looped: the node lies on a cycle, so that it is its own ancestor; such pairs stay, at the cycle's length from
+    themselves replaced by 0. Edges with a null end only name the other end; repeated edges count once."""
     nodes = edges.select(F.explode(F.array("node", "parent")).alias("node")).filter("node is not null").distinct()
     pairs = staged(edges.filter("node is not null and parent is not null").select("node", F.col("parent").alias("ancestor")).distinct().withColumn("distance", F.lit(1).cast("long")))
-    have = pairs.count()
-    while True:
-        up = pairs.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("_next"), F.col("distance").alias("_more"))
-        longer = pairs.join(up, "ancestor").select("node", F.col("_next").alias("ancestor"), (F.col("distance") + F.col("_more")).alias("distance"))
-        pairs = staged(pairs.unionByName(longer).groupBy("node", "ancestor").agg(F.min("distance").alias("distance")))
-        now = pairs.count()
-        if now == have:
-            break
-        have = now
+    reach, have = 1, pairs.count()
+    while furthest := pairs.filter(F.col("distance") == reach).count():
+        # Nodes may have as many pairs each as the round has steps.
+        rows = have + furthest * reach
+        ends = dealt(pairs.filter(F.col("distance") == reach), rows, "ancestor")
+        up = dealt(pairs.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("_next"), F.col("distance").alias("_more")), rows, "ancestor")
+        longer = ends.join(up, "ancestor").select("node", F.col("_next").alias("ancestor"), (F.col("distance") + F.col("_more")).alias("distance"))
+        pairs = staged(dealt(pairs.unionByName(longer), rows, "node", "ancestor").groupBy("node", "ancestor").agg(F.min("distance").alias("distance")))
+        reach, have = 2 * reach, pairs.count()
     looped = pairs.filter("node = ancestor").select("node", F.lit(True).alias("looped"))
     own = nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).cast("long").alias("distance"))
-    return pairs.filter("node <> ancestor").unionByName(own).join(looped, "node", "left").fillna(False, ["looped"])
+    every = pairs.filter("node <> ancestor").unionByName(own)
+    return dealt(every, have, "node").join(dealt(looped, have, "node"), "node", "left").fillna(False, ["looped"])
 
 
 def numbered(df: DataFrame, order: list[Column], name: str = "number") -> DataFrame:

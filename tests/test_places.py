@@ -114,3 +114,23 @@ def test_cities_that_differ_in_nothing_but_people_are_one_candidate(spark):
     assert sorted(r["place_id"] for r in P.foremost(names, places).collect()) == [1, 14, 60, 61]
     texts = spark.createDataFrame([("Town, Land", "en"), ("Town", "de"), ("Part", None)], "text string, language string")
     assert {(r["text"], r["place_id"]) for r in P.resolved(texts, places, names).collect()} == {("Town, Land", 14), ("Town", 60), ("Part", 61)}
+
+
+def test_closure_makes_each_pair_of_a_tree_once(spark, monkeypatch):
+    """Every round joins the pairs at the furthest distance alone, and deals its rows by their number."""
+    made = []
+    keep = H.staged
+    monkeypatch.setattr(H, "PAIRS_AT_ONCE", 16)
+    monkeypatch.setattr(H, "staged", lambda df: made.append(keep(df)) or made[-1])
+    pairs = [(i, i // 2) for i in range(2, 64)] + [(100, 101), (101, 102), (102, 100), (103, 102), (103, 100)]
+    got = {(r["node"], r["ancestor"]): (r["distance"], r["looped"]) for r in H.closure(spark.createDataFrame(pairs, "node long, parent long")).collect()}
+    due = {}
+    parents = {n: [p for m, p in pairs if m == n] for n in {x for e in pairs for x in e}}
+    for n in parents:
+        near, d = {n}, 0
+        while near:
+            for a in near:
+                due.setdefault((n, a), d)
+            d, near = d + 1, {p for a in near for p in parents[a] if (n, p) not in due}
+    assert got == {k: (d, k[0] in (100, 101, 102)) for k, d in due.items()}
+    assert len(made) == 4
