@@ -145,3 +145,18 @@ def test_derivation_reads_each_distinct_value_once(spark):
     ]
     plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
     assert "rlike" not in plan and "years_of_experience" not in plan
+
+
+def test_scores_of_rare_words_are_joined(spark, monkeypatch):
+    """Whatever number of words goes to the tasks, the sums are the same, and no text is shuffled word by word for words
+    that do."""
+    train = spark.createDataFrame([("the river and the town", "en"), ("der fluss und die stadt", "de"), ("ab", "zz"), ("ab", "aa")], "text string, lang string")
+    weights = LG.train(train)
+    asked = spark.createDataFrame([(1, "the town the town xyz"), (2, "die stadt"), (2, "und der the"), (3, "ab"), (4, None), (5, "qqqq")], "id long, text string")
+    got = []
+    for most in (400_000, 3, 0):
+        monkeypatch.setattr(LG, "SENT_WORDS", most)
+        out = LG.scored(asked, weights)
+        got.append({r["id"]: r["lang"] for r in out.collect()})
+        assert "word" not in [x.split("hashpartitioning(")[1].split("#")[0] for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning(" in x] or most < 400_000
+    assert got[0] == got[1] == got[2] and got[0][1] == "en" and got[0][2] == "de" and got[0][3] == "aa" and 4 not in got[0] and 5 in got[0]
