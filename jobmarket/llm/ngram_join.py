@@ -19,8 +19,9 @@ A document is the set of its distinct word shingles; two link when their Jaccard
    profiles (tokens per cell of a hash) rule out the pairs whose intersection cannot be large enough.
 
 Frequent shingles are salted by their class where a task gathers posting lists; pivots are minima, combined per task,
-and joins on tokens leave it to Spark to split a frequent one. Components come from label
-propagation with pointer jumping, on tables; nothing that grows with the corpus reaches the driver.
+and joins on tokens leave it to Spark to split a frequent one. Components come from contracting the graph of
+links, on tables, and links found later are added to the components known by then; nothing that grows with the corpus
+reaches the driver.
 
 Defined results: null, blank and empty texts have an empty set and link with nothing; rows that repeat a doc_id are one
 node, linked through any of its texts; rows with a null doc_id are their own component (null) and take no part; other
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from jobmarket.llm.common import Rolling, keys_of, result, scratch, table, text_blocks, written
@@ -197,19 +198,47 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(DENOMINATOR * inter.cast("long") >= NUMERATOR * union).select("a", "b").distinct()
 
 
-def components(edges: DataFrame, label: str = "links") -> DataFrame:
-    """(node, comp) of the nodes of edges (a, b): comp is the smallest node that is reachable. Rounds of taking the
-    smallest label among neighbours and then the label's own label; each round is a written table."""
-    sym = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), label)
-    comp = written(sym.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("comp")), label)
-    while True:
-        near = sym.join(comp.select(F.col("node").alias("b"), F.col("comp").alias("c")), "b").groupBy(F.col("a").alias("node")).agg(F.min("c").alias("c"))
-        hop = comp.select(F.col("node").alias("c"), F.col("comp").alias("cc"))
-        new = comp.join(near, "node").withColumn("c", F.least("comp", "c")).join(hop, "c", "left")
-        new = written(new.select("node", F.least("c", F.coalesce("cc", "c")).alias("comp"), (F.col("comp") != F.least("c", F.coalesce("cc", "c"))).alias("moved")), label)
-        comp = new.select("node", "comp")
-        if new.filter("moved").isEmpty():
-            return comp
+def components(edges: DataFrame, label: str = "links", known: DataFrame | None = None) -> DataFrame:
+    """(node, comp) of the nodes of edges (a, b) and of known, components found before that edges may join: comp is the
+    smallest node that is reachable.
+
+    Each round contracts the graph: a node goes to the first of itself and its neighbours in an order by hash, then to
+    where that one goes, and only edges between different nodes are left. The order differs from round to round, so
+    long chains fold as fast as others; each round is two written tables, smaller than those before."""
+    maps = []
+
+    def moved(edges: DataFrame, up: DataFrame) -> DataFrame:
+        """The edges between the nodes that their ends go to."""
+        side = lambda c: up.select(F.col("node").alias(c), F.col("up").alias(f"_{c}"))
+        both = edges.select("a", "b").join(side("a"), "a", "left").join(side("b"), "b", "left")
+        return both.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+
+    def apart_only(edges: DataFrame) -> tuple[DataFrame, int]:
+        count = Observation()
+        ends = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return written(ends.observe(count, F.count(F.lit(1)).alias("n")), label), count.get["n"]
+
+    first = None if known is None else known.select("node", F.col("comp").alias("up"))
+    left, n = apart_only(edges if first is None else moved(edges, first))
+    while n:
+        order = lambda c, salt=len(maps): F.struct(F.xxhash64(F.col(c), F.lit(salt)).alias("h"), F.col(c).alias("v"))
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        to = both.groupBy(F.col("a").alias("node")).agg(F.min(order("b")).alias("m")).select("node", F.least(order("node"), "m")["v"].alias("up"))
+        up = written(to.join(to.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", F.col("top").alias("up")), label)
+        maps.append(up)
+        left, n = apart_only(moved(left, up))
+    found = None
+    for up in maps:
+        on = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        found = up if found is None else found.join(on, "up", "left").select("node", F.coalesce("top", "up").alias("up"))
+    if found is None:
+        return known if known is not None else left.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+    if first is not None:
+        # Nodes of found that no component had are new; those that gave a component its name take all of it along.
+        on = found.select(F.col("node").alias("old"), F.col("up").alias("top"))
+        found = first.join(on, first["up"] == on["old"], "full").select(F.coalesce("node", "old").alias("node"), F.coalesce("top", "up").alias("up"))
+    least = found.groupBy("up").agg(F.min("node").alias("comp"))
+    return written(found.join(least, "up").select("node", "comp"), label)
 
 
 def _near_size(a: Column, b: Column) -> Column:
@@ -301,14 +330,12 @@ def _near_duplicates(docs: DataFrame, shingle: int) -> DataFrame:
     rest = written(possible(rest, profiles_of(nodes_of(rest))), "candidates")
     sets = sets.unionByName(sets_of(nodes_of(rest).join(sets.select("node"), "node", "left_anti")))
     rest = written(possible(rest, sets), "candidates")
-    links = star
     for _ in range(PIVOT_ROUNDS):
         # Each node with one partner; what becomes connected need not be compared any more.
         some = written(rest.groupBy("a").agg(F.min("b").alias("b")), "some")
-        links = links.unionByName(written(similar(some, sets), "links"))
-        rest = written(apart(rest.join(some, ["a", "b"], "left_anti"), components(links)), "candidates")
-    links = links.unionByName(written(similar(rest, sets), "links"))
-    comp = components(links.unionByName(same))
+        comp = components(similar(some, sets), known=comp)
+        rest = written(apart(rest.join(some, ["a", "b"], "left_anti"), comp), "candidates")
+    comp = components(similar(rest, sets).unionByName(same), known=comp)
     out = d.select("doc_id", F.col("n").cast("long").alias("n_shingles")).join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"))
 

@@ -401,6 +401,27 @@ def test_ngram_join_verifies_members_of_groups_with_equal_prefixes(spark, monkey
     assert got == brute_components(texts) and made[0] < len(texts)
 
 
+def test_components_shrink_from_round_to_round(spark, monkeypatch):
+    """A chain folds without all its nodes in each round; components known before are joined by later edges."""
+    rng, rows, own = random.Random(3), [0], ngram_join.written
+
+    def counted(df, label):
+        out = own(df, label)
+        rows[0] += out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", counted)
+    chain = rng.sample(range(10_000), 600)
+    edges = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+    got = {r["node"]: r["comp"] for r in ngram_join.components(edges(list(zip(chain[1:], chain)))).collect()}
+    assert got == dict.fromkeys(chain, min(chain)) and rows[0] < 5 * len(chain)
+    known = ngram_join.components(edges([(5, 4), (5, 6), (21, 20), (31, 30)]))
+    same = lambda df: {r["node"]: r["comp"] for r in df.collect()}
+    assert same(ngram_join.components(edges([(6, 21), (40, 31), (2, 40), (51, 50), (5, 6)]), known=known)) == {4: 4, 5: 4, 6: 4, 20: 4, 21: 4, 30: 2, 31: 2, 40: 2, 2: 2, 50: 50, 51: 50}
+    assert same(ngram_join.components(edges([]), known=known)) == same(known)
+    assert same(ngram_join.components(edges([]))) == {}
+
+
 def test_ngram_join_edges(spark):
     docs = docs_of(spark, edge_texts(random.Random(1)))
     got = [(r["doc_id"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect()]
