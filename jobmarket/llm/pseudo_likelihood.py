@@ -105,15 +105,18 @@ def summed(slices: DataFrame) -> tuple[np.ndarray, float]:
     return np.concatenate([np.frombuffer(bytes(r["vector"]), np.float64) for r in rows]), rows[0]["weight"]
 
 
+#: The decisions on the way to each leaf (class * 2**LEVELS + number in the class), from the first, and which side it is on.
+_CLS, _OWN, _LEVEL = np.arange(CLASSES << LEVELS)[:, None] >> LEVELS, np.arange(CLASSES << LEVELS)[:, None] & ((1 << LEVELS) - 1), np.arange(LEVELS)
+WAY = (_CLS * NODES + (1 << _LEVEL) - 1 + (_OWN >> (LEVELS - _LEVEL))).astype(np.uint16)
+RIGHT = ((_OWN >> (LEVELS - 1 - _LEVEL)) & 1).astype(np.float32)
+
+
 def decisions(leaf: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, node, right) of the decisions on the way to the leaves that have two sides; leaf: class * 2**LEVELS +
-    number in the class, or -1 for none."""
-    cls, own = leaf >> LEVELS, leaf & ((1 << LEVELS) - 1)
-    level = np.arange(LEVELS)
-    node = cls[:, None] * NODES + (1 << level) - 1 + (own[:, None] >> (LEVELS - level))
-    place = np.flatnonzero(((leaf >= 0)[:, None] & live[node]).ravel())
-    right = ((own[:, None] >> (LEVELS - 1 - level)) & 1).ravel()[place]
-    return place // LEVELS, node.ravel()[place], right.astype(np.float32)
+    """(node, right, counts) of the LEVELS decisions on the way to each leaf; those without two sides, and those of
+    places without a leaf (-1), do not count."""
+    at = np.maximum(leaf, 0)
+    node = WAY.take(at, axis=0)
+    return node, RIGHT.take(at, axis=0), live.take(node) & (leaf >= 0)[:, None]
 
 
 class Types:
@@ -160,7 +163,9 @@ class Types:
         rare_class = (CLASSES - self.rare_classes + words % self.rare_classes).astype(np.int32)
         if not len(self.words):
             return self._shared(words), rare_class, -np.log(self.class_mass[rare_class]), np.ones(len(words), bool), np.full(len(words), -1)
-        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        order = np.argsort(words)  # sought in order, neighbours are found in memory that is at hand
+        at = np.empty(len(words), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.words, words[order]), len(self.words) - 1)
         rare = self.words[at] != words
         inputs, classes, inside = self.inputs[at], self.classes[at], self.inside[at]
         inputs[rare], classes[rare] = self._shared(words[rare]), rare_class[rare]
@@ -232,7 +237,7 @@ def contexts(inputs: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def forward(p: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    x = p["E"][context].reshape(len(context), -1)
+    x = p["E"].take(context, axis=0).reshape(len(context), -1)
     h = np.tanh(x @ p["W"] + p["b"])
     return x, h, h @ p["U"] + p["c"]
 
@@ -244,19 +249,18 @@ def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, target: np.
         _, h, z = forward(p, context[i : i + 4096])
         top = z.max(axis=1)
         lp = z[np.arange(len(z)), target[i : i + 4096]] - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
-        place, node, right = decisions(leaf[i : i + 4096], live)
-        a = (2 * right - 1) * (np.einsum("ij,ij->i", h[place, :SEEN], p["V"][node]) + p["v"][node])
-        out[i : i + 4096] = lp - np.bincount(place, weights=np.logaddexp(0, -a), minlength=len(z))
+        node, right, counts = decisions(leaf[i : i + 4096], live)
+        a = (2 * right - 1) * (np.einsum("nlk,nk->nl", p["V"].take(node, axis=0), h[:, :SEEN]) + p["v"].take(node))
+        # log(1 + exp(-a)), in a form that numpy does for many at once
+        miss = np.maximum(-a, 0) + np.log(1 + np.exp(-np.abs(a)))
+        out[i : i + 4096] = lp - np.where(counts, miss, 0).sum(axis=1)
     return out
 
 
-def _summed_by(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and the sums of their rows."""
-    keys = keys.astype(np.uint16)  # inputs and decisions alike; numpy counts keys of this size instead of comparing them
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
+def _sums(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys and the sums of their rows; equal keys stand together."""
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(rows[order], first, axis=0)
+    return keys[first], np.add.reduceat(rows, first, axis=0)
 
 
 class Trainer:
@@ -267,34 +271,46 @@ class Trainer:
         self.g2 = {k: np.full(v.shape, 0.01, np.float32) for k, v in p.items()}
         self.live, self.seen = live, 0
 
-    def _move(self, k: str, at: np.ndarray | slice, g: np.ndarray) -> None:
-        seen = self.g2[k][at] + g * g
-        self.g2[k][at] = seen
-        self.p[k][at] -= RATE * g / np.sqrt(seen)
+    def _move(self, k: str, g: np.ndarray, at: np.ndarray | None = None) -> None:
+        p, g2 = self.p[k], self.g2[k]
+        seen, own = (g2, p) if at is None else (g2.take(at, axis=0), p.take(at, axis=0))
+        seen += g * g
+        g = g * np.float32(RATE)
+        g /= np.sqrt(seen)
+        own -= g
+        if at is not None:
+            g2[at], p[at] = seen, own
 
     def step(self, context: np.ndarray, target: np.ndarray, leaf: np.ndarray) -> None:
         p, n = self.p, len(context)
+        # In the order of leaves, places that pass the same decision stand together, at each level.
+        order = np.argsort(leaf.astype(np.int16), kind="stable")
+        context, target, leaf = context.take(order, axis=0), target[order], leaf[order]
         x, h, z = forward(p, context)
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        z /= z.sum(axis=1, keepdims=True)
-        z[np.arange(n), target] -= 1
-        z /= n
+        z -= z.max(axis=1, keepdims=True)
+        np.exp(z, out=z)
+        z *= 1 / (np.float32(n) * z.sum(axis=1, keepdims=True))
+        z[np.arange(n), target] -= np.float32(1 / n)
         dh = z @ p["U"].T
-        place, node, right = decisions(leaf, self.live)
-        if len(place):
-            hp, vp = np.ascontiguousarray(h[:, :SEEN])[place], p["V"][node]
-            d = ((1 / (1 + np.exp(-(np.einsum("ij,ij->i", hp, vp) + p["v"][node]))) - right) / n).astype(np.float32)
-            first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            dh[place[first], :SEEN] += np.add.reduceat(d[:, None] * vp, first, axis=0)
-            at, g = _summed_by(node, d[:, None] * hp)
-            self._move("V", at, g)
-            g = np.bincount(node, weights=d, minlength=len(p["v"]))[at].astype(np.float32)
-            self._move("v", at, g)
+        node, right, counts = decisions(leaf, self.live)
+        seen, way = h[:, :SEEN], p["V"].take(node, axis=0)
+        d = 1 / (1 + np.exp(-(np.einsum("nlk,nk->nl", way, seen) + p["v"].take(node)))) - right
+        d *= counts * np.float32(1 / n)
+        dh[:, :SEEN] += np.einsum("nl,nlk->nk", d, way)
+        g = np.empty((LEVELS, n, SEEN + 1), np.float32)
+        np.multiply(d.T[:, :, None], seen, out=g[:, :, :SEEN])
+        g[:, :, SEEN] = d.T
+        at, g = _sums(node.T.ravel(), g.reshape(LEVELS * n, -1))
+        self._move("V", g[:, :SEEN], at)
+        self._move("v", g[:, SEEN], at)
         dh *= 1 - h * h
         dx = (dh @ p["W"].T).reshape(-1, WIDTH)
         for k, g in (("U", h.T @ z), ("c", z.sum(axis=0)), ("W", x.T @ dh), ("b", dh.sum(axis=0))):
-            self._move(k, slice(None), g)
-        self._move("E", *_summed_by(context.ravel(), dx))
+            self._move(k, g)
+        keys = context.ravel().astype(np.uint16)  # numpy counts keys of this size instead of comparing them
+        order = np.argsort(keys, kind="stable")
+        at, g = _sums(keys.take(order), dx.take(order, axis=0))
+        self._move("E", g, at)
         self.seen += n
 
 

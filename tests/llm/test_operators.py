@@ -807,6 +807,31 @@ def test_pseudo_likelihood_against_a_plain_network(spark, monkeypatch):
     assert total == pytest.approx(scores[1][3], rel=1e-4)
 
 
+def test_pseudo_likelihood_step_follows_the_gradient():
+    """The first Adagrad step of every parameter, against differences of the loss that scoring computes."""
+    rng, q = np.random.default_rng(1), pseudo_likelihood
+    words = np.arange(1, 301)
+    t = q.Types(words, 3000 // words, 300, 0.0)
+    p = {k: rng.standard_normal(s) * 0.3 for k, s in q.shapes(t.n_inputs).items()}
+    context, leaf = rng.integers(0, 20, (64, 2 * q.SIDE)), np.where(np.arange(64) % 9 == 0, -1, rng.choice(t.leaves, 64))
+    target = np.where(leaf < 0, q.CLASSES - 1, leaf >> q.LEVELS)
+    trainer = q.Trainer({k: v.astype(np.float32) for k, v in p.items()}, t.live)
+    trainer.step(context, target, leaf)
+    loss = lambda: -float(np.mean(q.log_probabilities(p, context, target, leaf, t.live), dtype=np.float64))
+    for k in p:
+        step = p[k] - trainer.p[k]
+        for at in np.argsort(-np.abs(step), axis=None)[[0, 1, 5]]:
+            i = np.unravel_index(at, step.shape)
+            m, own = step[i], p[k][i]
+            ends = []
+            for d in (1e-2, -1e-2):
+                p[k][i] = own + d
+                ends.append(loss())
+            p[k][i] = own
+            assert abs(0.1 * m / math.sqrt(q.RATE**2 - m * m) - (ends[0] - ends[1]) / 2e-2) < 1e-3, k
+    assert trainer.seen == 64
+
+
 def test_pseudo_likelihood_edges(spark):
     docs = docs_of(spark, edge_texts(random.Random(1)))
     voc = pseudo_likelihood.Vocabulary(pseudo_likelihood.type_counts(docs))
