@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from jobmarket.llm.common import Rolling, keys_of, result, scratch, table, text_blocks, written
+from jobmarket.llm.common import BROADCAST_ROWS, Rolling, result, scratch, table, text_blocks, written
 from jobmarket.llm.words import shingle_sets
 
 SHINGLE = 5
@@ -89,9 +89,9 @@ def classes_of(counts: np.ndarray) -> np.ndarray:
     """Class of each cell: 0 in the background, else the bit length of its excess over it."""
     middle = float(np.median(counts))
     excess = counts - middle
-    out = np.zeros(len(counts), np.uint64)
+    out = np.zeros(len(counts), np.uint8)
     over = excess > 8 * np.sqrt(middle) + 8
-    out[over] = np.minimum(np.log2(excess[over]).astype(np.uint64) + np.uint64(1), np.uint64((1 << CLASS_BITS) - 1))
+    out[over] = np.minimum(np.log2(excess[over]).astype(np.uint8) + 1, (1 << CLASS_BITS) - 1)
     return out
 
 
@@ -102,7 +102,7 @@ def prefix_length(n: np.ndarray | int) -> np.ndarray | int:
 def _tokens(sets: list[np.ndarray], classes: np.ndarray) -> list[np.ndarray]:
     """Shingles as sorted tokens: class first, then hash."""
     top, mask = np.uint64(63 - CLASS_BITS), np.uint64(len(classes) - 1)
-    return [np.sort((classes[(s & mask).astype(np.int64)] << top) | (s >> np.uint64(CLASS_BITS + 1))).astype(np.int64) for s in sets]
+    return [np.sort((classes[(s & mask).astype(np.int64)].astype(np.uint64) << top) | (s >> np.uint64(CLASS_BITS + 1))).astype(np.int64) for s in sets]
 
 
 def described(docs: DataFrame, classes: np.ndarray, shingle: int = SHINGLE, whole: bool = False) -> DataFrame:
@@ -198,13 +198,20 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(DENOMINATOR * inter.cast("long") >= NUMERATOR * union).select("a", "b").distinct()
 
 
+def counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """As written, with the number of rows, counted as they are written."""
+    count = Observation()
+    return written(df.observe(count, F.count(F.lit(1)).alias("n")), label), count.get["n"]
+
+
 def components(edges: DataFrame, label: str = "links", known: DataFrame | None = None) -> DataFrame:
     """(node, comp) of the nodes of edges (a, b) and of known, components found before that edges may join: comp is the
     smallest node that is reachable.
 
-    Each round contracts the graph: a node goes to the first of itself and its neighbours in an order by hash, then to
-    where that one goes, and only edges between different nodes are left. The order differs from round to round, so
-    long chains fold as fast as others; each round is two written tables, smaller than those before."""
+    Each round contracts the graph: a node goes to the first of itself and its neighbours in an order, then to where that
+    one goes, and only edges between different nodes are left. The order is by links, most first, in every other round, so
+    that a star folds at once whatever its size; ties and the rounds between go by a hash that differs from round to round,
+    so that long chains fold as fast as others. Each round is two written tables, smaller than those before."""
     maps = []
 
     def moved(edges: DataFrame, up: DataFrame) -> DataFrame:
@@ -214,16 +221,19 @@ def components(edges: DataFrame, label: str = "links", known: DataFrame | None =
         return both.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
 
     def apart_only(edges: DataFrame) -> tuple[DataFrame, int]:
-        count = Observation()
         ends = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        return written(ends.observe(count, F.count(F.lit(1)).alias("n")), label), count.get["n"]
+        return counted(ends, label)
 
     first = None if known is None else known.select("node", F.col("comp").alias("up"))
     left, n = apart_only(edges if first is None else moved(edges, first))
     while n:
-        order = lambda c, salt=len(maps): F.struct(F.xxhash64(F.col(c), F.lit(salt)).alias("h"), F.col(c).alias("v"))
+        order = lambda c, links, salt=len(maps): F.struct((-links).alias("k"), F.xxhash64(F.col(c), F.lit(salt)).alias("h"), F.col(c).alias("v"))
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        to = both.groupBy(F.col("a").alias("node")).agg(F.min(order("b")).alias("m")).select("node", F.least(order("node"), "m")["v"].alias("up"))
+        own = of_b = F.lit(0).cast("long")
+        if len(maps) % 2 == 0:
+            both = both.join(both.groupBy(F.col("a").alias("b")).agg(F.count("*").alias("links")), "b")
+            own, of_b = F.count("*"), F.col("links")
+        to = both.groupBy(F.col("a").alias("node")).agg(own.alias("own"), F.min(order("b", of_b)).alias("m")).select("node", F.least(order("node", F.col("own")), "m")["v"].alias("up"))
         up = written(to.join(to.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", F.col("top").alias("up")), label)
         maps.append(up)
         left, n = apart_only(moved(left, up))
@@ -311,13 +321,17 @@ def _near_duplicates(docs: DataFrame, shingle: int) -> DataFrame:
     inside = written(members.join(several, alike).select(F.col("doc_id").alias("a"), "b").filter("a <> b"), "inside")
     nodes_of = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
+    def keys_of(nodes: DataFrame) -> DataFrame:
+        keys, n = counted(nodes, "nodes")
+        return F.broadcast(keys) if n <= BROADCAST_ROWS else keys
+
     def profiles_of(nodes: DataFrame) -> DataFrame:
-        own = keys_of(written(nodes, "nodes"))
+        own = keys_of(nodes)
         return sound.select(F.col("doc_id").alias("node"), "n", "profile").join(own, "node", "left_semi")
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         """Whole sets and fine profiles (node, n, tokens, profile) of some documents, read again from their texts."""
-        own = keys_of(written(nodes.select(F.col("node").alias("doc_id")), "nodes"))
+        own = keys_of(nodes.select(F.col("node").alias("doc_id")))
         return written(described(docs.join(own, "doc_id", "left_semi"), classes, shingle, whole=True).filter("n > 0").select(F.col("doc_id").alias("node"), "n", F.col("prefix").alias("tokens"), "profile"), "whole")
 
     pairs = written(star_pairs(post).unionByName(inside), "stars")

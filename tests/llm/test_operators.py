@@ -422,6 +422,16 @@ def test_components_shrink_from_round_to_round(spark, monkeypatch):
     assert same(ngram_join.components(edges([]))) == {}
 
 
+def test_components_fold_a_star_at_once(spark, monkeypatch):
+    """Links to one node are gone after one round, however many and wherever its number stands among theirs."""
+    made, own = [], ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda df, label: made.append(label) or own(df, label))
+    pairs = [(500 + g, 1000 * g + i) for g in (1, 2, 3) for i in range(900) if 1000 * g + i != 500 + g]
+    got = {r["node"]: r["comp"] for r in ngram_join.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {n: 500 + g for g in (1, 2, 3) for n in (500 + g, *range(1000 * g, 1000 * g + 900))}
+    assert len(made) == 4
+
+
 def test_ngram_join_edges(spark):
     docs = docs_of(spark, edge_texts(random.Random(1)))
     got = [(r["doc_id"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect()]
