@@ -21,11 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jobmarket.llm.common import table
+from jobmarket.llm.common import result, scratch, table, written
 
-#: Rows of an index block and queries of a query block.
+#: Rows of an index block and queries that are searched at once.
 BLOCK_ROWS = 1 << 12
 QUERY_ROWS = 128
+#: Blocks of op5: rows at most, and bytes of their components. Adders take whole bitmaps, so a wide block costs less a row.
+WIDE_ROWS = 1 << 15
+WIDE_BYTES = 1 << 24
+#: Blocks that a task holds at most.
+SET_BLOCKS = 16
 SCALE = 1024
 K = 10
 QUERY_EVERY = 100
@@ -93,41 +98,64 @@ def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return vectors.select("vec_id", "q").mapInArrow(build, INDEX_SCHEMA)
 
 
+def signed_digits(x: int) -> list[tuple[int, int]]:
+    """x as a sum of sign * 2**place with no two places in a row: a third of the places instead of half."""
+    out, place = [], 0
+    while x:
+        if x & 1:
+            sign = 2 - (x & 3)
+            out.append((place, sign))
+            x -= sign
+        x >>= 1
+        place += 1
+    return out
+
+
 def summed_slices(planes: np.ndarray, bits: list[int], q: list[int]) -> tuple[list[np.ndarray], int]:
     """Slices of all rows' scores (least significant first) and the constant to add to them.
 
-    planes: (2 * slices, words), the second half complemented; a negative factor takes complements, so all addends are
-    non-negative. Bitmaps of one weight are added three at a time (full adder: sum stays, carry moves up)."""
-    at = np.concatenate([[0], np.cumsum(bits)])
-    half, by_weight, constant = at[-1], {}, 0
+    planes: (2 * slices, words), the second half complemented; a negative digit takes complements, so all addends are
+    non-negative. Bitmaps of one weight are added three at a time (full adder: sum stays, carry moves up), in place."""
+    at = np.concatenate([[0], np.cumsum(bits)]).tolist()
+    constant, digits = 0, []
     for d, factor in enumerate(q):
-        size, first = abs(factor), int(at[d]) + (half if factor < 0 else 0)
-        if factor < 0:
-            constant -= size * ((1 << bits[d]) - 1)
-        j = 0
-        while size:
-            if size & 1:
-                for b in range(bits[d]):
-                    by_weight.setdefault(j + b, []).append(first + b)
-            size >>= 1
-            j += 1
+        for place, sign in signed_digits(factor):
+            digits.append((place, at[d] + (at[-1] if sign < 0 else 0), bits[d]))
+            if sign < 0:
+                constant -= ((1 << bits[d]) - 1) << place
+    if not any(n for _, _, n in digits):
+        return [], constant
+    place, first, n = np.array(digits).T
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    weight, row = np.repeat(place, n) + step, np.repeat(first, n) + step
+    order = np.argsort(weight, kind="stable")
+    row, top, words = row[order], int(weight.max()), planes.shape[1]
+    cut = np.searchsorted(weight[order], np.arange(top + 2)).tolist()
+    spare = np.empty((len(row) // 3 + 1, words), np.uint64)
     out, carried, w = [], [], 0
-    top = max(by_weight, default=-1)
     while w <= top or carried:
-        rows = [planes[by_weight[w]]] if w in by_weight else []
-        stack = np.concatenate(rows + carried) if rows or carried else np.zeros((1, planes.shape[1]), np.uint64)
+        own = row[cut[w] : cut[w + 1]] if w <= top else row[:0]
+        stack, filled = np.empty((len(own) + sum(map(len, carried)), words), np.uint64), len(own)
+        np.take(planes, own, axis=0, out=stack[:filled], mode="clip")  # a mode other than raise writes to out directly
+        for x in carried:
+            stack[filled : filled + len(x)] = x
+            filled += len(x)
         carried = []
-        while len(stack) > 1:
-            if len(stack) == 2:
-                carried.append((stack[0] & stack[1])[None])
-                stack = (stack[0] ^ stack[1])[None]
-                break
+        while len(stack) > 2:
             n = len(stack) // 3
-            a, b, c = stack[:n], stack[n : 2 * n], stack[2 * n : 3 * n]
-            half_sum = a ^ b
-            carried.append((a & b) | (c & half_sum))
-            stack = np.concatenate([half_sum ^ c, stack[3 * n :]])
-        out.append(stack[0])
+            a, b, c, odd = stack[:n], stack[n : 2 * n], stack[2 * n : 3 * n], spare[:n]
+            np.bitwise_xor(a, b, out=odd)
+            a &= b
+            np.bitwise_and(odd, c, out=b)
+            a |= b
+            c ^= odd
+            carried.append(a)
+            stack = stack[2 * n :]
+        if len(stack) == 2:
+            carried.append((stack[0] & stack[1])[None])
+            out.append(stack[0] ^ stack[1])
+        else:
+            out.append(stack[0].copy() if len(stack) else np.zeros(words, np.uint64))
         w += 1
     return out, constant
 
@@ -176,38 +204,82 @@ def search_block(ids: np.ndarray, planes: np.ndarray, bits: list[int], low: list
     return out
 
 
+def _best(found: list[tuple[int, int, int, bytes]], k: int) -> list[tuple[int, int, int, bytes]]:
+    return sorted(found, key=lambda x: (-int.from_bytes(x[3], "big"), x[1]))[:k]
+
+
+def _answers(blocks: dict[int, list[tuple]], asked: dict[int, list[tuple[int, list[int]]]], k: int, query_rows: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """The k best rows of all blocks of a length for each query of that length."""
+    for dim, queries in asked.items():
+        for i in range(0, len(queries), query_rows):
+            best: dict[int, list] = {}
+            for block in blocks.get(dim, ()):
+                for x in search_block(*block, queries[i : i + query_rows], k):
+                    best.setdefault(x[0], []).append(x)
+                best = {q: _best(x, k) if len(x) > k else x for q, x in best.items()}
+            for x in best.values():
+                yield from x
+
+
+def dealt(index: DataFrame, queries: DataFrame, query_rows: int = QUERY_ROWS) -> DataFrame:
+    """Blocks of an index and queries (vec_id, q), dealt to tasks: a task has a set of blocks, then a share of the
+    queries. A block goes to as many tasks as there are shares, whatever the number of queries, and a query to one task
+    a set, so no block stands beside each query. Sets have at most SET_BLOCKS blocks."""
+    index = written(index.withColumn("at", F.monotonically_increasing_id()), "bsi-index")
+    queries = queries.groupBy("vec_id").agg(F.min("q").alias("q"))
+    blocks, parts = index.count(), int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = min(SET_BLOCKS, max(1, blocks // parts))
+    sets = max(1, -(-blocks // each))
+    shares = max(1, min(-(-2 * parts // sets), -(-queries.count() // query_rows)))
+    within = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))  # its number in its partition; the partition's stands above
+    block = index.withColumns({"set": F.pmod(F.shiftright("at", 33) + within, F.lit(sets)), "share": F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))}).drop("at")
+    asked = queries.withColumns({"dim": F.size("q"), "set": F.explode(F.sequence(F.lit(0), F.lit(sets - 1))), "share": F.pmod(F.xxhash64("vec_id"), F.lit(shares))})
+    rows = block.unionByName(asked, allowMissingColumns=True).withColumn("task", (F.col("set") * shares + F.col("share")).cast("int")).drop("set", "share")
+    return rows.repartitionById(sets * shares, "task").sortWithinPartitions("task", F.col("planes").isNull())
+
+
 def top_k(index: DataFrame, queries: DataFrame, k: int = K, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k best rows of the index for each query (vec_id, q).
 
-    Index blocks are dealt to buckets once; groups of queries, much smaller, go to every bucket and meet its blocks in
-    an equi-join. Each pair of a block and a group is one unit of work, and sends on at most k rows a query."""
-    queries = queries.groupBy("vec_id").agg(F.min("q").alias("q"))
-    groups = max(1, -(-queries.count() // query_rows))
-    buckets = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    asked = queries.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("g"), F.size("q").alias("dim")).agg(F.collect_list(F.struct("vec_id", "q")).alias("asked"))
-    asked = asked.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))).drop("g")
-    blocks = index.withColumn("bucket", F.pmod(F.xxhash64("ids"), F.lit(buckets)).cast("int"))
-    pairs = blocks.repartition(buckets, "bucket", "dim").join(asked, ["bucket", "dim"])
+    A task holds its blocks and meets its queries as they come; at most k rows a query leave it."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                x = {name: batch.column(i)[row] for i, name in enumerate(batch.schema.names)}
-                ids, bits = np.frombuffer(x["ids"].as_py(), np.int64), x["bits"].as_py()
-                planes = np.frombuffer(x["planes"].as_py(), np.uint64).reshape(sum(bits), (len(ids) + 63) // 64)
-                got = search_block(ids, planes, bits, x["low"].as_py(), [(a["vec_id"], a["q"]) for a in x["asked"].as_py()], k)
-                cols = list(zip(*got, strict=True)) or [()] * 4
+        task, blocks = None, {}
+
+        def answers(asked: dict) -> Iterator[pa.RecordBatch]:
+            if cols := list(zip(*_answers(blocks, asked, k, query_rows), strict=True)):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["query_id", "vec_id", "score", "ordered"])
 
-    found = pairs.mapInArrow(search, "query_id long, vec_id long, score long, ordered binary")
+        for batch in batches:
+            x, asked = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}, {}
+            for row, own in enumerate(x["task"].to_pylist()):
+                if own != task:
+                    yield from answers(asked)
+                    task, blocks, asked = own, {}, {}
+                dim = x["dim"][row].as_py()
+                if x["planes"][row].is_valid:
+                    ids, bits = np.frombuffer(x["ids"][row].as_py(), np.int64), x["bits"][row].as_py()
+                    planes = np.frombuffer(x["planes"][row].as_py(), np.uint64).reshape(sum(bits), (len(ids) + 63) // 64)
+                    blocks.setdefault(dim, []).append((ids, planes, bits, x["low"][row].as_py()))
+                else:
+                    asked.setdefault(dim, []).append((x["vec_id"][row].as_py(), x["q"][row].as_py()))
+            yield from answers(asked)
+
+    found = dealt(index, queries, query_rows).mapInArrow(search, "query_id long, vec_id long, score long, ordered binary")
     best = Window.partitionBy("query_id").orderBy(F.desc("ordered"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 10 highest integer inner products of every query row (vec_id divisible by 100) with all other rows."""
-    vectors = quantised(table(spark, sf_dir, "embeddings"))
-    return top_k(build_index(vectors), vectors.filter(F.col("vec_id") % QUERY_EVERY == 0))
+    """The 10 highest integer inner products of every query row (vec_id divisible by 100) with all other rows. Rows are
+    dealt evenly to as many tasks as there are to be blocks, however the files are cut."""
+    rows = table(spark, sf_dir, "embeddings")
+    n, longest = rows.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    wide = max(1, min(WIDE_ROWS, WIDE_BYTES // (8 * max(longest or 1, 1))))
+    vectors, asked = quantised(rows), quantised(rows.filter(F.col("vec_id") % QUERY_EVERY == 0))
+    with scratch(spark):
+        index = build_index(vectors.repartition(max(1, -(-n // wide))), 2 * wide)
+        return result(top_k(index, asked), "top-k")
 
 
 OP5_SQL = """

@@ -343,6 +343,33 @@ def test_topk_with_values_of_any_size(spark):
         assert mine == [(i, min(max(-s, -(2**63)), 2**63 - 1)) for s, i in best], q
 
 
+def test_topk_sends_no_block_with_each_group_of_queries(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=3 if i % 7 else 2)]) for i in range(1500)]
+    v = bsi_topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).repartition(3)
+    index = bsi_topk.build_index(v, 64)
+    assert "Join" not in bsi_topk.top_k(index, v)._jdf.queryExecution().optimizedPlan().toString()
+    tasks: dict[int, tuple[list, list]] = {}
+    for r in bsi_topk.dealt(index, v, 16).collect():
+        if r["planes"] is None:
+            assert len(r["q"]) == r["dim"]
+            tasks.setdefault(r["task"], ([], []))[1].append(r["vec_id"])
+        else:
+            tasks.setdefault(r["task"], ([], []))[0].append(bytes(r["ids"]))
+    met = [(b, q) for blocks, queries in tasks.values() for b in blocks for q in queries]
+    assert len(met) == len(set(met)) == index.count() * 1500
+    assert max(len(blocks) for blocks, _ in tasks.values()) <= bsi_topk.SET_BLOCKS
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(len(blocks) for blocks, _ in tasks.values()) <= index.count() + 2 * parts * bsi_topk.SET_BLOCKS < index.count() * (1500 // 16)
+
+
+def test_signed_digits():
+    for x in [*range(-300, 300), 2**63 - 1, -(2**63), 0x5555555555555555]:
+        digits = bsi_topk.signed_digits(x)
+        assert sum(sign << place for place, sign in digits) == x and all(sign in (1, -1) for _, sign in digits)
+        assert all(b - a > 1 for (a, _), (b, _) in zip(digits, digits[1:], strict=False))
+
+
 # --- 6 n-gram Jaccard join --------------------------------------------------------------------------------------------
 
 
