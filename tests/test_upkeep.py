@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from jobmarket.catalog import upkeep
 from jobmarket.operators import rollup as R
 from jobmarket.plans import checks as CH
 from jobmarket.plans import reprocess as RE
@@ -63,6 +64,16 @@ def test_jdbc_ranges_keep_null_keys_and_every_row(spark, tmp_path):
     assert S.jdbc_by_ranges(spark, url, "e", "id", rows=20, **driver).count() == 0
 
 
+def test_jdbc_ranges_with_a_file_uri_as_shared_folder(spark, tmp_path, monkeypatch):
+    for scheme in ("file://", "file:", ""):
+        monkeypatch.setattr(upkeep.S, "staging", lambda _, at=f"{scheme}{tmp_path}/a b{len(scheme)}": at)
+        assert upkeep.jdbc_ranges(spark, "/root/testdata/sf0.001").count() == 150
+        assert (tmp_path / f"a b{len(scheme)}" / "db").is_dir()
+    monkeypatch.setattr(upkeep.S, "staging", lambda _: "viewfs://store/x")
+    with pytest.raises(ValueError, match="spark.jobmarket.jdbc.url"):
+        upkeep.jdbc_ranges(spark, "/root/testdata/sf0.001")
+
+
 def _table(path, rows, groups=3):
     pq.write_table(pa.table({"id": [r[0] for r in rows], "ts": pa.array([r[1] for r in rows], pa.timestamp("us")), "x": [r[2] for r in rows]}), path, row_group_size=groups)
 
