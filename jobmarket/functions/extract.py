@@ -9,6 +9,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -183,19 +184,25 @@ def place_resolver(cities: dict[str, tuple[str, int]], countries: dict[str, str]
     return resolve
 
 
-def places_resolver(cities: dict[str, tuple[str, int]], countries: dict[str, str], states: dict[str, str]):
-    """As place_resolver, of lists of place texts; each text is resolved once a batch."""
-
-    @pandas_udf(T.ArrayType(_PLACE))
-    def resolve(raw: pd.Series) -> pd.Series:
-        known: dict[str, dict] = {}
+#: Distinct place texts that stand as Python objects at once.
+TEXTS_AT_ONCE = 50_000
 
-        def one(t: str) -> dict:
-            if t not in known:
-                known[t] = dict(zip(_PLACE.names, _place(t, cities, countries, states), strict=True))
-            return known[t]
 
-        return raw.map(lambda ts: [] if ts is None else [one(t) for t in ts])
+def places_resolver(cities: dict[str, tuple[str, int]], countries: dict[str, str], states: dict[str, str]):
+    """As place_resolver, of lists of place texts, however long; each text is resolved once a batch."""
+    names = _PLACE.names
+
+    def resolved(texts: pa.Array) -> pa.Array:
+        rows = [_place(t, cities, countries, states) for t in texts.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(len(names))], names=names)
+
+    @F.arrow_udf(T.ArrayType(_PLACE))
+    def resolve(lists: pa.Array) -> pa.Array:
+        known = lists.flatten().dictionary_encode(null_encoding="encode")
+        distinct = [known.dictionary.slice(i, TEXTS_AT_ONCE) for i in range(0, max(1, len(known.dictionary)), TEXTS_AT_ONCE)]
+        places = pa.concat_arrays([resolved(x) for x in distinct]).take(known.indices)
+        ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(lists), 0).cast(pa.int32()))
+        return pa.ListArray.from_arrays(pa.concat_arrays([pa.array([0], pa.int32()), ends]), places)
 
     return resolve
 

@@ -106,18 +106,14 @@ def _posted(now: Column) -> dict[str, Column]:
     return {"posted_day": F.unix_date(V.posted_at(F.col("date_posted"), now).cast("date"))}
 
 
-#: Most places of a posting that are resolved.
-MOST_PLACES = 50
-
-
 def derived_frame(raw: DataFrame, now: Column, resolve, profiles: tuple[tuple[str, str, str], ...], technologies: list[tuple[str, tuple[str, ...], bool]], occupations: tuple[tuple[str, str, str], ...] = ()) -> DataFrame:
     """Raw postings as the whole derived frame of the report.
 
     raw: (company_slug, board_slug, source, url, source_identity, title, description, locations array, workplace,
     employment_type, base_pay struct of min, max, currency, unit, language, date_posted); resolve: a places_resolver;
     occupations: a taxonomy (alias, slug, domain), whose matches go before the title rules, with the domain as family.
-    Rows without a url go. Extraction sees each distinct title, text, date and list of places once; structured pay beats pay in the text."""
-    df = raw.filter(F.coalesce("url", F.lit("")) != "").withColumns({"_title": F.trim(F.coalesce("title", F.lit(""))), "_locations": F.slice("locations", 1, MOST_PLACES)})
+    Rows without a url go. All places of a posting are resolved. Extraction sees each distinct title, text, date and list of places once; structured pay beats pay in the text."""
+    df = raw.filter(F.coalesce("url", F.lit("")) != "").withColumn("_title", F.trim(F.coalesce("title", F.lit(""))))
     title = F.col("_title")
     matched = AC.best_alias([(a, s) for a, s, _ in occupations])("_title") if occupations else F.lit(None).cast("string")
     name, family = profile(title, F.col("_matched"), profiles, {s: d for _, s, d in occupations})
@@ -126,7 +122,7 @@ def derived_frame(raw: DataFrame, now: Column, resolve, profiles: tuple[tuple[st
     df = once(df, "description", *_text_attributes({"_named": AC.whole_words(technologies)("_text")}))
     countries = F.array_distinct(F.filter(F.transform("_places", lambda p: p["country"]), lambda c: c.isNotNull()))
     of_places = {"_place": V.primary_place(F.col("_places")), "n_locations": F.size("_places"), "n_countries": F.size(countries)}
-    df = once(df, "_locations", [{"_places": resolve(F.col("_locations"))}, of_places], ["_places", *of_places])
+    df = once(df, "locations", [{"_places": resolve(F.col("locations"))}, of_places], ["_places", *of_places])
     df = once(df, "date_posted", [_posted(now)], ["posted_day"])
     given = V.annual(F.col("base_pay.min"), F.col("base_pay.max"), F.col("base_pay.currency"), F.coalesce(salary_unit(F.col("base_pay.unit")), "base_pay.unit"), "structured")
     df = df.withColumn("_paid", V.normalised_pay(given, F.col("_described")))
